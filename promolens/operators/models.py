@@ -91,20 +91,20 @@ def clean(df: DataFrame, features: list[str], target: str, rules: Rules, keep: l
 def missing_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Missing values per column, one row each."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return counts.unpivot([], columns, "column", "missing")
+    return counts.unpivot([], columns, "feature", "missing")
 
 
 def category_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     """Ordinal of every category value, in the order of the values."""
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
     values = long.where(F.col("value").isNotNull()).distinct()
-    return values.withColumn("code", F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1)
+    return values.withColumn("code", F.row_number().over(Window.partitionBy("feature").orderBy("value")) - 1)
 
 
 def encode(df: DataFrame, codes: DataFrame, columns: list[str]) -> DataFrame:
     """Replace category values by their ordinals; a value without one becomes NULL."""
     for c in columns:
-        of_column = codes.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        of_column = codes.where(F.col("feature") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
         df = df.join(of_column, F.col(c).cast("string") == F.col("_value"), "left").withColumn(c, F.col("_code")).drop("_value", "_code")
     return df
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_queries():
-    from . import queries_mart  # noqa: F401
+    from . import queries_constructs, queries_mart  # noqa: F401
     from .registry import QUERIES
 
     return QUERIES

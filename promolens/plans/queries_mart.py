@@ -241,10 +241,11 @@ def _pareto_sql(src: str, keys: str, prefix: str) -> str:
 
 def _pareto_text(df: DataFrame, prefix: str) -> DataFrame:
     labels = {"margin": f"{prefix}_margin_amt", "sale": f"{prefix}_sale_amt", "qty": f"{prefix}_sale_qty"}
-    return df.withColumns({
-        label: F.array_join(F.transform(label, lambda x, n=n: F.concat(x["sku_root_id"], F.lit("="), F.coalesce(x[n].cast("string"), F.lit("")))), ",")
-        for label, n in labels.items()
-    })
+
+    def text(label: str, name: str):
+        return F.array_join(F.transform(label, lambda x: F.concat(x["sku_root_id"], F.lit("="), F.coalesce(x[name].cast("string"), F.lit("")))), ",")
+
+    return df.withColumns({label: text(label, name) for label, name in labels.items()})
 
 
 add("d41_pareto_section_sku", on(lambda m: _pareto_text(dashboards.pareto_section_sku(m["baseline_promo"], m["root_sku"]), "incremental")),
@@ -341,7 +342,7 @@ add("d56_price_points_avg", on(lambda m: elasticity.price_points(m["daily"], m["
     "sku_root_id store_id std_price_per_unit:d avg_sales_qty:d actual_price:d duration_weeks:i", "c_point",
     extra={"c_point": o.CTE["c_point"].replace(o.fixed("sum(total_sale_qty)") + " AS qty", o.fixed(o.mean("total_sale_qty")) + " AS qty")})
 add("d57_unit_cost", mart("unit_cost"), "sku_root_id cost_per_unit:d category",
-    "SELECT DISTINCT p.sku_root_id, cost_per_unit, s.category FROM c_price p JOIN c_sku s USING (sku_root_id)")
+    "SELECT DISTINCT p.sku_root_id, p.cost_per_unit, s.category FROM c_price p JOIN c_sku s USING (sku_root_id)")
 add("d58_store_regressions", mart("store_lines"),
     "sku_root_id store_id coeficient:r intercept:r R2:r Nfactor:d points:i avg_price:d gradient:r cost_per_unit:d", "c_sline")
 _STEEP = f"""(SELECT * FROM (SELECT *, {o.fixed('gradient')} AS g, avg({o.fixed('gradient')}) OVER (PARTITION BY sku_root_id) AS mg FROM c_sline
@@ -537,7 +538,7 @@ _MEX = {
       greatest(perc_inc_qty, 0) AS perc_inc_qty FROM c_ptotals JOIN c_root r USING (sku_root_id)
       WHERE perc_inc_qty IS NOT NULL AND (perc_inc_qty > 0 OR total_baseline_qty > 100) AND perc_inc_qty < 10""",
     "c_small": "SELECT * FROM c_small0 WHERE perc_inc_qty < (SELECT quantile_cont(perc_inc_qty, 0.95) FROM c_small0)",
-    "c_codes": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", value, row_number() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT {c} AS value FROM c_clean)" for c in _CATS),
+    "c_codes": " UNION ALL ".join(f"SELECT '{c}' AS feature, value, row_number() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT {c} AS value FROM c_clean)" for c in _CATS),
     "c_split": f"""SELECT *, ('0x' || substring(md5({" || '|' || ".join(_KEYS)} || '|' || discount_depth), 1, 8))::BIGINT % 10 AS bucket FROM c_clean""",
     "c_gm": f"SELECT category, discount_depth, {o.mean(o.fixed(_TARGET))} AS prediction FROM c_split WHERE bucket < 8 GROUP BY ALL",
     "c_valid2": "SELECT s.*, g.prediction FROM c_split s LEFT JOIN c_gm g USING (category, discount_depth) WHERE bucket >= 8",
@@ -549,11 +550,11 @@ add("d78_clean_post", on(lambda m: models.clean(m["post_train"], ["segment", "di
         models.Rules(max_days=40, outliers="negative", drop_missing_target=True), keep=_KEYS)),
     " ".join(_KEYS) + " segment discount_depth_rank:d pct_inc_qty:d",
     f"SELECT * REPLACE (CASE WHEN pct_inc_qty > 0 THEN 0 ELSE pct_inc_qty END AS pct_inc_qty) FROM c_posttrain WHERE no_impacted_stores >= 1 AND duration_days <= 40 AND discount_depth IN {_DEPTHS} AND pct_inc_qty IS NOT NULL", extra=_MEX)
-add("d79_category_codes", on(lambda m: models.category_codes(_clean(m), _CATS)), "column value code:i", 'SELECT "column", value, code FROM c_codes', extra=_MEX)
+add("d79_category_codes", on(lambda m: models.category_codes(_clean(m), _CATS)), "feature value code:i", "c_codes", extra=_MEX)
 add("d79_encoded_training", on(lambda m: models.encode(_clean(m), models.category_codes(_clean(m), ["segment", "discount_depth"]), ["segment", "discount_depth"])),
     " ".join(_KEYS) + " segment:i discount_depth:i",
     """SELECT c.* REPLACE (a.code AS segment, b.code AS discount_depth) FROM c_clean c
-    LEFT JOIN c_codes a ON a."column" = 'segment' AND a.value = c.segment LEFT JOIN c_codes b ON b."column" = 'discount_depth' AND b.value = c.discount_depth""", extra=_MEX)
+    LEFT JOIN c_codes a ON a.feature = 'segment' AND a.value = c.segment LEFT JOIN c_codes b ON b.feature = 'discount_depth' AND b.value = c.discount_depth""", extra=_MEX)
 
 
 def _split(m: Mart) -> tuple[DataFrame, DataFrame]:

@@ -29,8 +29,22 @@ SALES_NODE = 30632
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
-def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES}
+class Tables(dict):
+    """Tables of a folder, opened when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._open = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in _TABLES:
+            raise KeyError(name)
+        self[name] = self._open(name)
+        return self[name]
+
+
+def read_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(spark, sf_dir)
 
 
 def _text(c: Column | str) -> Column:
