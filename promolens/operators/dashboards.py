@@ -54,16 +54,23 @@ def forward_sales(promo_summary: DataFrame, weekly_fact: DataFrame, campaigns: D
 
 
 def store_promo_weeks(baseline: DataFrame, promo_summary: DataFrame) -> DataFrame:
-    """For every week of a promotion id, how many of its stores are on any promotion."""
+    """For every week of a promotion id, how many of its stores are on any promotion.
+
+    Store sets (at most one entry per store) are compared as arrays instead of one row per store.
+    """
     summary = _keyed(promo_summary)
-    stores = summary.select(*KEY, F.explode("store_ids").alias("store_id")).distinct()
-    on = summary.select("date", "sku_root_id", F.explode("store_ids").alias("store_id")).distinct()
+
+    def stores_of(keys: list[str], name: str) -> DataFrame:
+        return summary.groupBy(*keys).agg(F.array_distinct(F.flatten(F.collect_set("store_ids"))).alias(name))
+
+    mine, on = stores_of(KEY, "_mine"), stores_of(["date", "sku_root_id"], "_on")
+    count = F.size(F.array_intersect("_mine", "_on"))
     return (
         baseline.select("date", "uniq_id", *KEY)
-        .join(stores, KEY)
-        .join(on, ["date", "sku_root_id", "store_id"], "left_semi")
-        .groupBy("date", "uniq_id")
-        .agg(F.count(F.lit(1)).alias("store_promo_flag"))
+        .join(mine, KEY)
+        .join(on, ["date", "sku_root_id"])
+        .select("date", "uniq_id", count.alias("store_promo_flag"))
+        .where(F.col("store_promo_flag") > 0)
     )
 
 

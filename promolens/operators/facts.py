@@ -80,22 +80,24 @@ def grid_with_promos(grid: DataFrame, root_days: DataFrame) -> DataFrame:
 
 
 def gap_fill(grid_promos: DataFrame, actuals: DataFrame) -> DataFrame:
-    """Grid rows and actual rows as one frame; grid rows bring no measures."""
-    return grid_promos.unionByName(actuals, allowMissingColumns=True)
+    """Actual sales on the grid, zero where nothing sold, with the day's number of offers.
 
-
-def daily_promo(filled: DataFrame) -> DataFrame:
-    """Daily sums per root, store and offer, zero where nothing sold.
-
-    Rows are placed by root, store and day first. The sums per offer and the count
-    of offers of a day both fit that placement, so one exchange serves the two.
+    Only keys are shuffled for the grid and for the count; the measures join once, at
+    the end. Grid days without an offer and actual sales without one share a key.
     """
-    placed = filled.repartition(*PAIR, "date")
-    sums = placed.groupBy("date", *PAIR, *PROMO).agg(
-        *[F.coalesce(money_sum(m), F.lit(0).cast(MONEY)).alias(m) for m in MEASURES],
-        fixed(mean_of(UNIT)).alias(UNIT),
+    key = ["date", *PAIR, *PROMO]
+    keys = grid_promos.select(*key).unionByName(actuals.select(*key)).repartition(*PAIR, "date").distinct()
+    counted = with_promo_count(keys, ["date", *PAIR])
+    sales = actuals.withColumnsRenamed({k: f"_{k}" for k in key})
+    same = F.lit(True)
+    for k in ["date", *PAIR]:
+        same = same & (F.col(k) == F.col(f"_{k}"))
+    for k in PROMO:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    zero = F.lit(0).cast(MONEY)
+    return counted.join(sales, same, "left").select(
+        *key, *[F.coalesce(m, zero).alias(m) for m in MEASURES], UNIT, "n_promo", "promo_flag"
     )
-    return with_promo_count(sums, ["date", *PAIR])
 
 
 def with_promo_count(df: DataFrame, key: list[str]) -> DataFrame:
@@ -110,16 +112,29 @@ def _promo_list(name: str) -> Column:
     return F.when(F.size(found) > 0, found)
 
 
-def _collapse(df: DataFrame, extra: list[Column]) -> DataFrame:
-    return df.groupBy("date", *PAIR).agg(
+def _collapse(df: DataFrame, extra: list[str]) -> DataFrame:
+    """One row per date, root and store.
+
+    A key without offers has a single row already, so only keys with offers are
+    shuffled and summed.
+    """
+    kept = ["date", *PAIR]
+    single = df.where(F.col("n_promo") == 0).select(
+        *kept,
+        F.lit(None).cast("array<string>").alias("promo_id_list"),
+        F.lit(None).cast("array<bigint>").alias("promo_year_list"),
+        *MEASURES, UNIT, "n_promo", "promo_flag", *extra,
+    )
+    several = df.where(F.col("n_promo") > 0).groupBy(*kept).agg(
         _promo_list("promo_id").alias("promo_id_list"),
         _promo_list("promo_year").alias("promo_year_list"),
         *[money_sum(m).alias(m) for m in MEASURES],
         fixed(mean_of(UNIT)).alias(UNIT),
         F.max("n_promo").alias("n_promo"),
         F.max("promo_flag").alias("promo_flag"),
-        *extra,
+        *[F.max(c).alias(c) for c in extra],
     )
+    return single.unionByName(several)
 
 
 def daily(promo_rows: DataFrame) -> DataFrame:
@@ -137,7 +152,7 @@ def weekly_promo(promo_rows: DataFrame) -> DataFrame:
 
 
 def weekly(weekly_rows: DataFrame) -> DataFrame:
-    return _collapse(weekly_rows, [F.max("no_days_with_promo").alias("no_days_with_promo")])
+    return _collapse(weekly_rows, ["no_days_with_promo"])
 
 
 def summary(fact: DataFrame) -> DataFrame:

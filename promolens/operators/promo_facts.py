@@ -22,6 +22,7 @@ FORMAT_COUNTS = {
     "69": "no_other_stores",
 }
 PRICE_CUT = "10"
+SHARED = ["total_sale_amt", "total_sale_qty", "total_margin_amt", "total_price_if_sku_std_price"]
 OFFER_KEY = [*PROMO, *PAIR, "promo_mechanic", "promo_mechanic_description", "discount_depth_rank", "discount_depth"]
 PROMO_KEY = [*PROMO, "sku_root_id", "promo_mechanic", "promo_mechanic_description", "discount_depth_rank", "discount_depth"]
 DISPLAY = ["leaflet_cover", "leaflet_priv_space", "in_leaflet_flag", "in_gondola_flag", "in_both_leaflet_gondola_flag"]
@@ -76,46 +77,54 @@ def valid_offers(promo_to_sku: DataFrame) -> DataFrame:
     )
 
 
-def promo_daily(
-    promo_to_sku: DataFrame, days: DataFrame, stores: DataFrame, roots: DataFrame, daily_fact: DataFrame
-) -> DataFrame:
-    """Valid offers on every campaign day; a missing usual price is the day's observed one."""
-    observed = daily_fact.select("date", *PAIR, F.col("std_price_per_unit").alias("_observed"))
-    offers = (
+def offer_rows(promo_to_sku: DataFrame, stores: DataFrame, roots: DataFrame) -> DataFrame:
+    """Valid offers of known stores and roots, with their number per promotion.
+
+    Every offer of a promotion runs on all its days, so the number is the same each day.
+    """
+    together = Window.partitionBy(*PROMO, *PAIR)
+    return (
         valid_offers(promo_to_sku)
         .join(stores.select("store_id"), "store_id", "left_semi")
         .join(roots.select("sku_root_id"), "sku_root_id", "left_semi")
+        .withColumn("n_promo_mech", F.count(F.lit(1)).over(together))
+    )
+
+
+def offer_days(offers: DataFrame, days: DataFrame, daily_fact: DataFrame, daily_promo_fact: DataFrame) -> DataFrame:
+    """Sales on the days of every root, store and promotion, whatever its number of offers.
+
+    The facts are joined at this narrow grain; offers fan out afterwards.
+    """
+    day = ["date", *PAIR]
+    booked = daily_promo_fact.where(F.col("promo_id").isNotNull()).select(
+        *day, *PROMO, *[F.col(m).alias(f"pr_{m}") for m in SHARED], *OFFER_MEASURES
+    )
+    unbooked = daily_promo_fact.where(F.col("promo_id").isNull() & F.col("promo_year").isNull()).select(
+        *day, *[F.col(m).alias(f"npr_{m}") for m in SHARED]
     )
-    price = F.coalesce(F.col("std_price").cast(RATE), F.col("_observed"))
+    observed = daily_fact.select(*day, F.col("std_price_per_unit").alias("observed_price"), "n_promo")
     return (
-        offers.join(days, PROMO)
-        .join(observed, ["date", *PAIR], "left")
-        .withColumn("std_price", price)
-        .drop("_observed")
+        offers.select(*PROMO, *PAIR).distinct()
+        .join(days, PROMO)
+        .join(observed, day, "left")
+        .join(unbooked, day, "left")
+        .join(booked, [*day, *PROMO], "left")
     )
 
 
-def allocate(promo_rows: DataFrame, daily_promo_fact: DataFrame) -> DataFrame:
+def promo_daily(offers: DataFrame, day_rows: DataFrame) -> DataFrame:
+    """Valid offers on every campaign day; a missing usual price is the day's observed one."""
+    price = F.coalesce(F.col("std_price").cast(RATE), F.col("observed_price"))
+    return offers.join(day_rows, [*PROMO, *PAIR]).withColumn("std_price", price).drop("observed_price")
+
+
+def allocate(promo_rows: DataFrame) -> DataFrame:
     """Give every offer row its part of the day's sales.
 
     Sales booked on the promotion are shared by its offer rows; sales without a
     promotion are shared by all offer rows of all the day's promotions.
     """
-    day = ["date", *PAIR]
-    taken = ["total_sale_amt", "total_sale_qty", "total_margin_amt", "total_price_if_sku_std_price"]
-    booked = daily_promo_fact.where(F.col("promo_id").isNotNull()).select(
-        *day, *PROMO,
-        *[F.col(m).alias(f"pr_{m}") for m in taken],
-        *OFFER_MEASURES,
-    )
-    unbooked = F.col("promo_id").isNull() & F.col("promo_year").isNull()
-    rest = daily_promo_fact.groupBy(*day).agg(
-        F.max("n_promo").alias("n_promo"),
-        *[F.sum(F.when(unbooked, F.col(m))).cast("decimal(18,4)").alias(f"npr_{m}") for m in taken],
-    )
-    same_offer = Window.partitionBy(*day, *PROMO)
-    rows = promo_rows.withColumn("n_promo_mech", F.count(F.lit(1)).over(same_offer))
-    joined = rows.join(booked, [*day, *PROMO], "left").join(rest, day, "left")
     mech, all_rows = F.col("n_promo_mech"), F.col("n_promo_mech") * F.col("n_promo")
 
     def share(m: str) -> Column:
@@ -125,15 +134,11 @@ def allocate(promo_rows: DataFrame, daily_promo_fact: DataFrame) -> DataFrame:
 
     offer, std = F.col("discounted_price_promo"), F.col("std_price")
     cut = (F.col("promo_mechanic") == PRICE_CUT) & (offer > 0) & (std > 0) & (std >= offer)
-    kept = ["npr_total_sale_amt", "npr_total_sale_qty", "npr_total_margin_amt",
-            "pr_total_sale_amt", "pr_total_sale_qty", "pr_total_margin_amt"]
-    return joined.select(
-        *promo_rows.columns, "n_promo_mech", "n_promo", *kept,
-        F.when(cut, fixed(100 * (1 - ratio(offer, std)))).alias("discount_depth_10"),
-        *[fixed(share(m)).alias(m) for m in taken[:3]],
-        fixed(share("total_sale_amt") - share("total_price_if_sku_std_price")).alias("total_discount_amt"),
-        *OFFER_MEASURES,
-    )
+    return promo_rows.withColumns({
+        "discount_depth_10": F.when(cut, fixed(100 * (1 - ratio(offer, std)))),
+        **{m: fixed(share(m)) for m in SHARED[:3]},
+        "total_discount_amt": fixed(share("total_sale_amt") - share("total_price_if_sku_std_price")),
+    })
 
 
 def matched(allocated: DataFrame) -> DataFrame:
@@ -160,8 +165,11 @@ def depth_summary(rows: DataFrame) -> DataFrame:
     )
 
 
-def promo_daily_total(rows: DataFrame, depths: DataFrame, weekly_fact: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Daily offer sales with the final depth and the promo flags of the weeks around."""
+def final_offers(offers: DataFrame, depths: DataFrame, weekly_fact: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Offers with the final depth and the promo flags of the weeks around.
+
+    Neither depends on the day, so both are attached before offers fan out to days.
+    """
     cut = depths.select(
         *PROMO, "sku_root_id", "promo_mechanic",
         F.col("discount_depth").alias("_depth"), F.col("discount_depth_rank").alias("_rank"),
@@ -175,15 +183,20 @@ def promo_daily_total(rows: DataFrame, depths: DataFrame, weekly_fact: DataFrame
     before = flags.withColumnsRenamed({"_week": "_before", "_flag": "promo_prev_week"})
     after = flags.withColumnsRenamed({"_week": "_after", "_flag": "promo_pf_week"})
     is_cut = F.col("promo_mechanic") == PRICE_CUT
-    wide = (
-        rows.join(around, PROMO)
+    return (
+        offers.join(around, PROMO)
         .join(cut, [*PROMO, "sku_root_id", "promo_mechanic"], "left")
         .join(before, [*PAIR, "_before"], "left")
         .join(after, [*PAIR, "_after"], "left")
         .withColumn("discount_depth", F.when(is_cut, F.col("_depth")).otherwise(F.col("discount_depth")))
         .withColumn("discount_depth_rank", F.when(is_cut, F.col("_rank")).otherwise(F.col("discount_depth_rank")))
+        .drop("_before", "_after", "_depth", "_rank")
     )
-    return wide.select(
+
+
+def promo_daily_total(finals: DataFrame, day_rows: DataFrame) -> DataFrame:
+    """Daily sales of the final offers."""
+    return matched(allocate(promo_daily(finals, day_rows))).select(
         "date", *OFFER_KEY, *DISPLAY, "n_promo_mech", "n_promo", "promo_prev_week", "promo_pf_week",
         *ALLOCATED, *OFFER_MEASURES,
     )
@@ -235,8 +248,8 @@ def promo_summary(
     return rows.groupBy("date", *PROMO_KEY).agg(
         *formats,
         F.sort_array(F.collect_set("store_id")).alias("store_ids"),
-        F.count_distinct("store_id").alias("no_impacted_stores"),
-        F.count_distinct("store_geography_region").alias("no_impacted_regions"),
+        F.size(F.collect_set("store_id")).alias("no_impacted_stores"),
+        F.size(F.collect_set("store_geography_region")).alias("no_impacted_regions"),
         mean_of("store_size").alias("avg_store_size"),
         *[F.max(c).alias(c) for c in highest],
         mean_of("n_days_promo_week").alias("n_days_promo_week"),
@@ -249,9 +262,9 @@ def promo_summary(
     )
 
 
-def post_promo(daily_total: DataFrame, daily_fact: DataFrame, campaigns: DataFrame, days: int = 28) -> DataFrame:
-    """Sales of the days after the end of every offer."""
-    offers = daily_total.select(*OFFER_KEY, *DISPLAY, "n_promo_mech", "promo_prev_week").distinct()
+def post_promo(finals: DataFrame, daily_total: DataFrame, daily_fact: DataFrame, campaigns: DataFrame, days: int = 28) -> DataFrame:
+    """Sales of the days after the end of every offer that has sales days."""
+    live = daily_total.select(*PROMO, *PAIR).distinct()
     ends = campaigns.select(*PROMO, each_day(F.date_add("end_date", 1), F.date_add("end_date", days)).alias("date"))
     sales = daily_fact.select(
         "date", *PAIR,
@@ -261,4 +274,5 @@ def post_promo(daily_total: DataFrame, daily_fact: DataFrame, campaigns: DataFra
         F.col("n_promo").alias("pf_n_promo"),
         F.col("promo_flag").alias("pf_promo_flag"),
     )
-    return offers.join(ends, PROMO).join(sales, ["date", *PAIR])
+    offers = finals.select(*OFFER_KEY, *DISPLAY, "n_promo_mech", "promo_prev_week").distinct()
+    return live.join(ends, PROMO).join(sales, ["date", *PAIR]).join(offers, [*PROMO, *PAIR])

@@ -20,8 +20,8 @@ from ..sources import retail_adapter
 
 # Tables that are read many times and cut long plans.
 WRITTEN = {
-    "sku", "root_sku", "promo_to_sku", "trans", "daily_promo", "daily", "weekly_promo", "weekly", "std_price_margin",
-    "promo_daily_total", "promo_weekly_total", "promo_summary", "baseline", "baseline_promo", "sku_baseline",
+    "sku", "root_sku", "promo_to_sku", "trans", "daily_root_promo", "daily_promo", "daily", "weekly_promo", "weekly", "std_price_margin",
+    "offer_rows", "offer_days", "final_offers", "promo_daily_total", "promo_weekly_total", "promo_summary", "baseline", "baseline_promo", "sku_baseline",
     "daily_lined", "promo_lined", "post_lined", "cume", "price_points", "store_lines", "forecast", "train",
 }
 MECHANICS = ["10", "20"]
@@ -77,25 +77,26 @@ class Mart:
             "grid": lambda: facts.dense_grid(m["daily_root_promo"], m["calendar"]),
             "grid_promos": lambda: facts.grid_with_promos(m["grid"], m["promo_root_days"]),
             "filled": lambda: facts.gap_fill(m["grid_promos"], m["daily_root_promo"]),
-            "daily_promo": lambda: facts.daily_promo(m["filled"]),
+            "daily_promo": lambda: m["filled"],
             "daily": lambda: facts.daily(m["daily_promo"]),
             "weekly_promo": lambda: facts.weekly_promo(m["daily_promo"]),
             "weekly": lambda: facts.weekly(m["weekly_promo"]),
             "std_price_margin": lambda: facts.std_price_margin(m["trans"], m["daily"], m["root_sku"]),
-            "promo_daily": lambda: promo_facts.promo_daily(
-                m["promo_to_sku"], m["campaign_days"], m["store"], m["root_sku"], m["daily"]
-            ),
-            "allocated": lambda: promo_facts.allocate(m["promo_daily"], m["daily_promo"]),
+            "offer_rows": lambda: promo_facts.offer_rows(m["promo_to_sku"], m["store"], m["root_sku"]),
+            "offer_days": lambda: promo_facts.offer_days(m["offer_rows"], m["campaign_days"], m["daily"], m["daily_promo"]),
+            "promo_daily": lambda: promo_facts.promo_daily(m["offer_rows"], m["offer_days"]),
+            "allocated": lambda: promo_facts.allocate(m["promo_daily"]),
             "matched": lambda: promo_facts.matched(m["allocated"]),
             "depths": lambda: promo_facts.depth_summary(m["matched"]),
-            "promo_daily_total": lambda: promo_facts.promo_daily_total(
-                m["matched"], m["depths"], m["weekly"], m["campaign"]
-            ),
+            "final_offers": lambda: promo_facts.final_offers(m["offer_rows"], m["depths"], m["weekly"], m["campaign"]),
+            "promo_daily_total": lambda: promo_facts.promo_daily_total(m["final_offers"], m["offer_days"]),
             "promo_weekly_total": lambda: promo_facts.promo_weekly_total(m["promo_daily_total"]),
             "promo_summary": lambda: promo_facts.promo_summary(
                 m["promo_weekly_total"], m["weekly"], m["campaign"], m["store"]
             ),
-            "post_promo": lambda: promo_facts.post_promo(m["promo_daily_total"], m["daily"], m["campaign"]),
+            "post_promo": lambda: promo_facts.post_promo(
+                m["final_offers"], m["offer_days"].where(F.col("n_promo").isNotNull()), m["daily"], m["campaign"]
+            ),
             "campaign_detail": lambda: promo_facts.campaign_detail(m["campaign"], m["calendar"]),
             "baseline": lambda: baseline.promo_baseline(m["promo_summary"], m["weekly"], m["root_sku"]),
             "baseline_promo": lambda: dashboards.baseline_promo(

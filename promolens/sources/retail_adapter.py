@@ -273,10 +273,10 @@ def promos(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _sold(t: dict[str, DataFrame]) -> DataFrame:
+def _sold(t: dict[str, DataFrame], lines: DataFrame | None = None) -> DataFrame:
     """Shipped lines with product, store and day."""
     return (
-        t["lineitem"]
+        (t["lineitem"] if lines is None else lines)
         .join(_parts(t), F.col("l_partkey") == F.col("p_partkey"))
         .join(t["supplier"].select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("d", F.to_date("l_shipdate"))
@@ -346,8 +346,10 @@ def _tickets(t: dict[str, DataFrame]) -> DataFrame:
     key = F.col("l_orderkey")
     clock = F.concat(F.lpad(_text(key % 12 + 8), 2, "0"), F.lit(":"), F.lpad(_text(key % 4 * 15), 2, "0"))
     dia = F.date_format("d", "yyyyMMdd")
+    # Placed by order, as the join with the orders needs it; this also cuts up a single large file.
+    placed = t["lineitem"].repartition("l_orderkey")
     return (
-        _sold(t)
+        _sold(t, placed)
         .join(t["orders"].select("o_orderkey", "o_custkey", "o_orderpriority"), key == F.col("o_orderkey"))
         .withColumn("COD_LOC", _text("s_nationkey"))
         .withColumn("DIA", dia)
