@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, sharding
+from . import decontaminate, line_crf, mixing, sharding, token_index
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir))
 
@@ -21,9 +27,18 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_docs(spark, sf_dir))
 
 
+def op7_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_index.write_tokens(_docs(spark, sf_dir), token_index.folder_for(spark), _tokenizer())
+    return token_index.read_digests(manifest)
+
+
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.judge(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op5_sharding, op9_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op5_sharding, op7_token_index, op8_line_crf, op9_decontaminate)}
 SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op5_sharding": sharding.SQL, "op9_decontaminate": decontaminate.SQL}
