@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_crf, mixing, sharding, token_index
+from . import decontaminate, language_id, line_crf, mixing, rule_ensemble, sharding, token_index
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_docs(spark, sf_dir))
 
 
+def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ensemble.classify(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_index.write_tokens(_docs(spark, sf_dir), token_index.folder_for(spark), _tokenizer())
     return token_index.read_digests(manifest)
@@ -40,5 +44,9 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op5_sharding, op7_token_index, op8_line_crf, op9_decontaminate)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_docs(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op5_sharding, op6_rule_ensemble, op7_token_index, op8_line_crf, op9_decontaminate, op10_language_id)}
 SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op5_sharding": sharding.SQL, "op9_decontaminate": decontaminate.SQL}
