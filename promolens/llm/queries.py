@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, line_crf, mixing, rule_ensemble, sharding, token_index
+from . import decontaminate, language_id, line_crf, mixing, rule_ensemble, sharding, token_index, url_filter
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = spark.createDataFrame(url_filter.RULES + [(h, "block") for h in url_filter.BLOCKED], "key string, verdict string")
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), entries)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_docs(spark, sf_dir))
 
@@ -48,5 +53,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_docs(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op5_sharding, op6_rule_ensemble, op7_token_index, op8_line_crf, op9_decontaminate, op10_language_id)}
-SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op5_sharding": sharding.SQL, "op9_decontaminate": decontaminate.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op4_url_filter, op5_sharding, op6_rule_ensemble, op7_token_index, op8_line_crf, op9_decontaminate, op10_language_id)}
+SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op4_url_filter": url_filter.SQL, "op5_sharding": sharding.SQL, "op9_decontaminate": decontaminate.SQL}
