@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, line_crf, mixing, rule_ensemble, sharding, token_index, url_filter
+from . import decontaminate, html_wrapper, language_id, line_crf, mixing, rule_ensemble, sharding, shingle_join, token_index, url_filter
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +19,18 @@ def _tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.join(_docs(spark, sf_dir))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir))
 
 
+def op3_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = spark.createDataFrame(url_filter.RULES + [(h, "block") for h in url_filter.BLOCKED], "key string, verdict string")
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), entries)
@@ -53,5 +61,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_docs(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_mixing, op4_url_filter, op5_sharding, op6_rule_ensemble, op7_token_index, op8_line_crf, op9_decontaminate, op10_language_id)}
-SQL: dict[str, str] = {"op2_mixing": mixing.SQL, "op4_url_filter": url_filter.SQL, "op5_sharding": sharding.SQL, "op9_decontaminate": decontaminate.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_shingle_join, op2_mixing, op3_html_wrapper, op4_url_filter, op5_sharding, op6_rule_ensemble, op7_token_index, op8_line_crf, op9_decontaminate, op10_language_id)}
+SQL: dict[str, str] = {"op1_shingle_join": shingle_join.SQL, "op2_mixing": mixing.SQL, "op4_url_filter": url_filter.SQL, "op5_sharding": sharding.SQL, "op9_decontaminate": decontaminate.SQL}
