@@ -53,19 +53,17 @@ def rarest_words(docs: DataFrame, windows: DataFrame, work: Workspace) -> DataFr
 
 def _places(docs: DataFrame, prefix_words: list[str], width: int) -> DataFrame:
     """Per document its number of words and, for each place of a prefix word, the words around it."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col("text")).alias("w"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.md5("text").alias("mark"), words_of(F.col("text")).alias("w"))
     found = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get(F.col("w"), i).isin(prefix_words)) if prefix_words else F.array().cast("array<int>")
     rows = rows.select("*", F.when(F.size("w") > 0, found).otherwise(F.array().cast("array<int>")).alias("at"))
     side = width - 1
     around = F.transform("at", lambda i: F.struct(
         i.alias("at"), F.least(i, F.lit(side)).alias("left"),
         F.slice(F.col("w"), F.greatest(i - side, F.lit(0)) + 1, F.least(i, F.lit(side)) + width).alias("near")))
-    return rows.select("row", "doc_id", F.size("w").cast("long").alias("n_words"), around.alias("places"))
+    return rows.select("row", "doc_id", "mark", F.size("w").cast("long").alias("n_words"), around.alias("places"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20, block: int = BLOCK) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated (share * n_hit >= n_words, some hit)."""
-    work = Workspace(docs.sparkSession)
+def _judged(docs: DataFrame, benchmark: DataFrame, width: int, share: int, block: int, work: Workspace) -> DataFrame:
     windows = work.keep(item_windows(benchmark, width), "windows")
     prefixes = work.keep(rarest_words(docs, windows, work), "prefixes")
     # The benchmark's prefix words, in order, taken a block at a time.
@@ -87,13 +85,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
         F.greatest(a["end"], x["start"] + x["length"]).alias("end")), lambda a: a["n"])
     per = per.select("row", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("ids"))
     # The first scan counts the words of every document.
-    out = scans[0].select("row", "doc_id", "n_words").join(per, "row", "left")
+    out = scans[0].select("row", "doc_id", "mark", "n_words").join(per, "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        "doc_id", "mark", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
         F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"), ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20, block: int = BLOCK) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated (share * n_hit >= n_words, some hit)."""
+    return _judged(docs, benchmark, width, share, block, Workspace(docs.sparkSession)).drop("mark")
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs``, all columns, without contaminated ones, which are known by the digest of their text."""
+    work = Workspace(docs.sparkSession)
+    found = work.keep(_judged(docs, benchmark, width, share, block, work).where("contaminated").select("mark").distinct(), "contaminated")
+    rows = docs.select(F.struct("*").alias("row"), F.md5("text").alias("mark"))
+    return rows.join(found, "mark", "left_anti").select("row.*")
+
+
 SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,

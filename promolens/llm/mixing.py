@@ -51,13 +51,14 @@ def water_fill(sources: DataFrame, share: float, max_epochs: float) -> DataFrame
     return rows.select("source", "source_size", "weight", F.when(F.col("full"), F.col("cap")).otherwise(F.col("weight") * F.col("water")).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_epochs: float = 2, seed: str = "mix") -> DataFrame:
-    """One row per document: doc_id, size, source_size, target (its source's) and taken (words, repeats counted)."""
+def _repetitions(docs: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float, seed: str) -> DataFrame:
+    """Rows (row, size, source_size, target, times) with the whole document as ``row``."""
     work = Workspace(docs.sparkSession)
     # '=' keeps a null source apart from a source named ''.
     name = F.when(F.col("source").isNotNull(), F.concat(F.lit("="), F.col("source"))).otherwise(F.lit(""))
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    slim = work.keep(docs.select("doc_id", "source", name.alias("key"), word_count(F.col("text")).alias("size"), order.alias("h")), "sizes")
+    whole_rows = docs.select(F.struct("*").alias("row"), "source", name.alias("key"), word_count(F.col("text")).alias("size"), order.alias("h"))
+    slim = work.keep(whole_rows.select("source", "key", "size", "h"), "sizes")
     sources = slim.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
     plan = water_fill(sources.select("source", "source_size", cyclic_weights(weights).alias("weight")), share, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -73,13 +74,25 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
         sums = sums.groupBy("key", "need").agg(F.min(F.struct("p", "base")).alias("first"))
         ends = work.keep(sums.select("key", "need", F.col("first.p").alias("prefix"), F.col("first.base").alias("base")), f"ends{width}")
     place = F.substring("h", 1, DIGITS[-1])
-    rows = slim.join(plan.drop("need"), "key").join(ends, "key", "left").select("*", F.when(F.col("size") > 0, place).alias("place"))
+    rows = whole_rows.drop("source").join(plan.drop("need"), "key").join(ends, "key", "left").select("*", F.when(F.col("size") > 0, place).alias("place"))
     inside = F.col("place") == F.col("prefix")
     upto = F.col("base") + F.sum("size").over(Window.partitionBy("key").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0))
     last = rows.where(inside).select("*", (2 * upto - F.col("size") <= 2 * F.col("need")).alias("extra"))
     rest = rows.where(~F.coalesce(inside, F.lit(False))).select("*", F.coalesce(F.col("place") < F.col("prefix"), F.lit(False)).alias("extra"))
-    taken = F.col("size") * (F.col("whole") + F.col("extra").cast("long"))
-    return last.unionByName(rest).select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    times = F.when(F.col("size") > 0, F.col("whole") + F.col("extra").cast("long")).otherwise(F.lit(0))
+    return last.unionByName(rest).select("row", "size", "source_size", "target", times.cast("long").alias("times"))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_epochs: float = 2, seed: str = "mix") -> DataFrame:
+    """One row per document: doc_id, size, source_size, target (its source's) and taken (words, repeats counted)."""
+    rows = _repetitions(docs.select("doc_id", "source", "text"), weights, share, max_epochs, seed)
+    return rows.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_epochs: float = 2, seed: str = "mix") -> DataFrame:
+    """The mix itself: the rows of ``docs``, all columns, each as often as it is taken."""
+    rows = _repetitions(docs, weights, share, max_epochs, seed).where("times > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
 
 
 SQL = """

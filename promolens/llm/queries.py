@@ -13,7 +13,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def _tokenizer() -> str:
+def tokenizer() -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path("word_bpe_49k.json"))
@@ -45,7 +45,7 @@ def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = token_index.write_tokens(_docs(spark, sf_dir), token_index.folder_for(spark), _tokenizer())
+    manifest = token_index.write_tokens(_docs(spark, sf_dir), token_index.folder_for(spark), tokenizer())
     return token_index.read_digests(manifest)
 
 

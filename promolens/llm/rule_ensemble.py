@@ -30,14 +30,14 @@ STATISTICS = ["words", "distinct_words", "word_length", "symbols", "capitals", "
 Rule = tuple[tuple[str, str, float], ...]
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, statistics ...) of the whole texts, from a single split into words."""
+def with_statistics(docs: DataFrame, kept: Column) -> DataFrame:
+    """(``kept``, statistics ...) of the whole texts, from a single split into words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), F.split(text, r"[\x20\x09-\x0D]+").alias("w"), F.split(text, "\n").alias("l"))
+    rows = docs.select(kept.alias("kept"), text.alias("text"), F.split(text, r"[\x20\x09-\x0D]+").alias("w"), F.split(text, "\n").alias("l"))
     n, chars, lines = F.size("w"), F.greatest(F.length("text"), F.lit(1)), F.size("l")
     without = lambda drop: (F.length("text") - F.length(F.translate("text", drop, ""))) / chars
     return rows.select(
-        "doc_id", F.log1p(n.cast("double")).alias("words"), (F.size(F.array_distinct("w")) / n).alias("distinct_words"), (chars / n).alias("word_length"),
+        "kept", F.log1p(n.cast("double")).alias("words"), (F.size(F.array_distinct("w")) / n).alias("distinct_words"), (chars / n).alias("word_length"),
         without(SYMBOLS).alias("symbols"), without(CAPITALS).alias("capitals"),
         ((F.length("text") - F.length(F.replace("text", F.lit("."), F.lit("")))) / n).alias("sentence_ends"),
         F.log1p(lines.cast("double")).alias("lines"), (F.size(F.array_distinct("l")) / lines).alias("distinct_lines"),
@@ -97,13 +97,22 @@ def held_out(fold: int = 0, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
 
 
-def classify(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:
-    """Per document: doc_id, held_out, score, predicted."""
-    work = Workspace(docs.sparkSession)
+def _scored(docs: DataFrame, labels: DataFrame, work: Workspace) -> tuple[DataFrame, Column]:
+    """(doc_id, statistics ...) of all documents, and the score as a column over them."""
     quality = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("double").alias("label"))
     # One pass over the texts feeds both training and scoring.
-    stats = work.keep(with_statistics(docs), "statistics")
+    stats = work.keep(with_statistics(docs, F.col("doc_id")).withColumnRenamed("kept", "doc_id"), "statistics")
     rows = work.keep(stats.where(~held_out()).join(quality, "doc_id").drop("doc_id"), "learnt_from")
-    intercept, rules = learn_rules(rows)
-    score = score_column(intercept, rules)
+    return stats, score_column(*learn_rules(rows))
+
+
+def classify(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:
+    """Per document: doc_id, held_out, score, predicted."""
+    stats, score = _scored(docs, labels, Workspace(docs.sparkSession))
     return stats.select("doc_id", held_out().alias("held_out"), score.alias("score")).select("*", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, that the compiled rules accept; a filter over the scan, without a join."""
+    _, score = _scored(docs, labels, Workspace(docs.sparkSession))
+    return with_statistics(docs, F.struct("*")).where(score >= cut).select("kept.*")

@@ -291,9 +291,8 @@ def _verified(threshold: float) -> Callable:
     return verify
 
 
-def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99999, leaf: int = 2048, tile: int = 2048) -> DataFrame:
-    """Per document: doc_id, class_id and n_links (other documents of similarity ``threshold`` or more), with n_shingles."""
-    work = Workspace(docs.sparkSession)
+def _classes(docs: DataFrame, threshold: float, recall: float, leaf: int, tile: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows, and per distinct set (d1, d2, doc_id, mark of its first copy, copies, class_id, n_links)."""
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
     sketched = work.keep(rows.mapInPandas(_sketch_rows, "doc_id long, mark long, n long, d1 long, d2 long, sketch binary"), "sketches")
     sets = sketched.where("n > 0").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "mark", "sketch")).alias("first"), F.count("*").alias("copies"))
@@ -314,15 +313,35 @@ def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99999, leaf:
         classes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), work, "classes")
     linked = links.join(classes.withColumnRenamed("node", "rep"), "rep")
     named = linked.join(reps.select("rep", "doc_id"), "rep").groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    linked = linked.join(named, "label").select("rep", "links", "class_id")
-    reps = reps.select("rep", "d1", "d2", "copies", F.col("doc_id").alias("own")).join(linked, "rep", "left")
-    reps = work.keep(reps.select("d1", "d2", F.when(F.col("links").isNull(), F.col("own")).otherwise(F.col("class_id")).alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classed")
+    linked = linked.join(named, "label").select("rep", "links", "label", "class_id")
+    reps = reps.drop("sketch").join(linked, "rep", "left")
+    return sketched, work.keep(reps.select(
+        "d1", "d2", "doc_id", "mark", "copies", F.coalesce("label", "rep").alias("label"),
+        F.when(F.col("links").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classed")
+
+
+def join(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99999, leaf: int = 2048, tile: int = 2048) -> DataFrame:
+    """Per document: doc_id, class_id and n_links (other documents of similarity ``threshold`` or more), with n_shingles."""
+    sketched, sets = _classes(docs, threshold, recall, leaf, tile, Workspace(docs.sparkSession))
     out = sketched.select("doc_id", "n", "d1", "d2")
-    some = out.where("n > 0").join(reps, ["d1", "d2"]).select("doc_id", "class_id", "n_links", F.col("n").alias("n_shingles"))
+    some = out.where("n > 0").join(sets.select("d1", "d2", "class_id", "n_links"), ["d1", "d2"]).select("doc_id", "class_id", "n_links", F.col("n").alias("n_shingles"))
     none = out.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("n").alias("n_shingles"))
     return some.unionByName(none)
 
 
+def one_of_each(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99999, leaf: int = 2048, tile: int = 2048) -> DataFrame:
+    """The rows of ``docs``, all columns, with the one of least doc_id (then text hash) left of each class; wordless rows stay."""
+    work = Workspace(docs.sparkSession)
+    sketched, sets = _classes(docs, threshold, recall, leaf, tile, work)
+    best = work.keep(sets.groupBy("label").agg(F.min(F.struct("doc_id", "mark")).alias("best")).select("best.*"), "best")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("i"), F.xxhash64("text").alias("m"), F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("words"))
+    left = rows.where("words").join(best, rows["i"].eqNullSafe(best["doc_id"]) & (rows["m"] == best["mark"])).select("row", "i", "m")
+    if not sketched.where("n > 0").groupBy("doc_id", "mark").count().where("count > 1").isEmpty():
+        left = left.dropDuplicates(["i", "m"])
+    return left.select("row").unionByName(rows.where("NOT words").select("row")).select("row.*")
+
+
 SQL = r"""
 WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS MATERIALIZED (SELECT DISTINCT r, hash(w[p:p + 4]) AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM d WHERE len(w) > 0)),
