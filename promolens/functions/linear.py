@@ -59,29 +59,52 @@ def f_pvalue(f, d1, d2) -> np.ndarray:
     return incomplete_beta(np.asarray(d2, float) / 2, np.asarray(d1, float) / 2, d2 / (d2 + d1 * np.maximum(f, 0)))
 
 
-def solve(xtx: np.ndarray, xty: np.ndarray, yty: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
-    """Least squares of many groups at once; column 0 of X is the constant.
+def solve(mean_x: np.ndarray, dev_x: np.ndarray, mean_y: np.ndarray, dev_y: np.ndarray, zz: np.ndarray, zy: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """Least squares with a constant for many groups at once, from standardised sums.
 
-    Minimum-norm coefficients, R2, p-values of the coefficients and of the whole
-    fit, and variance inflation factors.
+    ``zz`` and ``zy`` are sums of products of the columns after each was centred by its group's
+    mean and divided by its group's deviation (columns without spread stay 0), so neither the size nor the
+    offset of a column matters to the rank. Where the columns depend on each other the coefficients
+    are those of least norm in the given units. Also R2, p-values of the coefficients and of the whole fit, and
+    variance inflation factors; the constant comes first.
     """
-    groups, k, _ = xtx.shape
-    inverse = np.linalg.pinv(xtx, rcond=1e-10, hermitian=True)
-    rank = np.linalg.matrix_rank(xtx, tol=None, hermitian=True)
-    coef = np.einsum("gij,gj->gi", inverse, xty)
-    ssr = np.maximum(yty - np.einsum("gi,gi->g", coef, xty), 0.0)
-    sst = np.maximum(yty - xty[:, 0] ** 2 / n, 0.0)
+    groups, k, _ = zz.shape
+    scale = np.divide(1.0, dev_x, out=np.zeros_like(dev_x), where=dev_x > 0)
+    corr = zz / n[:, None, None]
+    inverse = np.linalg.pinv(corr, rcond=1e-10, hermitian=True)
+    rank = 1 + np.linalg.matrix_rank(corr, tol=1e-10, hermitian=True)
+    standard = np.einsum("gij,gj->gi", inverse, zy / n[:, None])
+    slopes = standard * scale * dev_y[:, None]
+    coef = np.concatenate([(mean_y - (slopes * mean_x).sum(axis=1))[:, None], slopes], axis=1)
+    # A generalised inverse of X'X in the given units.
+    g = np.zeros((groups, k + 1, k + 1))
+    inner = inverse * scale[:, :, None] * scale[:, None, :] / n[:, None, None]
+    side = -np.einsum("gij,gj->gi", inner, mean_x)
+    g[:, 1:, 1:], g[:, 0, 1:], g[:, 1:, 0] = inner, side, side
+    g[:, 0, 0] = 1 / n - np.einsum("gi,gi->g", side, mean_x)
+    full = rank == k + 1
+    for i in np.flatnonzero(~full):
+        values, vectors = np.linalg.eigh(corr[i])
+        free = vectors[:, values <= 1e-10].T
+        # A direction that changes no fitted value: steps in the columns, undone by the constant.
+        steps = np.where(dev_x[i] > 0, free * scale[i], free)
+        null = np.concatenate([-(steps @ mean_x[i])[:, None], steps], axis=1)
+        basis = np.linalg.qr((null / np.abs(null).max(axis=1, keepdims=True)).T)[0]
+        keep = np.eye(k + 1) - basis @ basis.T
+        coef[i], g[i] = keep @ coef[i], keep @ g[i] @ keep
+    explained = np.einsum("gi,gi->g", standard, zy / n[:, None])
+    spread = n * dev_y**2
+    ssr = np.maximum(1 - explained, 0.0) * spread
+    varies = dev_y > 1e-12 * np.maximum(np.abs(mean_y), 1e-300)
     with np.errstate(all="ignore"):
-        r2 = np.where(sst > 1e-12 * np.maximum(yty, 1e-300), 1 - ssr / sst, np.nan)
+        r2 = np.where(varies, np.minimum(explained, 1.0), np.nan)
         dof = n - rank
         sigma2 = np.where(dof > 0, ssr / dof, np.nan)
-        se = np.sqrt(sigma2[:, None] * np.einsum("gii->gi", inverse))
+        se = np.sqrt(sigma2[:, None] * np.maximum(np.einsum("gii->gi", g), 0))
         p = np.where(se > 0, t_pvalue(coef / se, np.maximum(dof, 1)[:, None]), np.nan)
         model_dof = rank - 1
-        f = np.where((model_dof > 0) & (dof > 0), ((sst - ssr) / np.maximum(model_dof, 1)) / sigma2, np.nan)
+        f = np.where((model_dof > 0) & (dof > 0), ((spread - ssr) / np.maximum(model_dof, 1)) / sigma2, np.nan)
         fp = np.where(np.isfinite(f), f_pvalue(np.nan_to_num(f), np.maximum(model_dof, 1), np.maximum(dof, 1)), np.nan)
-        tss = np.einsum("gii->gi", xtx).copy()
-        tss[:, 1:] -= xtx[:, 0, 1:] ** 2 / n[:, None]
-        full = rank == k
-        vif = np.where(full[:, None], tss * np.einsum("gii->gi", inverse), np.inf)
+        constant = n * np.einsum("gii->gi", g)[:, 0]
+        vif = np.where(full[:, None], np.concatenate([constant[:, None], np.einsum("gii->gi", inverse)], axis=1), np.inf)
     return {"coef": coef, "r2": r2, "p": p, "f_p": fp, "vif": vif}

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
-RATE = "decimal(18,6)"
+RATE = "decimal(28,6)"  # sums and squares of large series fit
 
 
 def col(c: Column | str) -> Column:
@@ -31,8 +31,10 @@ def ratio(a: Column | str, b: Column | str) -> Column:
 
 def fixed(c: Column | str) -> Column:
     """Six-decimal value of a double, halves going up."""
-    units = F.floor(dbl(c) * 1e6 + 0.5).cast("decimal(18,0)")
-    return (units * F.lit(Decimal("0.000001"))).cast(RATE)
+    v = dbl(c)
+    # Above 2^33 a double has no more than six decimals, and scaling it first would leave the range of a long.
+    units = F.floor(F.when(F.abs(v) < 2.0**33, v) * 1e6 + 0.5).cast("decimal(18,0)")
+    return F.coalesce((units * F.lit(Decimal("0.000001"))).cast(RATE), v.cast(RATE))
 
 
 def mean_of(c: Column | str) -> Column:

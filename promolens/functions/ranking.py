@@ -1,10 +1,9 @@
 """Ranks and exact quantiles in groups of any size.
 
-A plain window sorts a whole group in one task. Here equal values are counted
-first, a group is cut into value bands by a monotone function of the value, and
-only the rows of one band meet in a task; the bands' sizes give the offsets. The
-band of a row depends on that row alone, so a recomputed task agrees with the
-others.
+A plain window sorts a whole group in one task. Here equal values are counted first. The counted values are then
+range-partitioned by group and value on splitters that Spark samples from them, so a part is as large as
+any other however close or far its values lie, and a window works inside a part; the parts' totals give the offsets.
+The parts are written before they are numbered, so a recomputed task agrees with the others.
 """
 
 from __future__ import annotations
@@ -12,44 +11,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import Workspace
 from .numeric import dbl
 
-_BANDS_PER_OCTAVE = 256
-
-
-def band(value: Column | str) -> Column:
-    v = dbl(value)
-    return F.coalesce(
-        F.floor(F.signum(v) * F.log2(1 + F.abs(v)) * _BANDS_PER_OCTAVE).cast("long"),
-        F.lit(-(1 << 62)),
-    )
-
 
 def value_positions(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """One row per group and distinct value: ``rows_equal``, ``rows_below``, ``rows_total``.
 
-    NULL values sort first, as in an ascending window.
+    NULL values sort first, as in an ascending window, NaN last.
     """
-    counted = (
-        df.groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("rows_equal"))
-        .withColumn("_band", band(value))
-    )
-    bands = counted.groupBy(*keys, "_band").agg(F.sum("rows_equal").alias("_n"))
-    over_bands = Window.partitionBy(*keys)
-    bands = bands.select(
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows_equal"))
+    parted = counted.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id())
+    counted = Workspace(df.sparkSession).keep(parted, "counted")
+    parts = counted.groupBy(*keys, "_part").agg(F.sum("rows_equal").alias("_n"))
+    over_parts = Window.partitionBy(*keys)
+    parts = parts.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_band").alias("_b"),
-        (F.sum("_n").over(over_bands.orderBy("_band")) - F.col("_n")).alias("_offset"),
-        F.sum("_n").over(over_bands).alias("rows_total"),
+        F.col("_part").alias("_p"),
+        (F.sum("_n").over(over_parts.orderBy("_part")) - F.col("_n")).alias("_offset"),
+        F.sum("_n").over(over_parts).alias("rows_total"),
     )
-    same = F.col("_band") == F.col("_b")
+    same = F.col("_part") == F.col("_p")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    in_band = Window.partitionBy(*keys, "_band").orderBy(value)
+    in_part = Window.partitionBy(*keys, "_part").orderBy(value)
     return (
-        counted.withColumn("_before", F.sum("rows_equal").over(in_band) - F.col("rows_equal"))
-        .join(bands, same)
+        counted.withColumn("_before", F.sum("rows_equal").over(in_part) - F.col("rows_equal"))
+        .join(parts, same)
         .withColumn("rows_below", F.col("_before") + F.col("_offset"))
         .select(*keys, value, "rows_equal", "rows_below", "rows_total")
     )

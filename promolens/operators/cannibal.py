@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.folds import fold_rows
 from ..functions.numeric import cents, dbl, fixed, ratio
-from .baseline import METRICS
+from .counterfactual import METRICS
 
 # Fixed values of cb_flag: 0 no promotion in the segment, 1 first and 2 later weeks
 # beside a promotion, 4 own promotion.
@@ -40,7 +40,7 @@ def cannibal_flags(rows: DataFrame) -> DataFrame:
     return flagged.withColumn("cb_flag", F.when(starts, FIRST).otherwise(F.col("_flag"))).drop("_flag")
 
 
-def cannibal_baseline(rows: DataFrame, level: str = "segment") -> DataFrame:
+def cannibal_counterfactual(rows: DataFrame, level: str = "segment") -> DataFrame:
     """Expected sales of a root in weeks beside a promotion, and what it lost."""
     typed = rows.select(
         "sku_root_id", level, "date", "cb_flag", "promo_flag_binary", dbl("incremental_qty").alias("incremental_qty"),
@@ -92,6 +92,6 @@ def attribute(rows: DataFrame, level: str = "segment", negatives: str = "all") -
     )
 
 
-def cannibalisation(sku_baseline: DataFrame, level: str = "segment", negatives: str = "all") -> DataFrame:
-    flagged = cannibal_flags(segment_promo_count(sku_baseline, level))
-    return attribute(cannibal_baseline(flagged, level), level, negatives)
+def cannibalisation(sku_counterfactual: DataFrame, level: str = "segment", negatives: str = "all") -> DataFrame:
+    flagged = cannibal_flags(segment_promo_count(sku_counterfactual, level))
+    return attribute(cannibal_counterfactual(flagged, level), level, negatives)

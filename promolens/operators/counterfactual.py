@@ -91,7 +91,7 @@ def extended_weeks(rows: DataFrame, ext_weeks: int = 4) -> DataFrame:
     return flagged.unionByName(extra, allowMissingColumns=True)
 
 
-def recursive_baseline(weeks: DataFrame, trend: DataFrame, level: str = "section") -> DataFrame:
+def recursive_counterfactual(weeks: DataFrame, trend: DataFrame, level: str = "section") -> DataFrame:
     """Carry the expected quantity from week to week, rounded at every step."""
     keys = list(dict.fromkeys(["section", level]))
     rows = weeks.join(trend.select("date", *keys, "sale_qty_pct"), ["date", *keys]).select(
@@ -119,23 +119,23 @@ def recursive_baseline(weeks: DataFrame, trend: DataFrame, level: str = "section
     )
 
 
-def promo_baseline(
+def promo_counterfactual(
     promo_summary: DataFrame, weekly_fact: DataFrame, roots: DataFrame, level: str = "section",
     area: str | None = None, ext_weeks: int = 4, require_neighbours: bool = True,
 ) -> DataFrame:
     """All sections in one job; ``area`` narrows the scope."""
     rows = promo_weeks(promo_summary, roots, level, area, require_neighbours)
     trend = level_trend(unpromoted_sales(weekly_fact, roots, level, area), level)
-    return recursive_baseline(extended_weeks(rows, ext_weeks), trend, level)
+    return recursive_counterfactual(extended_weeks(rows, ext_weeks), trend, level)
 
 
 METRICS = ["sale_amt", "sale_qty", "margin_amt"]
 
 
-def weekly_sku_baseline(
+def weekly_sku_counterfactual(
     weekly_fact: DataFrame, roots: DataFrame, level: str = "section", ext_weeks: int = 1
 ) -> DataFrame:
-    """Weekly baseline of a root over all stores, the input of cannibalisation and forecast.
+    """Weekly counterfactual of a root over all stores, the input of cannibalisation and forecast.
 
     A week counts as promoted when more than half of the root's stores are. Flags: 0
     none, 1 first promoted week, 2 later ones, 3 the ``ext_weeks`` after.

@@ -53,7 +53,7 @@ def forward_sales(promo_summary: DataFrame, weekly_fact: DataFrame, campaigns: D
     )
 
 
-def store_promo_weeks(baseline: DataFrame, promo_summary: DataFrame) -> DataFrame:
+def store_promo_weeks(counterfactual: DataFrame, promo_summary: DataFrame) -> DataFrame:
     """For every week of a promotion id, how many of its stores are on any promotion.
 
     Store sets (at most one entry per store) are compared as arrays instead of one row per store.
@@ -66,7 +66,7 @@ def store_promo_weeks(baseline: DataFrame, promo_summary: DataFrame) -> DataFram
     mine, on = stores_of(KEY, "_mine"), stores_of(["date", "sku_root_id"], "_on")
     count = F.size(F.array_intersect("_mine", "_on"))
     return (
-        baseline.select("date", "uniq_id", *KEY)
+        counterfactual.select("date", "uniq_id", *KEY)
         .join(mine, KEY)
         .join(on, ["date", "sku_root_id"])
         .select("date", "uniq_id", count.alias("store_promo_flag"))
@@ -74,14 +74,14 @@ def store_promo_weeks(baseline: DataFrame, promo_summary: DataFrame) -> DataFram
     )
 
 
-def baseline_promo(
-    baseline: DataFrame, promo_summary: DataFrame, weekly_fact: DataFrame, prices: DataFrame, campaigns: DataFrame
+def counterfactual_promo(
+    counterfactual: DataFrame, promo_summary: DataFrame, weekly_fact: DataFrame, prices: DataFrame, campaigns: DataFrame
 ) -> DataFrame:
     """Actual, expected and incremental sales of every promotion week.
 
     Attributes of a promotion come from its first week, so weeks never multiply.
     """
-    bl = baseline.withColumn("discount_depth", F.coalesce("discount_depth", F.lit("ISNULL"))).withColumnRenamed(
+    bl = counterfactual.withColumn("discount_depth", F.coalesce("discount_depth", F.lit("ISNULL"))).withColumnRenamed(
         "total_sale_qty", "tt_sale_qty_ref"
     )
     summary = _keyed(promo_summary)
@@ -135,10 +135,10 @@ def baseline_promo(
         **{f"promo_{m}_bl": F.when(~extension, F.col(f"{m}_bl")) for m in ("sale_amt", "sale_qty", "margin_amt")},
         "promo_flag": F.when(~extension, 1),
     })
-    return out.join(store_promo_weeks(baseline_keys(bl), promo_summary), ["date", "uniq_id"], "left")
+    return out.join(store_promo_weeks(counterfactual_keys(bl), promo_summary), ["date", "uniq_id"], "left")
 
 
-def baseline_keys(bl: DataFrame) -> DataFrame:
+def counterfactual_keys(bl: DataFrame) -> DataFrame:
     return bl.select("date", "uniq_id", *KEY)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_name, each_day, month_name
-from ..functions.numeric import fixed, mean_of, money_sum, ratio
+from ..functions.numeric import RATE, fixed, mean_of, money_sum, ratio
 
 # Fixed value: the status text of a membership that is still pending.
 PENDING = "ALTA PENDIENTE CONFIRMACION"
@@ -197,7 +197,7 @@ def vendor_funding(trans: DataFrame, redemptions: DataFrame, promo_to_sku: DataF
         F.to_date(F.col("DIA").cast("string"), "yyyyMMdd").alias("date"),
     ).agg(money_sum(paid).alias("funding"))
     on_offer = promo_days(promo_to_sku, days).select("promo_id", *key)
-    unit = F.coalesce(fixed(ratio("funding", "total_sale_qty")), F.lit(0).cast("decimal(18,6)"))
+    unit = F.coalesce(fixed(ratio("funding", "total_sale_qty")), F.lit(0).cast(RATE))
     return (
         sold.join(on_offer, key)
         .join(funded, key, "left")

@@ -1,4 +1,4 @@
-"""Forward baseline: smoothed history and a damped seasonal forecast per root."""
+"""Forward counterfactual: smoothed history and a damped seasonal forecast per root."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import smoothing
 from ..functions.numeric import dbl, fixed, mean_of
-from .baseline import METRICS
+from .counterfactual import METRICS
 
 # Workers get the smoothing helper with the function and need no installed package.
 cloudpickle.register_pickle_by_value(smoothing)
@@ -23,7 +23,7 @@ FIT_SCHEMA = (
 )
 
 
-def history(sku_baseline: DataFrame) -> DataFrame:
+def history(sku_counterfactual: DataFrame) -> DataFrame:
     """Actual sales outside promotions, expected sales inside; one row per measure."""
     flag = F.col("change_flag")
 
@@ -36,7 +36,7 @@ def history(sku_baseline: DataFrame) -> DataFrame:
         )
 
     return (
-        sku_baseline.select("sku_root_id", "date", *[value(m).alias(m) for m in METRICS])
+        sku_counterfactual.select("sku_root_id", "date", *[value(m).alias(m) for m in METRICS])
         .unpivot(["sku_root_id", "date"], METRICS, "measure", "hist")
     )
 
@@ -120,7 +120,7 @@ def fit_metrics(fitted: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     inside = F.when((F.col("date") > F.lit(start)) & (F.col("date") <= F.lit(end)), fixed("y_hat_t"))
     params = ["alpha", "beta", "phi", "gamma", "l_0", "b_0"]
     return fitted.groupBy(
-        "sku_root_id", F.concat(F.lit("pred_baseline_"), "measure").alias("metric")
+        "sku_root_id", F.concat(F.lit("pred_counterfactual_"), "measure").alias("metric")
     ).agg(
         *[F.max(p).alias(p) for p in params],
         dbl(F.sum(square)).alias("SSE"),
@@ -133,9 +133,9 @@ def fit_metrics(fitted: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def forecast(
-    sku_baseline: DataFrame, season: int = 12, horizon: int = 16, constant: float = 1000.0, window: int = 4
+    sku_counterfactual: DataFrame, season: int = 12, horizon: int = 16, constant: float = 1000.0, window: int = 4
 ) -> DataFrame:
-    return fit_and_forecast(smoothed(positive_shift(history(sku_baseline), constant), window), season, horizon)
+    return fit_and_forecast(smoothed(positive_shift(history(sku_counterfactual), constant), window), season, horizon)
 
 
 def republish(df: DataFrame, integers: tuple[str, ...] = ("convergence_flag",)) -> DataFrame:

@@ -28,7 +28,7 @@ class Rules:
     """Which training rows stay. ``outliers`` picks the treatment of extreme targets.
 
     ``positive`` keeps targets above zero; ``capped`` also asks for less than
-    ``cap``; ``small_base`` keeps non-positive targets of baselines above
+    ``cap``; ``small_base`` keeps non-positive targets of counterfactuals above
     ``base`` as zero and shortens durations by ``shorten``; ``negative`` sets
     positive targets to zero (after the promotion); ``none`` changes nothing.
     """
@@ -70,7 +70,7 @@ def clean(df: DataFrame, features: list[str], target: str, rules: Rules, keep: l
             df = df.where(y < rules.cap)
         df = _below_quantile(df, target, rules.trim)
     elif rules.outliers == "small_base":
-        df = df.where((y > 0) | ((y <= 0) & (F.col("total_baseline_qty") > rules.base)))
+        df = df.where((y > 0) | ((y <= 0) & (F.col("total_counterfactual_qty") > rules.base)))
         df = df.withColumn(target, F.greatest(y, F.lit(0.0))).where(F.col(target) < rules.cap)
         df = _below_quantile(df, target, rules.trim)
     elif rules.outliers == "negative":
@@ -122,20 +122,33 @@ def split(df: DataFrame, key: Column, train_tenths: int = 8) -> tuple[DataFrame,
 
 def fit_trees(
     train: DataFrame, features: list[str], categorical: list[str], target: str,
-    rounds: int = 20, depth: int = 5, rate: float = 0.1, max_bins: int = 128, seed: int = 42,
+    rounds: int = 20, depth: int = 5, rate: float = 0.1, min_bins: int = 128, seed: int = 42,
+    validation: DataFrame | None = None, tolerance: float = 0.01,
 ) -> PipelineModel:
-    """Gradient-boosted trees on indexed categories and numbers."""
+    """Gradient-boosted trees on indexed categories and numbers.
+
+    A tree needs a bin for each category value, so their number follows from the data and ``min_bins`` is
+    for numbers. With ``validation`` rows ``rounds`` is the most: boosting ends when their error no longer falls by
+    ``tolerance``.
+    """
+    if validation is not None:
+        train = train.withColumn("_held", F.lit(False)).unionByName(validation.withColumn("_held", F.lit(True)))
     cats = [c for c in features if c in categorical]
     stages = []
     if cats:
         stages.append(StringIndexer(
             inputCols=cats, outputCols=[f"{c}_ix" for c in cats], handleInvalid="keep", stringOrderType="alphabetAsc"
         ))
+    bins = min_bins
+    if cats:
+        counts = train.agg(*[F.count_distinct(F.col(c).cast("string")).alias(c) for c in cats]).first()
+        bins = max(min_bins, *[n + 1 for n in counts])  # one more for values not seen
     inputs = [f"{c}_ix" if c in cats else c for c in features]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     stages.append(GBTRegressor(
         labelCol=target, featuresCol="features", predictionCol="prediction", maxIter=rounds, maxDepth=depth,
-        stepSize=rate, maxBins=max_bins, seed=seed,
+        stepSize=rate, maxBins=bins, seed=seed, validationTol=tolerance,
+        **({} if validation is None else {"validationIndicatorCol": "_held"}),
     ))
     typed = train.withColumns({c: F.col(c).cast("string") for c in cats}).withColumns(
         {c: dbl(c) for c in [*features, target] if c not in cats}
@@ -143,6 +156,14 @@ def fit_trees(
     return Pipeline(stages=stages).fit(typed)
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def predict(model: PipelineModel, df: DataFrame, features: list[str], categorical: list[str]) -> DataFrame:
     cats = [c for c in features if c in categorical]
     typed = df.withColumns({c: F.col(c).cast("string") for c in cats}).withColumns(

@@ -59,34 +59,42 @@ def trimmed(rows: DataFrame, target: str, q: float | None) -> DataFrame:
     return rows.join(limits, _GROUP).withColumn("_in", dbl(target) < F.col("_limit"))
 
 
-def _moments(names: list[str], target: str) -> list[Column]:
-    cols = [F.lit(1.0), *[dbl(n) for n in names]]
-    y = dbl(target)
+def _standard_sums(rows: DataFrame, features: list[str], target: str) -> DataFrame:
+    """Counts, means, deviations and standardised sums of products of every group.
 
-    def total(c: Column) -> Column:
-        return F.sum(F.when(F.col("_in"), c))
-
-    upper = [total(cols[i] * cols[j]) for i in range(len(cols)) for j in range(i, len(cols))]
-    return [
-        F.array(*upper).alias("_xtx"),
-        F.array(*[total(c * y) for c in cols]).alias("_xty"),
-        total(y * y).alias("_yty"),
-        F.count_if("_in").alias("no_data_points"),
-        F.count_if(~F.col("_in")).alias("outlier_data_points"),
-    ]
+    Means and deviations come first and are joined to the rows, so that the products are of order one whatever
+    the units; their sums neither cancel nor depend visibly on the order of the partial sums.
+    """
+    names = [f"_x{i}" for i in range(len(features))] + ["_y"]
+    rows = rows.select("rank", "agg_fields", "key", "_in", *[dbl(c).alias(n) for c, n in zip([*features, target], names)])
+    inside = lambda c: F.when(F.col("_in"), c)
+    first = rows.groupBy("rank", "agg_fields", "key").agg(
+        F.count_if("_in").alias("no_data_points"), F.count_if(~F.col("_in")).alias("outlier_data_points"),
+        F.array(*[F.avg(inside(F.col(n))) for n in names]).alias("_mean"),
+        # Equal values have no deviation, whatever rounding says.
+        F.array(*[F.when(F.min(inside(F.col(n))) == F.max(inside(F.col(n))), 0.0).otherwise(F.stddev_pop(inside(F.col(n)))) for n in names]).alias("_dev"))
+    held = rows.where("_in").join(first.select(*_GROUP, "_mean", "_dev"), _GROUP)
+    z = [F.when(F.col("_dev")[i] > 0, (F.col(n) - F.col("_mean")[i]) / F.col("_dev")[i]).otherwise(0.0) for i, n in enumerate(names)]
+    held = held.select(*_GROUP, *[c.alias(f"_z{i}") for i, c in enumerate(z)])
+    k = len(features)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = held.groupBy(*_GROUP).agg(
+        F.array(*[F.sum(F.col(f"_z{i}") * F.col(f"_z{j}")) for i, j in pairs]).alias("_zz"),
+        F.array(*[F.sum(F.col(f"_z{i}") * F.col(f"_z{k}")) for i in range(k)]).alias("_zy"))
+    return first.join(sums, _GROUP, "left")
 
 
 def _solver(k: int):
     fields = ["coef array<double>", "r2 double", "p array<double>", "f_p double", "vif array<double>"]
 
     @F.pandas_udf(", ".join(fields))
-    def solved(xtx: pd.Series, xty: pd.Series, yty: pd.Series, n: pd.Series) -> pd.DataFrame:
-        upper = np.array(xtx.tolist(), float)
+    def solved(mean: pd.Series, dev: pd.Series, zz: pd.Series, zy: pd.Series, n: pd.Series) -> pd.DataFrame:
+        means, devs, upper = (np.array(x.tolist(), float) for x in (mean, dev, zz))
         full = np.zeros((len(upper), k, k))
         rows, columns = np.triu_indices(k)
         full[:, rows, columns] = upper
         full[:, columns, rows] = upper
-        out = linear.solve(full, np.array(xty.tolist(), float), yty.to_numpy(float), n.to_numpy(float))
+        out = linear.solve(means[:, :k], devs[:, :k], means[:, k], devs[:, k], full, np.array(zy.tolist(), float), n.to_numpy(float))
         return pd.DataFrame({name: (list(v) if v.ndim > 1 else v) for name, v in out.items()})
 
     return solved
@@ -103,9 +111,9 @@ def grouped_ols(
     """
     names = names or {}
     rows = trimmed(at_levels(train, levels, [*features, target]), target, trim_q)
-    sums = rows.groupBy("rank", "agg_fields", "key").agg(*_moments(features, target))
+    sums = _standard_sums(rows, features, target)
     fits = sums.where(F.col("no_data_points") >= min_rows).withColumn(
-        "_fit", _solver(len(features) + 1)("_xtx", "_xty", "_yty", "no_data_points")
+        "_fit", _solver(len(features))("_mean", "_dev", "_zz", "_zy", "no_data_points")
     )
     terms = ["const", *[names.get(f, f) for f in features]]
     fits = fits.select(

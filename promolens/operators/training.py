@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import all_pairs
 from ..functions.numeric import RATE, dbl, fixed, mean_of, ratio
-from .baseline import scope
+from .counterfactual import scope
 from .promo_facts import ROOT_FULL
 
 STORE_COUNTS = [
@@ -21,7 +21,7 @@ CAMPAIGN_KEPT = [
     "name", "type", "start_date", "end_date", "customer_profile_type", "marketing_type",
     "campaign_start_day", "campaign_start_month", "campaign_start_quarter", "campaign_start_week",
 ]
-# The sums of the training table and the baseline_promo columns they add up.
+# The sums of the training table and the counterfactual_promo columns they add up.
 SUMS = {
     "p_discount": "tt_discount", "p_sale_bl": "sale_amt_bl", "p_qty_bl": "sale_qty_bl", "p_margin_bl": "margin_amt_bl",
     "p_sale_amt": "tt_sale_amt", "p_sale_qty": "tt_sale_qty", "p_margin_amt": "tt_margin_amt",
@@ -52,8 +52,8 @@ def price_label() -> Column:
     return F.coalesce("own_brand_label", wealth)
 
 
-def _promo_rows(baseline_promo: DataFrame, roots: DataFrame, area: str | None, mechanics: list[str]) -> DataFrame:
-    rows = baseline_promo.where(F.col("promo_mechanic").isin([str(m) for m in mechanics]))
+def _promo_rows(counterfactual_promo: DataFrame, roots: DataFrame, area: str | None, mechanics: list[str]) -> DataFrame:
+    rows = counterfactual_promo.where(F.col("promo_mechanic").isin([str(m) for m in mechanics]))
     if area is not None:
         rows = rows.join(scope(roots, area).select("sku_root_id"), "sku_root_id", "left_semi")
     return rows
@@ -83,11 +83,11 @@ def _finish(sums: DataFrame, detail: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def train_table(
-    baseline_promo: DataFrame, detail: DataFrame, roots: DataFrame, mechanics: list[str],
+    counterfactual_promo: DataFrame, detail: DataFrame, roots: DataFrame, mechanics: list[str],
     area: str | None = None, period: str = "promotion",
 ) -> DataFrame:
     """Sums and ratios per promotion and root over the weeks of one period."""
-    rows = _promo_rows(baseline_promo, roots, area, mechanics).withColumn("period", _period())
+    rows = _promo_rows(counterfactual_promo, roots, area, mechanics).withColumn("period", _period())
     sums = rows.where(F.col("period") == period).groupBy(*_KEY, *STORE_COUNTS, *DISPLAY, "period").agg(
         mean_of(fixed("avg_store_size")).alias("avg_store_size"),
         F.max("includes_weekend").alias("includes_weekend"),
@@ -97,7 +97,7 @@ def train_table(
 
 
 def post_train_table(
-    baseline_promo: DataFrame, detail: DataFrame, roots: DataFrame, mechanics: list[str] = ("10", "20"),
+    counterfactual_promo: DataFrame, detail: DataFrame, roots: DataFrame, mechanics: list[str] = ("10", "20"),
     area: str | None = None,
 ) -> DataFrame:
     """The same grain after the promotion, with mean weekly uplift percentages."""
@@ -106,7 +106,7 @@ def post_train_table(
         "pct_inc_qty": ("inc_sale_qty", "sale_qty_bl"),
         "pct_inc_margin": ("inc_margin_amt", "margin_amt_bl"),
     }
-    rows = _promo_rows(baseline_promo, roots, area, list(mechanics)).withColumn("period", _period())
+    rows = _promo_rows(counterfactual_promo, roots, area, list(mechanics)).withColumn("period", _period())
     summed = list(SUMS)[:10]
     sums = rows.where(F.col("period") == "post_promotion").groupBy(
         *_KEY, "no_impacted_stores", "no_impacted_regions", *DISPLAY, "period"
@@ -149,7 +149,7 @@ def score_table(
     roots: DataFrame, train: DataFrame, weekly_fact: DataFrame, stores: int = 100, weeks: int = 2,
     area: str | None = None, section: str | None = None,
 ) -> DataFrame:
-    """Every root with every known offer; baseline from unpromoted weeks per store."""
+    """Every root with every known offer; counterfactual from unpromoted weeks per store."""
     usual = weekly_fact.where(F.col("promo_flag") == 0).groupBy("sku_root_id").agg(
         (mean_of("total_sale_qty") * stores * weeks).alias("p_qty_bl")
     )
@@ -161,8 +161,8 @@ def score_table(
 def post_score_table(
     roots: DataFrame, train: DataFrame, forecast_metrics: DataFrame, weeks: int = 1, section: str | None = None
 ) -> DataFrame:
-    """As ``score_table`` with the forecast as baseline; roots without one drop out."""
-    expected = forecast_metrics.where(F.col("metric") == "pred_baseline_sale_qty").select(
+    """As ``score_table`` with the forecast as counterfactual; roots without one drop out."""
+    expected = forecast_metrics.where(F.col("metric") == "pred_counterfactual_sale_qty").select(
         "sku_root_id", (F.col("avg_forecast_period") * weeks).alias("p_qty_bl")
     )
     known = scope(roots, None, section).join(expected.select("sku_root_id"), "sku_root_id", "left_semi")
@@ -217,7 +217,7 @@ def top_per_category(results: DataFrame, n: int = 20, min_base: float = 50.0) ->
         "row_num", "sku_root_id", "description", "area", "section", "category", "subcategory", "segment",
         "brand_name", "brand_price_label", "flag_healthy", "innovation_flag", "tourism_flag", "local_flag",
         "regional_flag", "promo_mechanic", "Promo_mechanic_en", "discount_depth",
-        F.col("p_qty_bl").alias("baseline_sales_qty"), F.col("p_cal_inc_sale_qty").alias("inc_sales_qty"),
+        F.col("p_qty_bl").alias("counterfactual_sales_qty"), F.col("p_cal_inc_sale_qty").alias("inc_sales_qty"),
         (F.col("_uplift") * 100).alias("perc_uplift_qty"), "promoted_in_past",
     )
 

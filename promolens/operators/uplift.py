@@ -1,4 +1,4 @@
-"""Day-of-week baselines and the uplift of offers during and after a promotion."""
+"""Day-of-week counterfactuals and the uplift of offers during and after a promotion."""
 
 from __future__ import annotations
 
@@ -37,7 +37,7 @@ def avg_per_weekday(daily_fact: DataFrame, periods: DataFrame) -> DataFrame:
 
 
 def attach(target: DataFrame, per_day: DataFrame, per_weekday: DataFrame) -> DataFrame:
-    """Both baselines beside every row of a fact; no baseline means zero."""
+    """Both counterfactuals beside every row of a fact; no counterfactual means zero."""
     zero = F.lit(0).cast(RATE)
     by_day = per_day.select(*PAIR, F.col("avg_sale_qty").alias("_all"))
     by_weekday = per_weekday.select(*PAIR, F.col("dayweek").alias("_weekday"), F.col("total_sale_qty").alias("_day"))
@@ -53,7 +53,7 @@ def attach(target: DataFrame, per_day: DataFrame, per_weekday: DataFrame) -> Dat
 
 
 def cume_filter(promo: DataFrame, least: float = 0.1) -> DataFrame:
-    """Stores of a root from ``least`` upwards in the order of their baseline."""
+    """Stores of a root from ``least`` upwards in the order of their counterfactual."""
     pairs = promo.select(*PAIR, "bline_qty_all").distinct()
     return with_cume_dist(pairs, ["sku_root_id"], "bline_qty_all", "cum_dist").where(F.col("cum_dist") >= least)
 
@@ -65,7 +65,7 @@ def keep_pairs(target: DataFrame, pairs: DataFrame, count: str | None = None) ->
 
 
 def segment_residuals(daily_lined: DataFrame, roots: DataFrame) -> DataFrame:
-    """Daily sales against both baselines per store and segment."""
+    """Daily sales against both counterfactuals per store and segment."""
     levels = ["area", "section", "category", "subcategory", "segment"]
     rows = daily_lined.join(roots.select("sku_root_id", *levels), "sku_root_id")
     sums = rows.groupBy("store_id", *levels, "date").agg(
@@ -149,13 +149,13 @@ def promo_totals(promo: DataFrame, campaigns: DataFrame) -> DataFrame:
     key = [*PROMO, "sku_root_id", *OFFER, "in_leaflet_flag", "in_gondola_flag"]
     sums = promo.groupBy(*key).agg(
         *[rate_sum(m).alias(m) for m in [*ALLOCATED, *OFFER_MEASURES]],
-        rate_sum("bline_qty_all_day").alias("total_baseline_qty"),
+        rate_sum("bline_qty_all_day").alias("total_counterfactual_qty"),
         F.max("promo_prev_week").alias("promo_prev_week"),
         F.max("promo_pf_week").alias("promo_pf_week"),
     )
-    gain = F.col("total_sale_qty") - F.col("total_baseline_qty")
+    gain = F.col("total_sale_qty") - F.col("total_counterfactual_qty")
     return sums.withColumn("total_inc_qty", gain.cast(RATE)).withColumn(
-        "perc_inc_qty", ratio("total_inc_qty", "total_baseline_qty")
+        "perc_inc_qty", ratio("total_inc_qty", "total_counterfactual_qty")
     ).join(length, PROMO)
 
 

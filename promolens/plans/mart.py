@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
-    baseline, cannibal, dashboards, dims, elasticity, facts, forecast, offers, promo_facts, sales, training, uplift,
+    counterfactual, cannibal, dashboards, dims, elasticity, facts, forecast, offers, promo_facts, sales, training, uplift,
 )
 from ..session import Workspace
 from ..sources import retail_adapter
 
 # Tables that are read many times and cut long plans.
 WRITTEN = {
-    "sku", "root_sku", "promo_to_sku", "trans", "daily_root_promo", "daily_promo", "daily", "weekly_promo", "weekly", "std_price_margin",
-    "offer_rows", "offer_days", "final_offers", "promo_daily_total", "promo_weekly_total", "promo_summary", "baseline", "baseline_promo", "sku_baseline",
+    "calendar", "campaign", "campaign_days", "periods", "per_day", "per_weekday", "sku", "root_sku", "promo_to_sku", "trans", "daily_root_promo", "daily_promo", "daily", "weekly_promo", "weekly", "std_price_margin",
+    "offer_rows", "offer_days", "final_offers", "promo_daily_total", "promo_weekly_total", "promo_summary", "counterfactual", "counterfactual_promo", "sku_counterfactual",
     "daily_lined", "promo_lined", "post_lined", "cume", "price_points", "store_lines", "forecast", "train",
 }
 MECHANICS = ["10", "20"]
@@ -98,13 +98,13 @@ class Mart:
                 m["final_offers"], m["offer_days"].where(F.col("n_promo").isNotNull()), m["daily"], m["campaign"]
             ),
             "campaign_detail": lambda: promo_facts.campaign_detail(m["campaign"], m["calendar"]),
-            "baseline": lambda: baseline.promo_baseline(m["promo_summary"], m["weekly"], m["root_sku"]),
-            "baseline_promo": lambda: dashboards.baseline_promo(
-                m["baseline"], m["promo_summary"], m["weekly"], m["std_price_margin"], m["campaign"]
+            "counterfactual": lambda: counterfactual.promo_counterfactual(m["promo_summary"], m["weekly"], m["root_sku"]),
+            "counterfactual_promo": lambda: dashboards.counterfactual_promo(
+                m["counterfactual"], m["promo_summary"], m["weekly"], m["std_price_margin"], m["campaign"]
             ),
-            "sku_baseline": lambda: baseline.weekly_sku_baseline(m["weekly"], m["root_sku"]),
-            "cannibalisation": lambda: cannibal.cannibalisation(m["sku_baseline"]),
-            "forecast": lambda: forecast.forecast(m["sku_baseline"]),
+            "sku_counterfactual": lambda: counterfactual.weekly_sku_counterfactual(m["weekly"], m["root_sku"]),
+            "cannibalisation": lambda: cannibal.cannibalisation(m["sku_counterfactual"]),
+            "forecast": lambda: forecast.forecast(m["sku_counterfactual"]),
             "forecast_metrics": lambda: forecast.fit_metrics(m["forecast"], dt.date(2001, 11, 5), dt.date(2001, 12, 31)),
             "price_points": lambda: elasticity.price_points(m["daily"], m["root_sku"]),
             "unit_cost": lambda: elasticity.unit_cost(m["std_price_margin"], m["sku"]),
@@ -119,8 +119,8 @@ class Mart:
             "promo_kept": lambda: uplift.keep_pairs(m["promo_lined"], m["cume"], "n_promo"),
             "post_kept": lambda: uplift.keep_pairs(m["post_lined"], m["cume"], "pf_n_promo"),
             "promo_totals": lambda: uplift.promo_totals(m["promo_kept"], m["campaign"]),
-            "train": lambda: training.train_table(m["baseline_promo"], m["campaign_detail"], m["root_sku"], MECHANICS),
-            "post_train": lambda: training.post_train_table(m["baseline_promo"], m["campaign_detail"], m["root_sku"]),
+            "train": lambda: training.train_table(m["counterfactual_promo"], m["campaign_detail"], m["root_sku"], MECHANICS),
+            "post_train": lambda: training.post_train_table(m["counterfactual_promo"], m["campaign_detail"], m["root_sku"]),
             "score": lambda: training.score_table(m["root_sku"], m["train"], m["weekly"]),
         }
 

@@ -387,7 +387,7 @@ CTE["c_post"] = f"""SELECT DISTINCT t.date, {', '.join('p.' + c.strip() for c in
   FROM c_pdtotal p JOIN c_campaign c ON c.promo_id = p.promo_id AND c.promo_year = p.promo_year
   JOIN c_daily t ON t.sku_root_id = p.sku_root_id AND t.store_id = p.store_id AND t.date > c.end_date AND t.date <= c.end_date + 28"""
 
-# --- baseline ---------------------------------------------------------------
+# --- counterfactual ---------------------------------------------------------------
 
 CTE["c_pweeks"] = """SELECT s.date, s.sku_root_id || '-' || promo_id || '-' || promo_year || '-' || promo_mechanic || '-' || coalesce(discount_depth, 'ISNULL') AS uniq_id,
   r.section, s.sku_root_id, promo_id, promo_year::VARCHAR AS promo_year, promo_mechanic, discount_depth, total_sale_qty, s_prev_bl_qty, pf_after_bl_qty
@@ -413,7 +413,7 @@ CTE["c_blrec"] = f"""SELECT uniq_id, i, change_flag, after, CASE WHEN change_fla
     WHEN b.change_flag = 2 OR r.change_flag = 3 THEN {cents('r.bl * b.sale_qty_pct')} ELSE {cents('r.after')} END
   FROM c_blrec r JOIN c_blin b ON b.uniq_id = r.uniq_id AND b.i = r.i + 1"""
 
-CTE["c_baseline"] = """SELECT b.date, uniq_id, sku_root_id, promo_id, promo_year, promo_mechanic, discount_depth, b.change_flag, total_sale_qty, r.bl AS sale_qty_bl, sale_qty_pct
+CTE["c_counterfactual"] = """SELECT b.date, uniq_id, sku_root_id, promo_id, promo_year, promo_mechanic, discount_depth, b.change_flag, total_sale_qty, r.bl AS sale_qty_bl, sale_qty_pct
   FROM c_blin b JOIN c_blrec r USING (uniq_id, i)"""
 
 _K5 = "sku_root_id, promo_id, promo_year, promo_mechanic, discount_depth"
@@ -424,7 +424,7 @@ CTE["c_forward"] = f"""SELECT w.date, {', '.join('s.' + c.strip() for c in _K5.s
   FROM c_stores5 s JOIN c_campaign c ON c.promo_id = s.promo_id AND c.promo_year::VARCHAR = s.promo_year
   JOIN c_weekly w ON w.sku_root_id = s.sku_root_id AND w.store_id = s.store_id
     AND w.date >= {week('c.end_date')} + 7 AND w.date <= {week('c.end_date')} + 28 GROUP BY ALL"""
-CTE["c_spf"] = f"""SELECT b.date, b.uniq_id, count(*) AS store_promo_flag FROM c_baseline b
+CTE["c_spf"] = f"""SELECT b.date, b.uniq_id, count(*) AS store_promo_flag FROM c_counterfactual b
   JOIN c_stores5 s ON s.sku_root_id = b.sku_root_id AND s.promo_id = b.promo_id AND s.promo_year = b.promo_year AND s.promo_mechanic = b.promo_mechanic
     AND s.discount_depth = coalesce(b.discount_depth, 'ISNULL')
   SEMI JOIN (SELECT DISTINCT date, sku_root_id, unnest(store_ids) AS store_id FROM c_psumk) o
@@ -440,7 +440,7 @@ CTE["c_bp0"] = f"""SELECT b.date, b.uniq_id, b.sku_root_id, b.promo_id, b.promo_
   CASE WHEN change_flag = 3 THEN f.x::{_R} ELSE s.total_discount_amt::{_R} END AS tt_discount,
   s.avg_bline_qty, s.s_prev_bl_qty, s.pf_after_bl_qty, coalesce(s.includes_weekend, true) AS includes_weekend,
   p.std_price_per_unit::DOUBLE AS pr, p.margin_per_unit::DOUBLE AS mg, {', '.join('z.' + c for c in _STABLE)}
-  FROM c_baseline b
+  FROM c_counterfactual b
   LEFT JOIN c_forward f ON f.date = b.date AND f.sku_root_id = b.sku_root_id AND f.promo_id = b.promo_id AND f.promo_year = b.promo_year AND f.promo_mechanic = b.promo_mechanic AND f.discount_depth = coalesce(b.discount_depth, 'ISNULL')
   LEFT JOIN c_psumk s ON s.date = b.date AND s.sku_root_id = b.sku_root_id AND s.promo_id = b.promo_id AND s.promo_year = b.promo_year AND s.promo_mechanic = b.promo_mechanic AND s.discount_depth = coalesce(b.discount_depth, 'ISNULL')
   LEFT JOIN c_price p ON p.sku_root_id = b.sku_root_id
@@ -454,7 +454,7 @@ CTE["c_bp"] = f"""SELECT b.*, (tt_sale_amt - sale_amt_bl)::{_R} AS inc_sale_amt,
   CASE WHEN change_flag <> 3 THEN 1 END AS promo_flag, f.store_promo_flag
   FROM c_bp1 b LEFT JOIN c_spf f ON f.date = b.date AND f.uniq_id = b.uniq_id"""
 
-# --- weekly root baseline, cannibalisation ----------------------------------
+# --- weekly root counterfactual, cannibalisation ----------------------------------
 
 _MET = ["sale_amt", "sale_qty", "margin_amt"]
 CTE["c_sbtot"] = f"""SELECT date, sku_root_id, r.section, r.segment, {', '.join(f'sum(total_{m})::{_M} AS total_{m}' for m in _MET)},
@@ -551,7 +551,7 @@ CTE["c_postkept"] = "SELECT * FROM c_postlined SEMI JOIN c_cume USING (sku_root_
 CTE["c_wk"] = """SELECT promo_id, promo_year, start_date, end_date, (end_date - start_date + 1)::INT // 7 AS duration_week
   FROM c_campaign WHERE (end_date - start_date + 1)::INT IN (7, 14, 21, 28)"""
 CTE["c_ptotals"] = f"""SELECT promo_id, promo_year, sku_root_id, promo_mechanic, promo_mechanic_description, discount_depth, discount_depth_rank, in_leaflet_flag, in_gondola_flag,
-  {csum(_ALLOC + OFFER_MEASURES, _R)}, sum(bline_qty_all_day)::{_R} AS total_baseline_qty, max(promo_prev_week) AS promo_prev_week, max(promo_pf_week) AS promo_pf_week,
+  {csum(_ALLOC + OFFER_MEASURES, _R)}, sum(bline_qty_all_day)::{_R} AS total_counterfactual_qty, max(promo_prev_week) AS promo_prev_week, max(promo_pf_week) AS promo_pf_week,
   (sum(total_sale_qty) - sum(bline_qty_all_day))::{_R} AS total_inc_qty,
   {ratio(f'(sum(total_sale_qty) - sum(bline_qty_all_day))::{_R}', f'sum(bline_qty_all_day)::{_R}')} AS perc_inc_qty,
   greatest(1, round((max(c.end_date - c.start_date) + 1)::DOUBLE / 7)) AS duration_wks

@@ -12,7 +12,7 @@ from ..functions.folds import fold_rows
 from ..functions.joins import all_pairs, spread_missing
 from ..functions.numeric import cents, dbl, depth_step, fixed, mean_of, percent_off, plain, ratio
 from ..functions.ranking import exact_quantile, with_cume_dist, with_percent_rank
-from ..operators import baseline, forecast
+from ..operators import counterfactual, forecast
 from ..operators.dims import calendar_between
 from ..sources import extracts, tables
 from ..sources.retail_adapter import read_tables
@@ -38,7 +38,6 @@ def lineval() -> Column:
 
 
 _LV = "(l_extendedprice::DECIMAL(12,2) * (1 - l_discount::DECIMAL(4,2)))::DECIMAL(18,4)"
-_day = F.to_date("l_shipdate").alias("d")
 
 # --- projection, filter, predicate -------------------------------------------
 
@@ -195,7 +194,7 @@ q("w04_first_last_date", lambda t: t["lineitem"].groupBy("l_partkey").agg(F.min(
 q("w05_cume_dist", lambda t: with_cume_dist(t["orders"], ["o_orderstatus"], "o_totalprice", "cd"), "o_orderkey:i cd:d", "SELECT o_orderkey, cume_dist() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice) AS cd FROM orders")
 q("w06_percent_rank", lambda t: with_percent_rank(t["lineitem"], ["l_returnflag"], "l_quantity", "_pr").select("l_returnflag", "l_quantity", F.round("_pr", 2).alias("pr")), "l_returnflag l_quantity:d pr:d",
   "SELECT l_returnflag, l_quantity, round(percent_rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity), 2) AS pr FROM lineitem")
-q("w07_lag_ratio", lambda t: baseline.change_index(_weekly(t).withColumnRenamed("week", "date"), ["l_returnflag"], "qty", "pct"), "date l_returnflag qty:i pct:d",
+q("w07_lag_ratio", lambda t: counterfactual.change_index(_weekly(t).withColumnRenamed("week", "date"), ["l_returnflag"], "qty", "pct"), "date l_returnflag qty:i pct:d",
   f"""SELECT date, l_returnflag, qty, CASE WHEN row_number() OVER w = 1 THEN 1 ELSE {o.ratio('qty', 'lag(qty) OVER w')} END AS pct
   FROM (SELECT date_trunc('week', l_shipdate)::DATE AS date, l_returnflag, sum(l_quantity)::BIGINT AS qty FROM lineitem GROUP BY ALL) WINDOW w AS (PARTITION BY l_returnflag ORDER BY date)""")
 q("w08_lag_flag", lambda t: _weekly(t).withColumn("rose", F.coalesce(F.lag("qty").over(Window.partitionBy("l_returnflag").orderBy("week")) < F.col("qty"), F.lit(False))), "week l_returnflag qty:i rose",

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import (
-    baseline, cannibal, dashboards, elasticity, facts, forecast, models, ols, promo_facts, training, uplift,
+    counterfactual, cannibal, dashboards, elasticity, facts, forecast, models, ols, promo_facts, training, uplift,
 )
 from ..operators.sales import MEASURES, OFFER_MEASURES
 from . import oracle_mart as o
@@ -90,11 +90,16 @@ add("d13_promo_root_days", on(lambda m: totals(m["promo_root_days"], ["date", "s
 
 add("d14_daily_root_promo", mart("daily_root_promo"),
     f"date sku_root_id store_id promo_id promo_year:i std_price_per_unit:d {_d(MEASURES)}", "c_actual")
-_SPAN = [F.min("date").alias("first_day"), F.max("date").alias("last_day")]
-add("d15_dense_grid", on(lambda m: totals(m["grid"], ["sku_root_id", "store_id"], [], _SPAN)),
+
+
+def _span() -> list[Column]:
+    return [F.min("date").alias("first_day"), F.max("date").alias("last_day")]
+
+
+add("d15_dense_grid", on(lambda m: totals(m["grid"], ["sku_root_id", "store_id"], [], _span())),
     "sku_root_id store_id n_rows:i first_day last_day",
     "SELECT sku_root_id, store_id, count(*) AS n_rows, min(date) AS first_day, max(date) AS last_day FROM c_grid GROUP BY ALL")
-add("d16_grid_promos", on(lambda m: totals(m["grid_promos"], ["sku_root_id", "store_id", "promo_id", "promo_year"], [], _SPAN)),
+add("d16_grid_promos", on(lambda m: totals(m["grid_promos"], ["sku_root_id", "store_id", "promo_id", "promo_year"], [], _span())),
     "sku_root_id store_id promo_id promo_year:i n_rows:i first_day last_day",
     """SELECT sku_root_id, store_id, promo_id, promo_year, count(*) AS n_rows, min(date) AS first_day, max(date) AS last_day
     FROM c_gridpromo GROUP BY ALL""")
@@ -105,14 +110,19 @@ add("d17_gap_fill", on(lambda m: m["filled"].groupBy("sku_root_id", "store_id",
     f"""SELECT sku_root_id, store_id, promo_id, promo_year, count(DISTINCT date) AS days, {', '.join(f'sum({c}) AS {c}' for c in _SIX)}
     FROM c_filled GROUP BY ALL""")
 _MONTH = "date_trunc('month', date)::DATE AS month"
-_month = F.to_date(F.date_trunc("month", "date")).alias("month")
+
+
+def _month() -> Column:
+    return F.to_date(F.date_trunc("month", "date")).alias("month")
+
+
 _MIX = ["total_sale_amt", "total_sale_qty", "total_margin_amt", "total_non_oferta_discount_amt", "oferta_promo_total_sale_amt",
         "oferta_promo_total_discount_amt", "std_price_per_unit", "n_promo", "promo_flag"]
-add("d18_daily_transaction_to_sku_promo", on(lambda m: totals(m["daily_promo"], [_month, "sku_root_id", "store_id", "promo_id"], _MIX)),
+add("d18_daily_transaction_to_sku_promo", on(lambda m: totals(m["daily_promo"], [_month(), "sku_root_id", "store_id", "promo_id"], _MIX)),
     f"month sku_root_id store_id promo_id n_rows:i {_d(_MIX)}",
     totals_sql("c_dailypromo", f"{_MONTH}, sku_root_id, store_id, promo_id", _MIX))
 add("d19_daily_transaction_to_sku", on(lambda m: totals(
-        m["daily"], [_month, "sku_root_id", "store_id"], _MIX, [F.max(F.array_join("promo_id_list", ",")).alias("top_list")])),
+        m["daily"], [_month(), "sku_root_id", "store_id"], _MIX, [F.max(F.array_join("promo_id_list", ",")).alias("top_list")])),
     f"month sku_root_id store_id n_rows:i top_list {_d(_MIX)}",
     totals_sql("c_daily", f"{_MONTH}, sku_root_id, store_id", _MIX, ", max(array_to_string(promo_id_list, ',')) AS top_list"))
 add("d20_weekly_transaction_to_sku_promo", on(lambda m: totals(m["weekly_promo"], ["date", "store_id", "promo_id"], [*_MIX, "no_days_with_promo"])),
@@ -178,39 +188,39 @@ add("d33_customer", mart("customer"),
     CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender, 2019 - year(born) - CASE WHEN dayofyear(DATE '2019-12-01') < dayofyear(born) THEN 1 ELSE 0 END AS age,
     c_nationkey::VARCHAR AS location FROM (SELECT *, DATE '1940-01-01' + (c_custkey * 37 % 20000)::INT AS born FROM customer)""")
 
-# --- promotion baseline -----------------------------------------------------
+# --- promotion counterfactual -----------------------------------------------------
 
 _ID = "date uniq_id sku_root_id promo_id promo_year promo_mechanic discount_depth"
-add("d34_sections", on(lambda m: baseline.sections(m["root_sku"])), "area section", "SELECT DISTINCT area, section FROM c_root")
-add("d34_promo_weeks", on(lambda m: baseline.promo_weeks(m["promo_summary"], m["root_sku"])),
+add("d34_sections", on(lambda m: counterfactual.sections(m["root_sku"])), "area section", "SELECT DISTINCT area, section FROM c_root")
+add("d34_promo_weeks", on(lambda m: counterfactual.promo_weeks(m["promo_summary"], m["root_sku"])),
     f"{_ID} section total_sale_qty:d s_prev_bl_qty:d pf_after_bl_qty:d", "c_pweeks")
-add("d34_unpromoted_sales", on(lambda m: baseline.unpromoted_sales(m["weekly"], m["root_sku"])), "date sku_root_id section sale_qty_np:d",
+add("d34_unpromoted_sales", on(lambda m: counterfactual.unpromoted_sales(m["weekly"], m["root_sku"])), "date sku_root_id section sale_qty_np:d",
     """SELECT date, sku_root_id, section, sum(total_sale_qty) AS sale_qty_np FROM c_weekly JOIN c_root r USING (sku_root_id)
     WHERE promo_flag = 0 GROUP BY ALL""")
-add("d35_level_trend", on(lambda m: baseline.level_trend(baseline.unpromoted_sales(m["weekly"], m["root_sku"]))),
+add("d35_level_trend", on(lambda m: counterfactual.level_trend(counterfactual.unpromoted_sales(m["weekly"], m["root_sku"]))),
     "date section sale_qty_np:d sale_qty_pct:d", "c_trend")
-add("d36_promotion_ids", on(lambda m: baseline.promo_weeks(m["promo_summary"], m["root_sku"], require_neighbours=False)
+add("d36_promotion_ids", on(lambda m: counterfactual.promo_weeks(m["promo_summary"], m["root_sku"], require_neighbours=False)
         .groupBy("uniq_id").agg(F.count(F.lit(1)).alias("weeks"))), "uniq_id weeks:i",
     """SELECT sku_root_id || '-' || promo_id || '-' || promo_year || '-' || promo_mechanic || '-' || coalesce(discount_depth, 'ISNULL') AS uniq_id,
     count(*) AS weeks FROM c_psum GROUP BY ALL""")
-add("d37_extension_weeks", on(lambda m: baseline.extended_weeks(baseline.promo_weeks(m["promo_summary"], m["root_sku"]))),
+add("d37_extension_weeks", on(lambda m: counterfactual.extended_weeks(counterfactual.promo_weeks(m["promo_summary"], m["root_sku"]))),
     f"{_ID} change_flag:i total_sale_qty:d", "c_ext")
 _BL = f"{_ID} change_flag:i total_sale_qty:d sale_qty_bl:d sale_qty_pct:d"
-add("d38_recursive_baseline", mart("baseline"), _BL, "c_baseline")
+add("d38_recursive_counterfactual", mart("counterfactual"), _BL, "c_counterfactual")
 
 
 def _filtered(m: Mart) -> DataFrame:
     chosen = m["promo_summary"].where(F.col("promo_mechanic").isin("10", "20", "40"))
-    return baseline.promo_baseline(chosen, m["weekly"], m["root_sku"], require_neighbours=False)
+    return counterfactual.promo_counterfactual(chosen, m["weekly"], m["root_sku"], require_neighbours=False)
 
 
-add("d39_filtered_baseline", on(_filtered), _BL, "c_baseline", extra={"c_pweeks": o.CTE["c_pweeks"].replace(
+add("d39_filtered_counterfactual", on(_filtered), _BL, "c_counterfactual", extra={"c_pweeks": o.CTE["c_pweeks"].replace(
     "s_prev_bl_qty IS NOT NULL AND pf_after_bl_qty IS NOT NULL", "promo_mechanic IN ('10', '20', '40')")})
 
 _INC = ["inc_sale_amt", "inc_sale_qty", "inc_margin_amt", "avg_bl_inc_sale", "avg_bl_inc_qty", "avg_bl_inc_margin"]
 _TT = ["tt_sale_qty", "tt_sale_amt", "tt_margin_amt", "tt_discount", "sale_qty_bl", "sale_amt_bl", "margin_amt_bl",
        "avg_bline_qty", "avg_bline_sale", "avg_bline_margin", "s_prev_bl_qty", "pf_after_bl_qty", "avg_store_size", "discount_depth_rank"]
-add("d40_baseline_promo", mart("baseline_promo"),
+add("d40_counterfactual_promo", mart("counterfactual_promo"),
     f"{_ID} change_flag:i includes_weekend promo_flag:i store_promo_flag:i no_impacted_stores:i no_hipermercados_stores:i in_gondola_flag:i {_d(_TT)} {_d(_INC)}", "c_bp")
 
 _SC = """SELECT unnest([section, category]) AS sec_cat, sku_root_id, m AS inc_margin_amt, a AS inc_sale_amt, q AS inc_sale_qty FROM (
@@ -248,17 +258,17 @@ def _pareto_text(df: DataFrame, prefix: str) -> DataFrame:
     return df.withColumns({label: text(label, name) for label, name in labels.items()})
 
 
-add("d41_pareto_section_sku", on(lambda m: _pareto_text(dashboards.pareto_section_sku(m["baseline_promo"], m["root_sku"]), "incremental")),
+add("d41_pareto_section_sku", on(lambda m: _pareto_text(dashboards.pareto_section_sku(m["counterfactual_promo"], m["root_sku"]), "incremental")),
     "sec_cat percentile_rank_inc:d incremental_margin_amt:d margin incremental_sale_amt:d sale incremental_sale_qty:d qty",
     _pareto_sql("c_secrank", "sec_cat", "incremental"), extra=_PEX)
 _RANKS = "inc_margin_amt:d margin_rank:d inc_sale_amt:d sale_rank:d inc_sale_qty:d qty_rank:d"
-add("d42_pareto_sku_table", on(lambda m: dashboards.pareto_sku_table(m["baseline_promo"], m["root_sku"])),
+add("d42_pareto_sku_table", on(lambda m: dashboards.pareto_sku_table(m["counterfactual_promo"], m["root_sku"])),
     f"sec_cat sku_root_id description section category subcategory segment {_RANKS}",
     "SELECT k.*, r.description, r.section, r.category, r.subcategory, r.segment FROM c_secrank k LEFT JOIN c_root r USING (sku_root_id)", extra=_PEX)
-add("d43_pareto_promo", on(lambda m: _pareto_text(dashboards.pareto_promo(m["baseline_promo"]), "inc")),
+add("d43_pareto_promo", on(lambda m: _pareto_text(dashboards.pareto_promo(m["counterfactual_promo"]), "inc")),
     "promo_id promo_year percentile_rank_inc:d inc_margin_amt:d margin inc_sale_amt:d sale inc_sale_qty:d qty",
     _pareto_sql("c_promorank", "promo_id, promo_year", "inc"), extra=_PEX)
-add("d44_pareto_promo_table", on(lambda m: dashboards.pareto_promo_table(m["baseline_promo"], m["campaign"], m["root_sku"])),
+add("d44_pareto_promo_table", on(lambda m: dashboards.pareto_promo_table(m["counterfactual_promo"], m["campaign"], m["root_sku"])),
     f"promo_id promo_year name start_date end_date duration:i st_date_month:i sku_root_id description area section category subcategory segment discount:d {_RANKS}",
     """SELECT k.*, c.name, c.start_date, c.end_date, (c.end_date - c.start_date + 1)::INT AS duration, month(c.start_date) AS st_date_month,
     r.description, r.area, r.section, r.category, r.subcategory, r.segment, d.discount FROM c_promorank k
@@ -267,16 +277,16 @@ add("d44_pareto_promo_table", on(lambda m: dashboards.pareto_promo_table(m["base
 
 # --- cannibalisation --------------------------------------------------------
 
-_MET = baseline.METRICS
-add("d46_segment_promo_count", on(lambda m: cannibal.segment_promo_count(m["sku_baseline"])),
+_MET = counterfactual.METRICS
+add("d46_segment_promo_count", on(lambda m: cannibal.segment_promo_count(m["sku_counterfactual"])),
     "date sku_root_id segment promo_flag_binary:i incremental_qty:d cb_flag_temp:i",
     "SELECT date, sku_root_id, segment, pf AS promo_flag_binary, incremental_qty, cnt AS cb_flag_temp FROM c_cb0")
-add("d47_cannibal_flags", on(lambda m: cannibal.cannibal_flags(cannibal.segment_promo_count(m["sku_baseline"]))),
+add("d47_cannibal_flags", on(lambda m: cannibal.cannibal_flags(cannibal.segment_promo_count(m["sku_counterfactual"]))),
     "date sku_root_id segment change_flag:i cb_flag:i", "c_cb1")
 _CBB = [f"{m}_cb_bl" for m in _MET]
 _CBL = [f"cb_{m}" for m in _MET]
-_flagged = on(lambda m: cannibal.cannibal_baseline(cannibal.cannibal_flags(cannibal.segment_promo_count(m["sku_baseline"]))))
-add("d48_cannibal_baseline", _flagged, f"date sku_root_id segment cb_flag:i {_d(_CBB)}", "c_cb")
+_flagged = on(lambda m: cannibal.cannibal_counterfactual(cannibal.cannibal_flags(cannibal.segment_promo_count(m["sku_counterfactual"]))))
+add("d48_cannibal_counterfactual", _flagged, f"date sku_root_id segment cb_flag:i {_d(_CBB)}", "c_cb")
 add("d49_cannibalised_amount", _flagged, f"date sku_root_id segment {_d(_CBL)}", "c_cb")
 
 
@@ -294,9 +304,9 @@ def _attributed_sql(positive: bool) -> str:
 
 _ATT = f"date segment sku_root_id cb_flag:i {_d(_CBB)} ind_cb_sale:d ind_cb_qty:d ind_cb_margin:d"
 add("d50_cannibal_attribution", mart("cannibalisation"), _ATT, _attributed_sql(False))
-add("d50_cannibal_attribution_positive", on(lambda m: cannibal.cannibalisation(m["sku_baseline"], negatives="positive")), _ATT, _attributed_sql(True))
+add("d50_cannibal_attribution_positive", on(lambda m: cannibal.cannibalisation(m["sku_counterfactual"], negatives="positive")), _ATT, _attributed_sql(True))
 
-# --- forward baseline -------------------------------------------------------
+# --- forward counterfactual -------------------------------------------------------
 
 _FEX = {
     "c_hist": " UNION ALL ".join(
@@ -308,10 +318,10 @@ _FEX = {
       FROM (SELECT *, {o.fixed('hist + shift')} AS x FROM c_shift)
       WINDOW f AS (PARTITION BY sku_root_id, measure ORDER BY date ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)) WHERE rn >= 4 AND smooth IS NOT NULL""",
 }
-add("d51_history_series", on(lambda m: forecast.history(m["sku_baseline"])), "sku_root_id date measure hist:d", "c_hist", extra=_FEX)
-add("d52_positive_shift", on(lambda m: forecast.positive_shift(forecast.history(m["sku_baseline"]))),
+add("d51_history_series", on(lambda m: forecast.history(m["sku_counterfactual"])), "sku_root_id date measure hist:d", "c_hist", extra=_FEX)
+add("d52_positive_shift", on(lambda m: forecast.positive_shift(forecast.history(m["sku_counterfactual"]))),
     "sku_root_id date measure low:d shift:d", "c_shift", extra=_FEX)
-_smoothed = lambda m: forecast.smoothed(forecast.positive_shift(forecast.history(m["sku_baseline"])))
+_smoothed = lambda m: forecast.smoothed(forecast.positive_shift(forecast.history(m["sku_counterfactual"])))
 add("d53_smoothed_history", on(_smoothed), "sku_root_id date measure smooth:d", "c_smooth", extra=_FEX)
 add("d54_forecast", on(lambda m: forecast.forecast_table(m["forecast"])),
     "date sku_root_id " + _d([f"{n}_{x}" for x in _MET for n in ("b_t", "l_t", "s_t", "y_hat_t", "y_t")]))
@@ -326,7 +336,7 @@ def _naive_fit(m: Mart) -> DataFrame:
 
 _GAP = o.fixed("(y_t - y_hat_t) * (y_t - y_hat_t)")
 add("d55_fit_metrics", on(_naive_fit), "sku_root_id metric SSE:d MSE:d RMSE:d MAE:d avg_forecast_period:d convergence_flag:i",
-    f"""SELECT sku_root_id, 'pred_baseline_' || measure AS metric, sum({_GAP})::DOUBLE AS SSE, {o.mean(_GAP)} AS MSE, sqrt({o.mean(_GAP)}) AS RMSE,
+    f"""SELECT sku_root_id, 'pred_counterfactual_' || measure AS metric, sum({_GAP})::DOUBLE AS SSE, {o.mean(_GAP)} AS MSE, sqrt({o.mean(_GAP)}) AS RMSE,
     {o.mean(o.fixed('abs(y_t - y_hat_t)'))} AS MAE,
     coalesce({o.mean(o.fixed('y_hat_t'), "date > DATE '2000-01-01' AND date <= DATE '2000-01-31'")}, {o.mean(o.fixed('y_t'))}) AS avg_forecast_period,
     CASE WHEN count(*) FILTER (WHERE y_hat_t IS NULL) > 0 THEN 0 ELSE 1 END AS convergence_flag
@@ -400,7 +410,7 @@ add("d62_active_period", mart("periods"), "sku_root_id store_id start_date end_d
 add("d63_daily_average", mart("per_day"), "sku_root_id store_id avg_sale_qty:d period:i", "c_perday")
 add("d64_weekday_average", mart("per_weekday"), "sku_root_id store_id dayweek total_sale_qty:d period:i", "c_perweekday")
 _BLN = ["bline_qty_all", "bline_qty_all_day"]
-add("d65_attach_daily", on(lambda m: totals(m["daily_lined"], [_month, "sku_root_id", "store_id"], ["total_sale_qty", *_BLN])),
+add("d65_attach_daily", on(lambda m: totals(m["daily_lined"], [_month(), "sku_root_id", "store_id"], ["total_sale_qty", *_BLN])),
     f"month sku_root_id store_id n_rows:i total_sale_qty:d {_d(_BLN)}",
     totals_sql("c_dlined", f"{_MONTH}, sku_root_id, store_id", ["total_sale_qty", *_BLN]))
 add("d65_attach_promo", on(lambda m: totals(m["promo_lined"], ["date", "sku_root_id"], ["total_sale_qty", *_BLN])),
@@ -415,7 +425,7 @@ add("d67_filtered_promo", on(lambda m: totals(m["promo_kept"], ["promo_id", "sku
     f"promo_id sku_root_id store_id n_rows:i total_sale_qty:d {_d(_BLN)}", totals_sql("c_pkept", "promo_id, sku_root_id, store_id", ["total_sale_qty", *_BLN]))
 add("d67_filtered_post", on(lambda m: totals(m["post_kept"], ["promo_id", "sku_root_id", "store_id"], ["pf_sale_qty", *_BLN])),
     f"promo_id sku_root_id store_id n_rows:i pf_sale_qty:d {_d(_BLN)}", totals_sql("c_postkept", "promo_id, sku_root_id, store_id", ["pf_sale_qty", *_BLN]))
-add("d68_segment_residuals", on(lambda m: totals(uplift.segment_residuals(m["daily_lined"], m["root_sku"]), [_month, "store_id", "segment"],
+add("d68_segment_residuals", on(lambda m: totals(uplift.segment_residuals(m["daily_lined"], m["root_sku"]), [_month(), "store_id", "segment"],
         ["total_sale_amt", "total_sale_qty", "residuals_bline_qty", "residuals_bline_qty_day", "promo_flag"])),
     "month store_id segment n_rows:i total_sale_amt:d total_sale_qty:d residuals_bline_qty:d residuals_bline_qty_day:d promo_flag:i",
     totals_sql("""(SELECT store_id, segment, date, sum(total_sale_amt) AS total_sale_amt, sum(total_sale_qty) AS total_sale_qty, max(promo_flag) AS promo_flag,
@@ -448,7 +458,7 @@ add("d71_post_promo_profile_excluded", on(lambda m: uplift.post_profile(m["post_
               f", {o.ratio('sum_inc_pf_sale_qty', 'sum_bline_qty_all_day')} AS perc_inc_sale_qty"))
 add("d72_coverage", on(lambda m: uplift.coverage(m["daily"], m["periods"])), "total_sale_amt:d total_sale_qty:d",
     "SELECT sum(total_sale_amt) AS total_sale_amt, sum(total_sale_qty) AS total_sale_qty FROM c_daily SEMI JOIN (SELECT * FROM c_period WHERE period > 700) USING (sku_root_id, store_id)")
-_PTOT = [*_AL, "total_baseline_qty", "total_inc_qty", "perc_inc_qty", "duration_wks"]
+_PTOT = [*_AL, "total_counterfactual_qty", "total_inc_qty", "perc_inc_qty", "duration_wks"]
 add("d73_aggregate_promo_to_sku", mart("promo_totals"),
     f"{_PKS} promo_mechanic_description discount_depth_rank:d in_leaflet_flag:i in_gondola_flag:i promo_prev_week:i promo_pf_week:i {_d(_PTOT)}", "c_ptotals")
 add("d74_example_categories", on(lambda m: uplift.example_categories(
@@ -536,7 +546,7 @@ _MEX = {
     "c_capped": f"SELECT * FROM c_capped0 WHERE {_TARGET} < (SELECT quantile_cont({_TARGET}, 0.95) FROM c_capped0)",
     "c_small0": """SELECT promo_id, sku_root_id, category, subcategory, segment, promo_mechanic || '-' || discount_depth AS promo_mechanic_dd, duration_wks - 2 AS duration_wks, in_gondola_flag, in_leaflet_flag,
       greatest(perc_inc_qty, 0) AS perc_inc_qty FROM c_ptotals JOIN c_root r USING (sku_root_id)
-      WHERE perc_inc_qty IS NOT NULL AND (perc_inc_qty > 0 OR total_baseline_qty > 100) AND perc_inc_qty < 10""",
+      WHERE perc_inc_qty IS NOT NULL AND (perc_inc_qty > 0 OR total_counterfactual_qty > 100) AND perc_inc_qty < 10""",
     "c_small": "SELECT * FROM c_small0 WHERE perc_inc_qty < (SELECT quantile_cont(perc_inc_qty, 0.95) FROM c_small0)",
     "c_codes": " UNION ALL ".join(f"SELECT '{c}' AS feature, value, row_number() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT {c} AS value FROM c_clean)" for c in _CATS),
     "c_split": f"""SELECT *, ('0x' || substring(md5({" || '|' || ".join(_KEYS)} || '|' || discount_depth), 1, 8))::BIGINT % 10 AS bucket FROM c_clean""",
@@ -566,9 +576,14 @@ add("d80_train_split", on(lambda m: _split(m)[0]), " ".join(_KEYS) + " discount_
 add("d80_validation_split", on(lambda m: _split(m)[1]), " ".join(_KEYS) + " discount_depth", "SELECT * FROM c_split WHERE bucket >= 8", extra=_MEX)
 
 
+# The most rounds; the error of the validation rows ends boosting before.
+TREE_ROUNDS = 100
+
+
 def _trees(m: Mart):
     if not hasattr(m, "_tree_model"):
-        m._tree_model = models.fit_trees(_split(m)[0], _FEATURES, _CATS, _TARGET, rounds=8, depth=4)
+        train, valid = _split(m)
+        m._tree_model = models.fit_trees(train, _FEATURES, _CATS, _TARGET, rounds=TREE_ROUNDS, depth=5, validation=valid)
     return m._tree_model
 
 
@@ -714,8 +729,8 @@ add("d92_category_brand_rollup", on(lambda m: training.rollup(_mean_scores(m))),
     f"""SELECT area, section, category, subcategory, brand_name, promo_mechanic, Promo_mechanic_en, discount_depth, {', '.join(f'{o.mean(o.fixed(c))} AS avg_{c}' for c in [*_AV, 'prediction_interval', 'prediction_error_perc'])},
     {', '.join(f'sum({o.fixed(c)}) AS sum_{c}' for c in _AV[:3])}, count(DISTINCT sku_root_id) AS no_skus_in_brand_cat, max(promoted_in_past) AS promoted_in_past FROM c_priced GROUP BY ALL""", extra=_RX)
 add("d93_top_per_category", on(lambda m: training.top_per_category(_mean_scores(m))),
-    "row_num:i sku_root_id category segment brand_name promo_mechanic discount_depth baseline_sales_qty:d inc_sales_qty:d perc_uplift_qty:d promoted_in_past:i",
-    f"""SELECT *, p_qty_bl AS baseline_sales_qty, p_cal_inc_sale_qty AS inc_sales_qty, up * 100 AS perc_uplift_qty FROM (SELECT * EXCLUDE (perc_uplift_qty), {o.ratio('p_cal_inc_sale_qty', 'p_qty_bl')} AS up,
+    "row_num:i sku_root_id category segment brand_name promo_mechanic discount_depth counterfactual_sales_qty:d inc_sales_qty:d perc_uplift_qty:d promoted_in_past:i",
+    f"""SELECT *, p_qty_bl AS counterfactual_sales_qty, p_cal_inc_sale_qty AS inc_sales_qty, up * 100 AS perc_uplift_qty FROM (SELECT * EXCLUDE (perc_uplift_qty), {o.ratio('p_cal_inc_sale_qty', 'p_qty_bl')} AS up,
     row_number() OVER (PARTITION BY category ORDER BY {o.ratio('p_cal_inc_sale_qty', 'p_qty_bl')} DESC NULLS LAST, p_cal_inc_sale_qty DESC NULLS LAST, sku_root_id, promo_mechanic, discount_depth) AS row_num
     FROM c_priced WHERE p_qty_bl > 50) WHERE row_num <= 20""", extra=_RX)
 add("d94_feature_importance", lambda spark, sf: models.importance(spark, _trees(open_mart(spark, sf)), _FEATURES), "feature importance:d")

@@ -12,12 +12,14 @@ def write_table(
 ) -> None:
     """Replace a table, or with ``slices_only`` just the partitions that ``df`` holds.
 
-    Rows are placed by partition and cluster columns first: a partition gets few
-    files, and a hot partition is still cut by the cluster columns.
+    Rows of a partition value come together in tasks of the advisory size: a small value makes one file, a hot
+    one is split over as many tasks as it needs. Cluster columns order the rows inside the files.
     """
     placed = [*(partition_by or []), *(cluster_by or [])]
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if placed:
-        df = df.repartition(*placed).sortWithinPartitions(*placed)
+        df = df.sortWithinPartitions(*placed)
     writer = df.write.mode("overwrite")
     if slices_only:
         writer = writer.option("partitionOverwriteMode", "dynamic")

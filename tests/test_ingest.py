@@ -65,12 +65,18 @@ def test_landing_takes_each_file_once(spark):
     run()
     run()
     (source / "20190103_c.csv").write_text(good(4))
-    (source / "20190104_bad.csv").write_text("x|1|2\n" * 5)
-    run()
+    (source / "20190104_bad.csv").write_text("x|1|2\n" * 50 + good(50))
+    with pytest.raises(Exception, match="too many bad rows in 20190104_bad.csv"):
+        run()
+    assert landing.landed(spark, f"{target}/out").count() == 8
+    landing.land(spark, str(source), f"{target}/out", f"{target}/state", SCHEMA, quarantine=f"{target}/refused")
     got = landing.landed(spark, f"{target}/out")
     assert {r.TIMESTAMP: r.n for r in got.groupBy("TIMESTAMP").agg(F.count(F.lit(1)).alias("n")).collect()} == {20190101: 5, 20190102: 3, 20190103: 4}
     audit = {r.file_name: r.accepted for r in landing.landed(spark, f"{target}/out", "audit").collect()}
     assert audit["20190104_bad.csv"] is False and len(audit) == 4
+    loaded = {r.file_name: r.loaded_rows for r in landing.landed(spark, f"{target}/out", "audit").collect()}
+    assert loaded == {"20190101_a.csv": 5, "20190102_b.csv": 3, "20190103_c.csv": 4, "20190104_bad.csv": 0}
+    assert spark.read.parquet(f"{target}/refused").count() == 100
 
 
 def test_slices_and_workspace(spark):

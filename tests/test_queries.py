@@ -9,7 +9,7 @@ from promolens.plans.mart import open_mart
 
 SF = "/root/testdata/sf0.001"
 PICKED = ["d02_sku", "d05_promotional_to_sku", "d07_transaction_to_sku", "d12_root_sku", "d19_daily_transaction_to_sku", "d23_std_price_margin",
-          "d30_promo_summary", "d38_recursive_baseline", "d40_baseline_promo", "d44_pareto_promo_table", "d50_cannibal_attribution", "d53_smoothed_history",
+          "d30_promo_summary", "d38_recursive_counterfactual", "d40_counterfactual_promo", "d44_pareto_promo_table", "d50_cannibal_attribution", "d53_smoothed_history",
           "d59_sku_elasticity", "d71_post_promo_profile_excluded", "d77_scoring_table", "a15_median", "w06_percent_rank", "w10_stepwise_carry", "s02_header_detection"]
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from promolens.functions import smoothing
-from promolens.operators import baseline, cannibal, forecast
+from promolens.operators import counterfactual, cannibal, forecast
 
 D0 = dt.date(2018, 1, 1)
 
@@ -16,32 +16,32 @@ def week(i):
     return D0 + dt.timedelta(days=7 * i)
 
 
-def run_baseline(spark, promo_rows, trend, ext=4):
+def run_counterfactual(spark, promo_rows, trend, ext=4):
     weeks = spark.createDataFrame([(week(w), "u", "sec", "r", "p", "2018", "20", "d", q, prev, after) for w, q, prev, after in promo_rows],
                                   "date date, uniq_id string, section string, sku_root_id string, promo_id string, promo_year string, promo_mechanic string, discount_depth string, total_sale_qty double, s_prev_bl_qty double, pf_after_bl_qty double")
     index = spark.createDataFrame([(week(w), "sec", pct) for w, pct in trend.items()], "date date, section string, sale_qty_pct double")
-    rows = baseline.recursive_baseline(baseline.extended_weeks(weeks, ext), index).orderBy("date").collect()
+    rows = counterfactual.recursive_counterfactual(counterfactual.extended_weeks(weeks, ext), index).orderBy("date").collect()
     return [(r.change_flag, r.sale_qty_bl) for r in rows]
 
 
-def test_baseline_rounds_every_step(spark):
-    got = run_baseline(spark, [(1, 9.0, 10.0, 7.0), (2, 9.0, 10.0, 7.0)], {1: 1.1111, 2: 0.5, 3: 9.0, 4: 1.5, 5: 0.3333, 6: 1.0})
+def test_counterfactual_rounds_every_step(spark):
+    got = run_counterfactual(spark, [(1, 9.0, 10.0, 7.0), (2, 9.0, 10.0, 7.0)], {1: 1.1111, 2: 0.5, 3: 9.0, 4: 1.5, 5: 0.3333, 6: 1.0})
     assert got == [(1, 11.11), (2, 5.56), (3, 7.0), (3, 10.5), (3, 3.5), (3, 3.5)]
 
 
 def test_zero_denominator_carries_missing(spark):
-    got = run_baseline(spark, [(1, 9.0, 10.0, 7.0), (2, 9.0, 10.0, 7.0), (3, 9.0, 10.0, 7.0)], {1: 1.0, 2: None, 3: 2.0, 4: 1.0, 5: None, 6: 1.0, 7: 1.0})
+    got = run_counterfactual(spark, [(1, 9.0, 10.0, 7.0), (2, 9.0, 10.0, 7.0), (3, 9.0, 10.0, 7.0)], {1: 1.0, 2: None, 3: 2.0, 4: 1.0, 5: None, 6: 1.0, 7: 1.0})
     assert got == [(1, 10.0), (2, None), (2, None), (3, 7.0), (3, None), (3, None), (3, None)]
 
 
 def test_missing_index_weeks_and_single_week(spark):
-    assert run_baseline(spark, [(1, 9.0, 4.0, 7.0)], {1: 2.0, 2: 1.0}, 4) == [(1, 8.0), (3, 7.0)]
-    assert run_baseline(spark, [(1, 9.0, 4.0, 7.0), (2, 9.0, 4.0, 7.0)], {2: 1.0, 3: 1.0}, 2) == [(2, None), (3, 7.0)]
+    assert run_counterfactual(spark, [(1, 9.0, 4.0, 7.0)], {1: 2.0, 2: 1.0}, 4) == [(1, 8.0), (3, 7.0)]
+    assert run_counterfactual(spark, [(1, 9.0, 4.0, 7.0), (2, 9.0, 4.0, 7.0)], {2: 1.0, 3: 1.0}, 2) == [(2, None), (3, 7.0)]
 
 
 def test_change_index(spark):
     df = spark.createDataFrame([(week(i), "s", float(v)) for i, v in enumerate((4, 8, 0, 5))], "date date, k string, v double")
-    assert [r.i for r in baseline.change_index(df, ["k"], "v", "i").orderBy("date").collect()] == [1.0, 2.0, 0.0, None]
+    assert [r.i for r in counterfactual.change_index(df, ["k"], "v", "i").orderBy("date").collect()] == [1.0, 2.0, 0.0, None]
 
 
 def flags(spark, rows):
@@ -56,13 +56,13 @@ def test_cannibal_flags(spark):
     assert flags(spark, [(0, 0, 1), (0, 0, 0)]) == [2, 0]
 
 
-def test_cannibal_baseline_fold(spark):
-    m = baseline.METRICS
+def test_cannibal_counterfactual_fold(spark):
+    m = counterfactual.METRICS
     rows = [(0, 0, 10.0, None, 1.0), (1, 0, 8.0, None, 1.1), (2, 0, 7.0, None, 0.5), (4, 0, 20.0, 9.0, 1.0), (1, 0, 5.0, None, 2.0), (1, 0, 5.0, None, 2.0), (2, 0, 5.0, None, 2.0)]
     data = [("r", "seg", week(i), f, p, 0.0, *[t] * 3, *[b] * 3, *[x] * 3) for i, (f, p, t, b, x) in enumerate(rows)]
     schema = "sku_root_id string, segment string, date date, cb_flag int, promo_flag_binary int, incremental_qty double, " + ", ".join(
         [f"total_{x} double" for x in m] + [f"{x}_bl double" for x in m] + [f"{x}_pct double" for x in m])
-    got = [r.sale_qty_cb_bl for r in cannibal.cannibal_baseline(spark.createDataFrame(data, schema)).orderBy("date").collect()]
+    got = [r.sale_qty_cb_bl for r in cannibal.cannibal_counterfactual(spark.createDataFrame(data, schema)).orderBy("date").collect()]
     assert got == [None, 8.0, 4.0, None, 18.0, None, None]
 
 
@@ -73,7 +73,7 @@ def test_positive_shift(spark, low, shift):
 
 
 def test_unknown_flag_stops(spark):
-    m = baseline.METRICS
+    m = counterfactual.METRICS
     schema = "sku_root_id string, date date, change_flag int, " + ", ".join(f"total_{x} double, {x}_bl double, {x}_bl_ext double" for x in m)
     df = spark.createDataFrame([("r", D0, 7, *[1.0] * 9)], schema)
     with pytest.raises(Exception, match="unexpected change_flag"):
