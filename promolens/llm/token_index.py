@@ -1,8 +1,8 @@
 """Token ids as raw shards with a minimal perfect hash index for keyed access.
 
 ``write_tokens`` range-partitions the documents by doc_id, and each task encodes its documents and writes
-one shard: ``.bin`` holds all ids as little-endian unsigned 32-bit integers in ascending doc_id order,
-``.idx`` the doc_ids, the number of ids of each document and the index. The index places each distinct
+one shard: ``.bin`` holds all ids as little-endian unsigned integers in ascending doc_id order, of 16 bits where
+the vocabulary fits and else of 32, ``.idx`` the doc_ids, the number of ids of each document and the index. The index places each distinct
 doc_id without collision: on a level every key hashes to one bit of a table, keys alone on their bit are
 placed, the rest go to the next level; the rank of a key's bit is its slot. A slot keeps a 32-bit
 fingerprint, the first row and the number of rows of its key. An absent key fails the fingerprint (but for
@@ -12,8 +12,9 @@ A task names its files by itself and reports them in a manifest row that Spark c
 doubled task leaves files nobody refers to. A shard is as large as a range partition; more data makes more
 shards. The writing library takes any folder that its file systems know (file, s3, gs, hdfs).
 
-Encoding splits a text at ASCII white space, which the vocabulary's pre-tokenizer drops and never joins,
-and keeps the ids of ``cache`` words per worker; words not seen yet go to the tokenizers library in batches.
+Encoding splits a text at ASCII white space, which the vocabulary's pre-tokenizer drops and never joins, and
+keeps the ids of ``cache`` words and as many pieces of words per worker. A new word is normalised, split by the
+pattern of the vocabulary's file and given to the library's model; unusual words go through the whole library.
 
 Nulls: a null text is empty and has the end id only; rows with a null doc_id come first and have no index
 entry. Rows of one doc_id are ordered by text hash and share a slot. An empty table gives no shards and no
@@ -23,6 +24,7 @@ rows. Other columns are ignored.
 from __future__ import annotations
 
 import io
+import json
 import posixpath
 import uuid
 import zlib
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from promolens.session import Workspace
 
-MANIFEST = "shard int, n_docs long, n_tokens long, low long, high long, n_null long, bin string, idx string"
+MANIFEST = "shard int, n_docs long, n_tokens long, low long, high long, n_null long, width int, bin string, idx string"
 PART = 1 << 22  # ids read at a time
 
 
@@ -98,7 +100,8 @@ def build_index(docs: np.ndarray, lengths: np.ndarray, n_null: int) -> bytes:
 class Shard:
     """One shard opened for sequential and keyed reading."""
 
-    def __init__(self, bin_uri: str, idx_uri: str):
+    def __init__(self, bin_uri: str, idx_uri: str, width: int):
+        self.width = width
         fs, path = _place(idx_uri)
         with fs.open_input_file(path) as f:
             z = np.load(io.BytesIO(f.read()))
@@ -120,7 +123,7 @@ class Shard:
         """The ids of each document with this key, read from its place."""
         (row,), (n,) = self.find(np.array([key], np.int64))
         with self.fs.open_input_file(self.path) as f:
-            return [np.frombuffer(f.read_at(int(self.lengths[r]) * 4, int(self.starts[r]) * 4), "<u4") for r in range(row, row + n)]
+            return [np.frombuffer(f.read_at(int(self.lengths[r]) * self.width, int(self.starts[r]) * self.width), f"<u{self.width}") for r in range(row, row + n)]
 
 
 def _place(uri: str):
@@ -129,39 +132,86 @@ def _place(uri: str):
     return FileSystem.from_uri(uri)
 
 
-_ENCODERS: dict[str, tuple] = {}
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself where it prints, else the next one above 255."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    letters = {b: chr(b) for b in plain}
+    for b in range(256):
+        if b not in letters:
+            letters[b] = chr(256 + len(letters) - len(plain))
+    return letters
 
 
-def encoder(path: str, cache: int):
-    """(texts) -> the bytes of the ids of each; words already met come from the worker's store."""
-    if path not in _ENCODERS:
-        from tokenizers import Tokenizer
+class Pieces(dict):
+    """Ids of the pieces that the pre-tokenizer makes, as bytes."""
+
+    def __init__(self, model, kind: str, limit: int):
+        self.model, self.kind, self.limit, self.letters = model, kind, limit, _byte_letters()
 
-        _ENCODERS[path] = (Tokenizer.from_file(path), {})
-    tokenizer, known = _ENCODERS[path]
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > self.limit:
+            self.clear()
+        text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        self[piece] = ids = np.array([t.id for t in self.model.tokenize(text)], self.kind).tobytes()
+        return ids
 
-    def encode(texts: list[str]) -> list[bytes]:
-        if len(known) > cache:
-            known.clear()
-        split = [t.encode().split() for t in texts]
-        new = list({w for words in split for w in words if w not in known})
-        for word, e in zip(new, tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            known[word] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in words]) for words in split]
 
-    return encode
+class Words(dict):
+    """Ids of words without ASCII white space, as bytes; a new word is encoded on first use."""
 
+    def __init__(self, path: str, limit: int):
+        import regex
+        from tokenizers import Tokenizer
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, shards: int | None = None, cache: int = 400_000, chunk: int = 1 << 22) -> DataFrame:
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        settings = json.loads(self.tokenizer.to_str())
+        steps = (settings.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        forms = [n["type"] for n in (settings.get("normalizer") or {}).get("normalizers") or []]
+        # Only this chain is taken apart: lower-casing, a split by pattern, bytes as letters, merges.
+        known = [x["type"] for x in steps] == ["Split", "ByteLevel"] and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]
+        self.simple = known and forms == ["NFC", "Replace", "Lowercase"] and settings["model"]["type"] == "BPE"
+        self.split = regex.compile(steps[0]["pattern"]["Regex"]) if self.simple else None
+        self.pieces = Pieces(self.tokenizer.model, self.kind, limit)
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > self.limit:
+            self.clear()
+        text = word.decode()
+        if not self.simple or "<|" in text or not text.isprintable():
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        else:
+            text = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
+            if text.isalpha():
+                ids = self.pieces[text]
+            elif text[:-1].isalpha():
+                ids = self.pieces[text[:-1]] + self.pieces[text[-1]]
+            else:
+                ids = b"".join([self.pieces[p] for p in self.split.findall(text)])
+        self[word] = ids
+        return ids
+
+
+_ENCODERS: dict[tuple[str, int], Words] = {}
+
+
+def encoder(path: str, cache: int) -> Words:
+    """The worker's words of this vocabulary."""
+    if (path, cache) not in _ENCODERS:
+        _ENCODERS[path, cache] = Words(path, cache)
+    return _ENCODERS[path, cache]
+
+
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, shards: int | None = None, cache: int = 400_000) -> DataFrame:
     """Writes the shards below ``folder`` and returns the manifest, one row per shard, from its written table."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     rows = (rows.repartitionByRange(shards, *order) if shards else rows.repartitionByRange(*order)).sortWithinPartitions(*order)
-    end = np.array([end_id], "<u4").tobytes()
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, name, out = encoder(tokenizer, cache), uuid.uuid4().hex, None
+        words, name, out = encoder(tokenizer, cache), uuid.uuid4().hex, None
+        end, width = np.array([end_id], words.kind).tobytes(), np.dtype(words.kind).itemsize
         keys, lengths, n_null = [], [], 0
         for pdf in batches:
             if not len(pdf):
@@ -170,12 +220,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
                 fs, path = _place(f"{folder}/{name}.bin")
                 fs.create_dir(posixpath.dirname(path), recursive=True)
                 out = fs.open_output_stream(path)
-            texts = pdf["text"].tolist()
-            sizes = np.cumsum([len(t) for t in texts]) // chunk
-            for part in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(sizes)) + 1):
-                for ids in encode([texts[i] for i in part]):
-                    lengths.append(len(ids) // 4 + 1)
-                    out.write(ids + end)
+            for text in pdf["text"]:
+                ids = b"".join(map(words.__getitem__, text.encode().split())) + end
+                lengths.append(len(ids) // width)
+                out.write(ids)
             n_null += int(pdf["doc_id"].isna().sum())
             keys.append(pdf["doc_id"].fillna(0).to_numpy().astype(np.int64))
         if out is not None:
@@ -184,7 +232,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
             with fs.open_output_stream(path[:-3] + "idx") as f:
                 f.write(build_index(all_keys, n, n_null))
             low, high = (int(all_keys[n_null]), int(all_keys[-1])) if n_null < len(all_keys) else (None, None)
-            yield pd.DataFrame([(TaskContext.get().partitionId(), len(n), int(n.sum()), low, high, n_null, f"{folder}/{name}.bin", f"{folder}/{name}.idx")],
+            yield pd.DataFrame([(TaskContext.get().partitionId(), len(n), int(n.sum()), low, high, n_null, width, f"{folder}/{name}.bin", f"{folder}/{name}.idx")],
                                columns=[c.split()[0] for c in MANIFEST.split(", ")]).astype({"low": "Int64", "high": "Int64"})
 
     return Workspace(spark).keep(rows.mapInPandas(write, MANIFEST), "manifest")
@@ -193,13 +241,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
 def read_digests(manifest: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start (ids before it), n_tokens, ids_crc32."""
     before = F.sum("n_tokens").over(Window.orderBy("shard")) - F.col("n_tokens")
-    shards = manifest.select("shard", "bin", "idx", before.alias("base"))
+    shards = manifest.select("shard", "bin", "idx", "width", before.alias("base"))
     shards = shards.repartition(max(1, manifest.count()))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for s in pdf.itertuples():
-                shard = Shard(s.bin, s.idx)
+                shard = Shard(s.bin, s.idx, s.width)
                 keys = shard.docs[shard.n_null :]
                 first, n = shard.find(keys)
                 run = np.arange(len(keys)) - np.searchsorted(keys, keys, "left")
@@ -210,7 +258,8 @@ def read_digests(manifest: DataFrame) -> DataFrame:
                     at = 0
                     while at < len(row):
                         to = max(at + 1, int(np.searchsorted(shard.starts, shard.starts[at] + PART, "right")) - 1)
-                        ids = memoryview(f.read_at(int(shard.starts[to] - shard.starts[at]) * 4, int(shard.starts[at]) * 4))
+                        raw = f.read_at(int(shard.starts[to] - shard.starts[at]) * s.width, int(shard.starts[at]) * s.width)
+                        ids = memoryview(np.frombuffer(raw, f"<u{s.width}").astype("<u4").tobytes())
                         a = (shard.starts[row[at:to]] - shard.starts[at]) * 4
                         crc = [zlib.crc32(ids[i : i + 4 * k]) for i, k in zip(a.tolist(), shard.lengths[row[at:to]].tolist())]
                         doc = pd.array(shard.docs[at:to], "Int64")
@@ -224,7 +273,7 @@ def read_digests(manifest: DataFrame) -> DataFrame:
 def fetch(manifest: DataFrame, key: int) -> list[np.ndarray]:
     """The ids of every document with this key, by the shards whose range holds it."""
     held = manifest.where((F.col("low") <= key) & (F.col("high") >= key)).orderBy("shard").collect()
-    return [ids for s in held for ids in Shard(s.bin, s.idx).ids(key)]
+    return [ids for s in held for ids in Shard(s.bin, s.idx, s.width).ids(key)]
 
 
 def folder_for(spark: SparkSession) -> str:
