@@ -17,20 +17,21 @@ def start_values(y: np.ndarray, season: int) -> tuple[float, float, np.ndarray]:
 
 def run(y: np.ndarray, season: int, alpha: float, beta: float, gamma: float, phi: float):
     """Level, trend, season and one-step fit for every observation."""
-    n = len(y)
-    level, trend, cycle = np.empty(n), np.empty(n), np.empty(n)
-    fit = np.empty(n)
-    l0, b0, s0 = start_values(y, season)
-    last_l, last_b, s = l0, b0, list(s0)
-    for t in range(n):
-        old = s[t % season]
-        fit[t] = last_l + phi * last_b + old
-        level[t] = alpha * (y[t] - old) + (1 - alpha) * (last_l + phi * last_b)
-        trend[t] = beta * (level[t] - last_l) + (1 - beta) * phi * last_b
-        cycle[t] = gamma * (y[t] - last_l - phi * last_b) + (1 - gamma) * old
-        s[t % season] = cycle[t]
-        last_l, last_b = level[t], trend[t]
-    return level, trend, cycle, fit
+    l, b, s0 = start_values(y, season)
+    level, trend, cycle, fit, s = [], [], [], [], s0.tolist()
+    # Plain floats: a step is a few sums, for which array elements cost more than the sums.
+    for t, value in enumerate(y.tolist()):
+        i = t % season
+        old, ahead = s[i], l + phi * b
+        fit.append(ahead + old)
+        new = alpha * (value - old) + (1 - alpha) * ahead
+        b = beta * (new - l) + (1 - beta) * phi * b
+        s[i] = gamma * (value - ahead) + (1 - gamma) * old
+        l = new
+        level.append(l)
+        trend.append(b)
+        cycle.append(s[i])
+    return np.array(level), np.array(trend), np.array(cycle), np.array(fit)
 
 
 def forecast(level, trend, cycle, season: int, phi: float, steps: int) -> np.ndarray:

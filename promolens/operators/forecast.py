@@ -68,8 +68,14 @@ def smoothed(rows: DataFrame, window: int = 4) -> DataFrame:
     )
 
 
-def fit_and_forecast(rows: DataFrame, season: int = 12, horizon: int = 16) -> DataFrame:
-    """One model per root and measure; a series is at most the calendar's weeks long."""
+def fit_and_forecast(
+    rows: DataFrame, season: int = 12, horizon: int = 16, params: tuple[float, float, float, float] | None = None
+) -> DataFrame:
+    """One model per root and measure; a series is at most the calendar's weeks long.
+
+    ``params`` (alpha, beta, gamma, phi) takes the place of the fit. A series shorter than two seasons has no
+    start values and gets no forecast.
+    """
 
     def one(series: pd.DataFrame) -> pd.DataFrame:
         series = series.sort_values("date")
@@ -81,7 +87,7 @@ def fit_and_forecast(rows: DataFrame, season: int = 12, horizon: int = 16) -> Da
             out = out.assign(l_t=np.nan, b_t=np.nan, s_t=np.nan, y_hat_t=np.nan, alpha=np.nan, beta=np.nan,
                              phi=np.nan, gamma=np.nan, l_0=np.nan, b_0=np.nan)
         else:
-            a, b, g, phi = smoothing.fit(y, season)
+            a, b, g, phi = params or smoothing.fit(y, season)
             level, trend, cycle, fitted = smoothing.run(y, season, a, b, g, phi)
             bias = float((y - fitted).mean())
             ahead = smoothing.forecast(level, trend, cycle, season, phi, horizon)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import dbl, fixed, mean_of, ratio
 from ..functions.ranking import exact_quantile
+from ..session import Workspace
 
 # Discount depths that are kept for training.
 ALLOWED_DEPTHS = [
@@ -180,6 +181,7 @@ def evaluate(scored: DataFrame, actual: str, predicted: str = "prediction") -> D
         fixed(y).alias("y"), fixed(F.abs(y)).alias("abs_y"), fixed(error).alias("error"), fixed(error * error).alias("square"),
         F.abs(error).alias("size"), F.coalesce(F.abs(ratio(error, y)), F.lit(0.0)).alias("share"),
     )
+    rows = Workspace(scored.sparkSession).keep(rows, "errors")  # scored once for all figures
     usual = mean_of("y")
     sums = rows.agg(
         F.count(F.lit(1)).alias("n"),
@@ -207,9 +209,10 @@ def with_intervals(scored: DataFrame, evaluation: DataFrame, target: str, quanti
 
     With ``quantity_base`` the share is also given as a quantity.
     """
+    figures = evaluation.select(dbl("mae").alias("mae"), dbl("mape").alias("mape")).first()
     out = scored.withColumnRenamed("prediction", target).withColumns({
-        "prediction_interval": evaluation.select("mae").scalar(),
-        "prediction_error_perc": evaluation.select("mape").scalar(),
+        "prediction_interval": F.lit(figures.mae).cast("double"),
+        "prediction_error_perc": F.lit(figures.mape).cast("double"),
     })
     if quantity_base is not None:
         out = out.withColumn("p_cal_inc_sale_qty", dbl(target) * dbl(quantity_base))

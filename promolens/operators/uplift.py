@@ -102,15 +102,16 @@ def uplift_profile(promo: DataFrame, campaigns: DataFrame) -> DataFrame:
     return sums.withColumn("avg_perc_inc_sale_qty", ratio("sum_inc_sale_qty", "sum_bline_qty_all_day"))
 
 
-def without_repromoted(post: DataFrame) -> DataFrame:
-    """Drop roots and stores that were on promotion again in the days after."""
-    again = post.where(F.col("pf_promo_flag") == 1).select(*PAIR).distinct()
-    return post.join(again, PAIR, "left_anti")
+def without_repromoted(post: DataFrame, within: list[str] = ()) -> DataFrame:
+    """Drop roots and stores that were on promotion again in the days after, anywhere or ``within`` the same keys."""
+    pair = [*PAIR, *within]
+    again = post.where(F.col("pf_promo_flag") == 1).select(*pair).distinct()
+    return post.join(again, pair, "left_anti")
 
 
-def post_profile(post: DataFrame, campaigns: DataFrame, exclude_repromoted: bool = False) -> DataFrame:
+def post_profile(post: DataFrame, campaigns: DataFrame, exclude_repromoted: bool = False, within: list[str] = ()) -> DataFrame:
     """Incremental quantity by day since the end of the promotion."""
-    rows = (without_repromoted(post) if exclude_repromoted else post).join(_weeks(campaigns), PROMO)
+    rows = (without_repromoted(post, within) if exclude_repromoted else post).join(_weeks(campaigns), PROMO)
     gain = (F.col("pf_sale_qty") - F.col("bline_qty_all_day")).cast(RATE)
     rows = rows.withColumns({
         "inc_pf_sale_qty": gain,

@@ -323,6 +323,32 @@ add("d52_positive_shift", on(lambda m: forecast.positive_shift(forecast.history(
     "sku_root_id date measure low:d shift:d", "c_shift", extra=_FEX)
 _smoothed = lambda m: forecast.smoothed(forecast.positive_shift(forecast.history(m["sku_counterfactual"])))
 add("d53_smoothed_history", on(_smoothed), "sku_root_id date measure smooth:d", "c_smooth", extra=_FEX)
+_GIVEN = (0.4, 0.1, 0.3, 0.95)
+_FIT_SQL = {
+    "c_series": """SELECT *, row_number() OVER w AS t, count(*) OVER (PARTITION BY sku_root_id, measure) AS n FROM c_smooth
+      WINDOW w AS (PARTITION BY sku_root_id, measure ORDER BY date)""",
+    "c_start": """SELECT sku_root_id, measure, avg(smooth) FILTER (WHERE t <= 12) AS l,
+      (avg(smooth) FILTER (WHERE t > 12 AND t <= 24) - avg(smooth) FILTER (WHERE t <= 12)) / 12 AS b, list(smooth ORDER BY t) FILTER (WHERE t <= 12) AS y FROM c_series WHERE n >= 24 GROUP BY ALL""",
+    "c_run": """SELECT sku_root_id, measure, 0 AS t, NULL::DATE AS date, NULL::DOUBLE AS hist, NULL::DOUBLE AS shift, NULL::DOUBLE AS y, NULL::DOUBLE AS fit, l, b, list_transform(y, lambda v: v - l) AS s FROM c_start
+      UNION ALL
+      SELECT r.sku_root_id, r.measure, x.t, x.date, x.hist::DOUBLE, x.shift::DOUBLE, x.smooth, r.l + 0.95::DOUBLE * r.b + r.s[1],
+        0.4::DOUBLE * (x.smooth - r.s[1]) + 0.6::DOUBLE * (r.l + 0.95::DOUBLE * r.b),
+        0.1::DOUBLE * (0.4::DOUBLE * (x.smooth - r.s[1]) + 0.6::DOUBLE * (r.l + 0.95::DOUBLE * r.b) - r.l) + 0.9::DOUBLE * 0.95::DOUBLE * r.b,
+        list_append(r.s[2:], 0.3::DOUBLE * (x.smooth - r.l - 0.95::DOUBLE * r.b) + 0.7::DOUBLE * r.s[1])
+      FROM c_run r JOIN c_series x ON x.sku_root_id = r.sku_root_id AND x.measure = r.measure AND x.t = r.t + 1""",
+    "c_bias": "SELECT sku_root_id, measure, avg(y - fit) AS bias, max(t) AS last FROM c_run WHERE t > 0 GROUP BY ALL",
+    "c_ahead": """SELECT r.sku_root_id, r.measure, (r.date + (7 * h)::INT)::DATE AS date, NULL::DOUBLE AS y_t, NULL::DOUBLE AS l_t, NULL::DOUBLE AS b_t, NULL::DOUBLE AS s_t,
+      r.l + list_sum(list_transform(range(1, h + 1), lambda k: 0.95::DOUBLE ** k)) * r.b + r.s[(h - 1) % 12 + 1] + bias - r.shift AS e
+      FROM c_run r JOIN c_bias USING (sku_root_id, measure), range(1, 17) g(h) WHERE r.t = last""",
+    "c_fitted": """SELECT sku_root_id, measure, date, hist AS y_t, l AS l_t, b AS b_t, s[12] AS s_t, fit + bias - shift AS e FROM c_run JOIN c_bias USING (sku_root_id, measure) WHERE t > 0
+      UNION ALL SELECT * FROM c_ahead
+      UNION ALL SELECT sku_root_id, measure, date, hist::DOUBLE, NULL, NULL, NULL, NULL FROM c_series WHERE n < 24""",
+}
+# Cents: the engines sum in different orders.
+add("d54_forecast_given", on(lambda m: forecast.fit_and_forecast(_smoothed(m), params=_GIVEN).select("sku_root_id", "measure", "date", *[F.round(c, 2).alias(c) for c in ("y_t", "l_t", "b_t", "s_t", "y_hat_t")])),
+    "sku_root_id measure date y_t:d l_t:d b_t:d s_t:d y_hat_t:d",
+    """SELECT sku_root_id, measure, date, round(y_t, 2) AS y_t, round(l_t, 2) AS l_t, round(b_t, 2) AS b_t, round(s_t, 2) AS s_t,
+    round(CASE WHEN measure <> 'margin_amt' THEN greatest(e, 0) ELSE e END, 2) AS y_hat_t FROM c_fitted""", extra={**_FEX, **_FIT_SQL}, recursive={"c_run"})
 add("d54_forecast", on(lambda m: forecast.forecast_table(m["forecast"])),
     "date sku_root_id " + _d([f"{n}_{x}" for x in _MET for n in ("b_t", "l_t", "s_t", "y_hat_t", "y_t")]))
 
@@ -456,6 +482,9 @@ add("d70_post_promo_profile", on(lambda m: uplift.post_profile(m["post_kept"], m
 add("d71_post_promo_profile_excluded", on(lambda m: uplift.post_profile(m["post_kept"], m["campaign"], exclude_repromoted=True)), _POST + " perc_inc_sale_qty:d",
     _post_sql("(SELECT * FROM c_postkept ANTI JOIN (SELECT DISTINCT sku_root_id, store_id FROM c_postkept WHERE pf_promo_flag = 1) USING (sku_root_id, store_id))",
               f", {o.ratio('sum_inc_pf_sale_qty', 'sum_bline_qty_all_day')} AS perc_inc_sale_qty"))
+add("d71_post_promo_profile_excluded_by_year", on(lambda m: uplift.post_profile(m["post_kept"], m["campaign"], exclude_repromoted=True, within=["promo_year"])), _POST + " perc_inc_sale_qty:d",
+    _post_sql("(SELECT * FROM c_postkept ANTI JOIN (SELECT DISTINCT sku_root_id, store_id, promo_year FROM c_postkept WHERE pf_promo_flag = 1) USING (sku_root_id, store_id, promo_year))",
+              f", {o.ratio('sum_inc_pf_sale_qty', 'sum_bline_qty_all_day')} AS perc_inc_sale_qty"))
 add("d72_coverage", on(lambda m: uplift.coverage(m["daily"], m["periods"])), "total_sale_amt:d total_sale_qty:d",
     "SELECT sum(total_sale_amt) AS total_sale_amt, sum(total_sale_qty) AS total_sale_qty FROM c_daily SEMI JOIN (SELECT * FROM c_period WHERE period > 700) USING (sku_root_id, store_id)")
 _PTOT = [*_AL, "total_counterfactual_qty", "total_inc_qty", "perc_inc_qty", "duration_wks"]
@@ -521,8 +550,10 @@ _DEPTHS = "(" + ", ".join(f"'{d}'" for d in models.ALLOWED_DEPTHS) + ")"
 
 
 def _clean(m: Mart) -> DataFrame:
-    rules = models.Rules(excluded_months=models.EXCLUDED_MONTHS, min_stores=1, max_days=30, outliers="positive")
-    return models.clean(m["train"], _FEATURES, _TARGET, rules, keep=_KEYS)
+    if not hasattr(m, "_cleaned"):
+        rules = models.Rules(excluded_months=models.EXCLUDED_MONTHS, min_stores=1, max_days=30, outliers="positive")
+        m._cleaned = m.space.keep(models.clean(m["train"], _FEATURES, _TARGET, rules, keep=_KEYS), "cleaned")
+    return m._cleaned
 
 
 def _clean_capped(m: Mart) -> DataFrame:
@@ -598,6 +629,9 @@ def _means(m: Mart) -> tuple[DataFrame, DataFrame]:
 
 
 add("d81_boosted_trees", on(_tree_validation), " ".join(_KEYS) + f" {_TARGET}:d prediction:d")
+# What holds for any fit: every row of the validation part has a prediction.
+add("d81_scored_rows", on(lambda m: _tree_validation(m).select(*_KEYS, "discount_depth", _TARGET, F.col("prediction").isNotNull().alias("scored"))),
+    " ".join(_KEYS) + f" discount_depth {_TARGET}:d scored", "SELECT *, TRUE AS scored FROM c_split WHERE bucket >= 8", extra=_MEX)
 add("d82_tree_evaluation", on(lambda m: models.evaluate(_tree_validation(m), _TARGET)), "n:i rmse:r mean_error:r mae:r mape:r benchmark_std:r benchmark_mean_error:r benchmark_mae:r")
 _ERR = f"({_TARGET} - prediction)"
 add("d82_model_evaluation", on(lambda m: models.evaluate(_means(m)[1], _TARGET)),
@@ -650,6 +684,23 @@ add("d84_grouped_ols", on(lambda m: _joined_key(_ols(m)).withColumns({
     "rank:i agg_fields gkey n:i skipped:i slope:r const:r rmse:r mean_error:r mae:r mape:r", "c_lmodel", extra=_LX)
 add("d84_grouped_ols_full", on(lambda m: _joined_key(ols.grouped_ols(_clean_capped(m), _LV, ["discount_depth_rank", "duration_days"], _TARGET))),
     "rank:i agg_fields gkey no_data_points:i outlier_data_points:i r2:r rmse:r mae:r mape:r coeff_const:r coeff_discount_depth_rank:r coeff_duration_days:r")
+# Groups of full rank with two regressors have one solution, which SQL states by determinants.
+_L2X = {
+    **_LX,
+    "c_l2rows": " UNION ALL ".join(
+        f"SELECT {i} AS rank, {' || chr(1) || '.join(f)} AS gkey, discount_depth_rank::DOUBLE AS a, duration_days::DOUBLE AS b, {_TARGET}::DOUBLE AS y FROM c_capped"
+        for i, f in enumerate(_LV, 1)),
+    "c_l2sums": """SELECT rank, gkey, count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS aa, var_pop(b) AS bb, var_pop(y) AS yy, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS byy
+      FROM c_l2rows JOIN (SELECT rank, gkey, quantile_cont(y, 0.95) AS lim FROM c_l2rows GROUP BY ALL) USING (rank, gkey) WHERE y < lim GROUP BY ALL""",
+    "c_l2fit": """SELECT *, (ay * bb - byy * ab) / (aa * bb - ab * ab) AS sa, (byy * aa - ay * ab) / (aa * bb - ab * ab) AS sb FROM c_l2sums
+      WHERE n >= 3 AND aa > 1e-12 AND bb > 1e-12 AND 1 - ab * ab / (aa * bb) > 1e-9""",
+}
+add("d84_grouped_ols_two", on(lambda m: _joined_key(ols.grouped_ols(_clean_capped(m), _LV, ["discount_depth_rank", "duration_days"], _TARGET)).where(
+        (F.col("vif_duration_days") < 1e9)).select("rank", "gkey", F.col("no_data_points").alias("n"), *[F.round(c, 4).alias(n) for c, n in (
+            ("coeff_discount_depth_rank", "sa"), ("coeff_duration_days", "sb"), ("coeff_const", "c"), ("r2", "r2"), ("vif_duration_days", "vif"))])),
+    "rank:i gkey n:i sa:d sb:d c:d r2:d vif:d",
+    """SELECT rank, gkey, n, round(sa, 4) AS sa, round(sb, 4) AS sb, round(my - sa * ma - sb * mb, 4) AS c, CASE WHEN yy > 0 THEN round((sa * ay + sb * byy) / yy, 4) END AS r2,
+    round(1 / (1 - ab * ab / (aa * bb)), 4) AS vif FROM c_l2fit""", extra=_L2X)
 add("d84_grouped_ols_by_category", on(lambda m: _joined_key(ols.grouped_ols(
         models.clean(m["train"], ["category", "subcategory", "segment", "brand_name", "discount_depth_rank"], _TARGET, models.Rules(max_days=40, outliers="capped")),
         ols.LEVELS_BY_CATEGORY, ["discount_depth_rank"], _TARGET)).groupBy("rank", "agg_fields").agg(
@@ -733,5 +784,8 @@ add("d93_top_per_category", on(lambda m: training.top_per_category(_mean_scores(
     f"""SELECT *, p_qty_bl AS counterfactual_sales_qty, p_cal_inc_sale_qty AS inc_sales_qty, up * 100 AS perc_uplift_qty FROM (SELECT * EXCLUDE (perc_uplift_qty), {o.ratio('p_cal_inc_sale_qty', 'p_qty_bl')} AS up,
     row_number() OVER (PARTITION BY category ORDER BY {o.ratio('p_cal_inc_sale_qty', 'p_qty_bl')} DESC NULLS LAST, p_cal_inc_sale_qty DESC NULLS LAST, sku_root_id, promo_mechanic, discount_depth) AS row_num
     FROM c_priced WHERE p_qty_bl > 50) WHERE row_num <= 20""", extra=_RX)
+add("d94_importance_total", lambda spark, sf: models.importance(spark, _trees(open_mart(spark, sf)), _FEATURES, n=len(_FEATURES)).agg(
+        F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"), F.min(F.col("importance") >= 0).alias("none_negative")),
+    "features:i total:d none_negative", f"SELECT {len(_FEATURES)} AS features, 1.0 AS total, TRUE AS none_negative")
 add("d94_feature_importance", lambda spark, sf: models.importance(spark, _trees(open_mart(spark, sf)), _FEATURES), "feature importance:d")
 
