@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from promolens.session import Workspace
 
 from .token_index import _mix
+from .url_filter import Bloom, fill_bloom
 
 SHINGLE, WIDTH, FAN, DEPTH = 5, 64, 3, 6
 WORDS = 1 << 18  # words worked on at a time; a text is never split
@@ -291,16 +292,35 @@ def _verified(threshold: float) -> Callable:
     return verify
 
 
+def _maybe_members(rows: DataFrame, members: DataFrame, work: Workspace, most: int = 50_000_000) -> DataFrame:
+    """Rows whose text hash a Bloom filter of the members lets pass, so that the join moves few other texts.
+
+    The filter has about ten bits a member; above ``most`` members all rows go to the join, which decides exactly anyway.
+    """
+    n = members.count()
+    if n > most:
+        return rows
+    marks = members.select(F.col("mark").alias("h1"), F.xxhash64("mark").alias("h2"))
+    shipped = rows.sparkSession.sparkContext.broadcast(fill_bloom(marks, Bloom(max(n, 1), 0.01, 0)))
+
+    @F.pandas_udf("boolean")
+    def passes(h1: pd.Series, h2: pd.Series) -> pd.Series:
+        return pd.Series(shipped.value.passes(np.stack([h1.to_numpy(), h2.to_numpy()], axis=1).view(np.uint64)))
+
+    return rows.where(passes("mark", F.xxhash64("mark")))
+
+
 def _classes(docs: DataFrame, threshold: float, recall: float, leaf: int, tile: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """The sketched rows, and per distinct set (d1, d2, doc_id, mark of its first copy, copies, class_id, n_links)."""
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
     sketched = work.keep(rows.mapInPandas(_sketch_rows, "doc_id long, mark long, n long, d1 long, d2 long, sketch binary"), "sketches")
-    sets = sketched.where("n > 0").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "mark", "sketch")).alias("first"), F.count("*").alias("copies"))
-    reps = work.keep(sets.select(F.monotonically_increasing_id().alias("rep"), "d1", "d2", "first.*", "copies"), "reps")
+    sets = sketched.where("n > 0").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "mark", "sketch")).alias("first"), F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    reps = work.keep(sets.select(F.monotonically_increasing_id().alias("rep"), "d1", "d2", "first.*", "least", "copies"), "reps")
     groups = components(chosen_paths(reps, threshold, recall, leaf, work), work, "groups")
     sizes = groups.groupBy("label").agg(F.count("*").alias("size"))
     members = reps.select("rep", "doc_id", "mark", "copies").join(groups.select(F.col("node").alias("rep"), F.col("label").alias("group")), "rep")
     members = work.keep(members.join(sizes.withColumnRenamed("label", "group"), "group"), "members")
+    rows = _maybe_members(rows, members, work)
     same = rows["doc_id"].eqNullSafe(members["doc_id"]) & (rows["mark"] == members["mark"])
     texts = rows.join(members, same).select("group", "size", "rep", "copies", "text")
     texts = _tiled(texts, "group", "size", tile).select("group", "tile", "side", "rep", "copies", "text")
@@ -312,12 +332,12 @@ def _classes(docs: DataFrame, threshold: float, recall: float, leaf: int, tile:
     else:
         classes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), work, "classes")
     linked = links.join(classes.withColumnRenamed("node", "rep"), "rep")
-    named = linked.join(reps.select("rep", "doc_id"), "rep").groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    named = linked.join(reps.select("rep", "least"), "rep").groupBy("label").agg(F.min("least").alias("class_id"))
     linked = linked.join(named, "label").select("rep", "links", "label", "class_id")
     reps = reps.drop("sketch").join(linked, "rep", "left")
     return sketched, work.keep(reps.select(
         "d1", "d2", "doc_id", "mark", "copies", F.coalesce("label", "rep").alias("label"),
-        F.when(F.col("links").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(F.col("links").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classed")
 
 

@@ -66,7 +66,7 @@ def _hashes(pdf: pd.DataFrame) -> np.ndarray:
     return pdf[["h1", "h2"]].to_numpy(np.int64).view(np.uint64)
 
 
-def _filled(keys: DataFrame, bloom: Bloom) -> Bloom:
+def fill_bloom(keys: DataFrame, bloom: Bloom) -> Bloom:
     """The filter with all keys in it: tasks set bits, Spark joins the words."""
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -77,8 +77,8 @@ def _filled(keys: DataFrame, bloom: Bloom) -> Bloom:
         used = np.flatnonzero(words)
         yield pd.DataFrame({"word": used, "bits": words[used].view(np.int64)})
 
-    for r in keys.mapInPandas(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():
-        bloom.words[r.word] = np.array([r.bits], np.int64).view(np.uint64)[0]
+    joined = keys.mapInPandas(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    bloom.words[joined["word"].to_numpy(np.int64)] = joined["bits"].to_numpy(np.int64).view(np.uint64)
     return bloom
 
 
@@ -88,7 +88,7 @@ def build_cascade(keys: DataFrame, work: Workspace, name: str) -> list[Bloom]:
     n_in, n_out, levels = inside.count(), outside.count(), []
     while n_in:
         error = min(0.5, max(1e-9, n_in / (math.sqrt(2) * max(n_out, 1)))) if not levels else 0.5
-        bloom = _filled(inside, Bloom(n_in, error, len(levels)))
+        bloom = fill_bloom(inside, Bloom(n_in, error, len(levels)))
         levels.append(bloom)
 
         def passing(batches: Iterator[pd.DataFrame], bloom: Bloom = bloom) -> Iterator[pd.DataFrame]:
@@ -148,7 +148,8 @@ def judge(pages: DataFrame, entries: DataFrame, block_keys: int = 10_000_000) ->
                     here = in_cascade(shipped.value[0], h)
                     found[mine[here]] = 1 + in_cascade(shipped.value[1], h[here])
                     pdf = pdf.assign(found=np.split(found, np.cumsum(sizes)[:-1]))
-                yield pdf
+                if len(pdf):
+                    yield pdf.astype({"host": object, "path": object})
 
         rows = rows.mapInPandas(look, "page_id long, host string, path string, keys array<string>, h1 array<long>, h2 array<long>, found array<int>")
         rows = work.keep(rows, f"judged{b}") if b + 1 < blocks else rows
