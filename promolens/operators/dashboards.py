@@ -56,21 +56,15 @@ def forward_sales(promo_summary: DataFrame, weekly_fact: DataFrame, campaigns: D
 def store_promo_weeks(counterfactual: DataFrame, promo_summary: DataFrame) -> DataFrame:
     """For every week of a promotion id, how many of its stores are on any promotion.
 
-    Store sets (at most one entry per store) are compared as arrays instead of one row per store.
+    One row per week and store of the promotion meets the stores on promotion by a semi join, and is counted at once.
     """
-    summary = _keyed(promo_summary)
-
-    def stores_of(keys: list[str], name: str) -> DataFrame:
-        return summary.groupBy(*keys).agg(F.array_distinct(F.flatten(F.collect_set("store_ids"))).alias(name))
-
-    mine, on = stores_of(KEY, "_mine"), stores_of(["date", "sku_root_id"], "_on")
-    count = F.size(F.array_intersect("_mine", "_on"))
+    stores = _keyed(promo_summary).select("date", *KEY, F.explode("store_ids").alias("_store"))
+    mine, on = stores.select(*KEY, "_store").distinct(), stores.select("date", "sku_root_id", "_store")
+    weeks = counterfactual.select("date", "uniq_id", *KEY).join(mine, KEY)
     return (
-        counterfactual.select("date", "uniq_id", *KEY)
-        .join(mine, KEY)
-        .join(on, ["date", "sku_root_id"])
-        .select("date", "uniq_id", count.alias("store_promo_flag"))
-        .where(F.col("store_promo_flag") > 0)
+        weeks.join(on, ["date", "sku_root_id", "_store"], "left_semi")
+        .groupBy("date", "uniq_id")
+        .agg(F.count_distinct("_store").cast("int").alias("store_promo_flag"))
     )
 
 

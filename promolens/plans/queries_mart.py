@@ -345,10 +345,10 @@ _FIT_SQL = {
       UNION ALL SELECT sku_root_id, measure, date, hist::DOUBLE, NULL, NULL, NULL, NULL FROM c_series WHERE n < 24""",
 }
 # Cents: the engines sum in different orders.
-add("d54_forecast_given", on(lambda m: forecast.fit_and_forecast(_smoothed(m), params=_GIVEN).select("sku_root_id", "measure", "date", *[F.round(c, 2).alias(c) for c in ("y_t", "l_t", "b_t", "s_t", "y_hat_t")])),
+add("d54_forecast_given", on(lambda m: forecast.fit_and_forecast(_smoothed(m), params=_GIVEN).select("sku_root_id", "measure", "date", "y_t", *[(F.round(c, 2) + 0.0).alias(c) for c in ("l_t", "b_t", "s_t", "y_hat_t")])),
     "sku_root_id measure date y_t:d l_t:d b_t:d s_t:d y_hat_t:d",
-    """SELECT sku_root_id, measure, date, round(y_t, 2) AS y_t, round(l_t, 2) AS l_t, round(b_t, 2) AS b_t, round(s_t, 2) AS s_t,
-    round(CASE WHEN measure <> 'margin_amt' THEN greatest(e, 0) ELSE e END, 2) AS y_hat_t FROM c_fitted""", extra={**_FEX, **_FIT_SQL}, recursive={"c_run"})
+    """SELECT sku_root_id, measure, date, y_t, round(l_t, 2) + 0.0 AS l_t, round(b_t, 2) + 0.0 AS b_t, round(s_t, 2) + 0.0 AS s_t,
+    round(CASE WHEN measure <> 'margin_amt' THEN greatest(e, 0) ELSE e END, 2) + 0.0 AS y_hat_t FROM c_fitted""", extra={**_FEX, **_FIT_SQL}, recursive={"c_run"})
 add("d54_forecast", on(lambda m: forecast.forecast_table(m["forecast"])),
     "date sku_root_id " + _d([f"{n}_{x}" for x in _MET for n in ("b_t", "l_t", "s_t", "y_hat_t", "y_t")]))
 
@@ -696,10 +696,10 @@ _L2X = {
       WHERE n >= 3 AND aa > 1e-12 AND bb > 1e-12 AND 1 - ab * ab / (aa * bb) > 1e-9""",
 }
 add("d84_grouped_ols_two", on(lambda m: _joined_key(ols.grouped_ols(_clean_capped(m), _LV, ["discount_depth_rank", "duration_days"], _TARGET)).where(
-        (F.col("vif_duration_days") < 1e9)).select("rank", "gkey", F.col("no_data_points").alias("n"), *[F.round(c, 4).alias(n) for c, n in (
+        (F.col("vif_duration_days") < 1e9)).select("rank", "gkey", F.col("no_data_points").alias("n"), *[(F.round(c, 4) + 0.0).alias(n) for c, n in (
             ("coeff_discount_depth_rank", "sa"), ("coeff_duration_days", "sb"), ("coeff_const", "c"), ("r2", "r2"), ("vif_duration_days", "vif"))])),
     "rank:i gkey n:i sa:d sb:d c:d r2:d vif:d",
-    """SELECT rank, gkey, n, round(sa, 4) AS sa, round(sb, 4) AS sb, round(my - sa * ma - sb * mb, 4) AS c, CASE WHEN yy > 0 THEN round((sa * ay + sb * byy) / yy, 4) END AS r2,
+    """SELECT rank, gkey, n, round(sa, 4) + 0.0 AS sa, round(sb, 4) + 0.0 AS sb, round(my - sa * ma - sb * mb, 4) + 0.0 AS c, CASE WHEN yy > 0 THEN round((sa * ay + sb * byy) / yy, 4) + 0.0 END AS r2,
     round(1 / (1 - ab * ab / (aa * bb)), 4) AS vif FROM c_l2fit""", extra=_L2X)
 add("d84_grouped_ols_by_category", on(lambda m: _joined_key(ols.grouped_ols(
         models.clean(m["train"], ["category", "subcategory", "segment", "brand_name", "discount_depth_rank"], _TARGET, models.Rules(max_days=40, outliers="capped")),
