@@ -27,7 +27,7 @@ def prose(n, seed):
 
 
 def awkward_rows():
-    long = prose(60_000, 1)
+    long = prose(6_000, 1)
     base = prose(120, 2)
     near = base.split()
     near[60] = "changed"
@@ -49,7 +49,7 @@ def docs(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def benchmark(spark):
-    rows = [(1, prose(120, 2)[:400]), (2, "one TWO three"), (3, None), (4, ""), (None, prose(40, 3)), (5, prose(40, 3)), (5, prose(40, 3)), (6, prose(60_000, 1)[5000:5600])]
+    rows = [(1, prose(120, 2)[:400]), (2, "one TWO three"), (3, None), (4, ""), (None, prose(40, 3)), (5, prose(40, 3)), (5, prose(40, 3)), (6, prose(6_000, 1)[5000:5600])]
     return spark.createDataFrame(rows, "item_id long, text string")
 
 
