@@ -235,7 +235,8 @@ def infer_wrappers(pages: DataFrame, rounds: int = 2, fan: int = 64) -> DataFram
                 w = wrapper_of(parse(page or ""))
                 held[host] = merge(held[host], w) if host in held else w
         part = TaskContext.get().partitionId()
-        yield pd.DataFrame({"host": list(held), "part": part, "wrapper": [json.dumps(w, ensure_ascii=False) for w in held.values()]})
+        if held:
+            yield pd.DataFrame({"host": list(held), "part": part, "wrapper": [json.dumps(w, ensure_ascii=False) for w in held.values()]})
 
     found = pages.mapInPandas(local, "host string, part int, wrapper string")
     for left in range(rounds - 1, -1, -1):
@@ -254,13 +255,13 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"host": pdf["host"], "groups": [groups_to_read(json.loads(w)) for w in pdf["wrapper"]]})
+            yield pd.DataFrame({"host": pdf["host"].tolist(), "groups": [groups_to_read(json.loads(w)) for w in pdf["wrapper"]]})
 
     groups = work.keep(infer_wrappers(rows.select("host", "html")).mapInPandas(chosen, "host string, groups array<string>"), "groups")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [read_page(page or "", list(g)) for page, g in zip(pdf["html"], pdf["groups"])]
-            yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+            yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"].tolist(), "text": texts, "n_chars": [len(t) for t in texts]})
 
     return rows.join(groups, "host").select("page_id", "url", "html", "groups").mapInPandas(read, "page_id long, url string, text string, n_chars long")
