@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from promolens.session import Workspace
+
 CHUNK = 1 << 20  # characters worked on at a time; a text is never split
 EDGE = np.uint16(32)
 OUT = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
@@ -187,12 +189,25 @@ def held_out(fold: int = 2, folds: int = 4) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows of each language, the frequent ones; a hash decides between equal counts.
+
+    Rows are binned by count and hash, and the bins give the place of the cut, so no language is sorted in one task.
+    """
+    rows = counts.select("*", (F.col("n") * 1024 + F.pmod(F.xxhash64("gram"), F.lit(1024))).alias("bin"))
+    bins = rows.groupBy("lang", "bin").agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(Window.partitionBy("lang").orderBy(F.col("bin").desc()))
+    cuts = bins.select("lang", "bin", upto.alias("upto")).where(F.col("upto") <= most).groupBy("lang").agg(F.min("bin").alias("cut"))
+    return rows.join(cuts, "lang").where("bin >= cut").select("lang", "gram", "n")
+
+
 def train(rows: DataFrame, max_grams: int, calibration: int, tail: float) -> Models:
     """Models from all rows of (doc_id, lang, text)."""
-    order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    ranked = count_grams(rows.select("lang", "text")).select("*", F.row_number().over(order).alias("rank"))
-    share = max_grams // max(1, rows.select("lang").distinct().count())
-    models = Models(ranked.where(F.col("rank") <= share).drop("rank").toPandas())
+    counts = Workspace(rows.sparkSession).keep(count_grams(rows.select("lang", "text")), "grams")
+    sizes = counts.groupBy("lang").count().collect()
+    if sum(r["count"] for r in sizes) > max_grams:
+        counts = most_frequent(counts, max_grams // len(sizes))
+    models = Models(counts.toPandas())
     if not models.langs:
         return models
     shipped = rows.sparkSession.sparkContext.broadcast(models)
