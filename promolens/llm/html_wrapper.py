@@ -7,8 +7,8 @@ text that differs into a slot; text that agrees stays a constant of the template
 characters that they held. Pages are folded into wrappers inside each task, wrappers of a host are then
 merged in two rounds, so a host with a third of all pages meets in no single task as more than a few wrappers.
 
-From a host's wrapper follow the groups to read: its articles (else its main part, else groups named as content,
-else the body without link lists and constants). Menus, headers outside an article, footers, sidebars, notices, adverts,
+From a host's wrapper follow the groups to read. A page is read by those that it has itself: its articles (else its main
+part, else groups named as content, else the body without link lists and constants; a kind without text does not count). Menus, headers outside an article, footers, sidebars, notices, adverts,
 forms, scripts and comments are closed by tag or by name. Pages are read by the wrapper of their host.
 
 Text: references are decoded, white space in a block becomes one space, blocks are joined by a line feed in page
@@ -175,15 +175,15 @@ def closed(label: str, inside: bool) -> bool:
 
 
 def groups_to_read(wrapper: list) -> list[str]:
-    """Paths of labels whose groups hold the main text, and '-' before paths of template text to leave out."""
-    found: dict[str, list[str]] = {"article": [], "main": [], "named": [], "rest": []}
+    """Each kind of group with a label path that may hold the main text, and '-' before paths of template text to leave out."""
+    found: set[str] = set()
 
     def walk(node: list, path: str, inside: bool) -> None:
         for k in node[3]:
             if k[0] == TEXT:
                 fixed = k[2] is not None and k[5] > 2
                 if not inside and (fixed or 2 * k[4] > k[3]):
-                    found["rest"].append(f"-{path}")
+                    found.add(f"-{path}")
                 continue
             if closed(k[0], inside):
                 continue
@@ -191,30 +191,38 @@ def groups_to_read(wrapper: list) -> list[str]:
             kind = "article" if tag == "article" else "main" if tag == "main" or "main" in names else "named" if not CONTENT_NAMES.isdisjoint(names) else None
             below = f"{path}/{k[0]}"
             if kind:
-                found[kind].append(below)
+                found.add(f"{kind} {below}")
             walk(k, below, inside or kind == "article")
 
     walk(wrapper, "", False)
-    for kind in ("article", "main", "named"):
-        if found[kind]:
-            return sorted(set(found[kind]))
-    return ["", *sorted(set(found["rest"]))]
+    return sorted(found)
 
 
 def read_page(page: str, groups: list[str]) -> str:
-    roots, skipped, out = {g for g in groups if not g.startswith("-")}, {g[1:] for g in groups if g.startswith("-")}, []
-
-    def walk(node: list, path: str, reading: bool) -> None:
-        reading = reading or path in roots
-        for k in node[1]:
-            if isinstance(k, tuple):
-                if reading and path not in skipped:
-                    out.append(k[0])
-            elif not closed(k[0], reading and "" not in roots):
-                walk(k, f"{path}/{k[0]}", reading)
-
-    walk(parse(page), "", False)
-    return "\n".join(out)
+    """The text of the page's articles, else of its main part, else of its named groups, else the rest: the first that has any."""
+    tree = parse(page)
+
+    def texts(roots: set[str], skipped: set[str]) -> list[str]:
+        out: list[str] = []
+
+        def walk(node: list, path: str, reading: bool) -> None:
+            reading = reading or path in roots
+            for k in node[1]:
+                if isinstance(k, tuple):
+                    if reading and path not in skipped:
+                        out.append(k[0])
+                elif not closed(k[0], reading and "" not in roots):
+                    walk(k, f"{path}/{k[0]}", reading)
+
+        walk(tree, "", False)
+        return out
+
+    for kind in ("article", "main", "named"):
+        roots = {g.split(" ", 1)[1] for g in groups if g.startswith(f"{kind} ")}
+        found = texts(roots, set()) if roots else []
+        if found:
+            return "\n".join(found)
+    return "\n".join(texts({""}, {g[1:] for g in groups if g.startswith("-")}))
 
 
 def _merged(jsons) -> str | None:

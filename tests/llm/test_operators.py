@@ -149,6 +149,13 @@ def test_wrapper_reads_the_article_only(spark):
     assert html_wrapper.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_wrapper_chooses_the_kind_of_group_per_page(spark):
+    kinds = ["<article><p>{}</p></article>", "<main><p>{}</p></main>", "<div class=content><p>{}</p></div>", "<p>{}</p>", "<article></article><main><p>{}</p></main>"]
+    pages = [(i, host, "<html><body><nav>Menu</nav>" + kinds[i % 5].format(f"text {i}") + "<footer>f</footer></body></html>") for i in range(20) for host in ("http://two.example.org/", None)]
+    got = html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(got) == 40 and all(r.text == f"text {r.page_id}" for r in got)
+
+
 def test_wrapper_is_a_union_free_expression():
     a, b = ("<body><h1>x</h1><p>1</p><p>2</p></body>", "<body><h1>x</h1><div>n</div><p>3</p></body>")
     w = html_wrapper.merge(*[html_wrapper.wrapper_of(html_wrapper.parse(p)) for p in (a, b)])
