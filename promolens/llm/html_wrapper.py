@@ -8,7 +8,8 @@ characters that they held. Pages are folded into wrappers inside each task, wrap
 merged in two rounds, so a host with a third of all pages meets in no single task as more than a few wrappers.
 
 From a host's wrapper follow the groups to read. A page is read by those that it has itself: its articles (else its main
-part, else groups named as content, else the body without link lists and constants; a kind without text does not count). Menus, headers outside an article, footers, sidebars, notices, adverts,
+part, else groups named as content, else the body without link lists and constants; a kind without text does not count). A text is a constant or in a link list by its
+place in the wrapper; a constant is left out if it stands on three pages or more that differ, and only where a page has that very text. Menus, headers outside an article, footers, sidebars, notices, adverts,
 forms, scripts and comments are closed by tag or by name. Pages are read by the wrapper of their host.
 
 Text: references are decoded, white space in a block becomes one space, blocks are joined by a line feed in page
@@ -104,14 +105,34 @@ def parse(page: str) -> list:
     return root
 
 
-# A wrapper node: [label, optional, repeated, children]; a slot: [TEXT, optional, constant or None, characters, link characters, pages].
+# A wrapper node: [label, optional, repeated, children]; a slot: [TEXT, optional, constant or None, characters, link characters, pages],
+# where pages has the digests of up to ENOUGH pages that differ, so neither repeated rows nor repeats in a page count.
+ENOUGH = 3
+
+
 def constant(text: str) -> str:
     """A text as the wrapper keeps it: a long one by its start and digest."""
     return text if len(text) <= 80 else f"{text[:40]} {hashlib.md5(text.encode('utf-8', 'replace')).hexdigest()}"
 
 
-def wrapper_of(node: list) -> list:
-    kids = [[TEXT, 0, constant(c[0]), len(c[0]), c[1], 1] if isinstance(c, tuple) else wrapper_of(c) for c in node[1]]
+def digest(node: list) -> str:
+    """Of the texts outside closed groups, in order: pages of one digest are copies of each other."""
+    md5 = hashlib.md5()
+
+    def walk(node: list) -> None:
+        for k in node[1]:
+            if isinstance(k, tuple):
+                md5.update(k[0].encode("utf-8", "replace") + b"\n")
+            elif not closed(k[0], False):
+                walk(k)
+
+    walk(node)
+    return md5.hexdigest()[:16]
+
+
+def wrapper_of(node: list, page: str | None = None) -> list:
+    page = digest(node) if page is None else page
+    kids = [[TEXT, 0, constant(c[0]), len(c[0]), c[1], [page]] if isinstance(c, tuple) else wrapper_of(c, page) for c in node[1]]
     return [node[0], 0, 0, fold(kids)]
 
 
@@ -132,19 +153,25 @@ def merge(a: list, b: list) -> list:
     """Two nodes of one label in one."""
     optional = a[1] | b[1]
     if a[0] == TEXT:
-        return [TEXT, optional, a[2] if a[2] == b[2] else None, a[3] + b[3], a[4] + b[4], a[5] + b[5]]
+        return [TEXT, optional, a[2] if a[2] == b[2] else None, a[3] + b[3], a[4] + b[4], sorted({*a[5], *b[5]})[:ENOUGH]]
     return [a[0], optional, a[2] | b[2], fold(align(a[3], b[3]))]
 
 
-def align(a: list, b: list) -> list:
-    """Children in a common order: the longest common run of labels matches, the rest is optional."""
-    if [x[0] for x in a] == [x[0] for x in b]:
-        return [merge(x, y) for x, y in zip(a, b)]
+def common_runs(a: list, b: list) -> list[list[int]]:
+    """Length of the longest common run of labels from each place of a and of b."""
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+    return best
+
+
+def align(a: list, b: list) -> list:
+    """Children in a common order: the longest common run of labels matches, the rest is optional."""
+    if [x[0] for x in a] == [x[0] for x in b]:
+        return [merge(x, y) for x, y in zip(a, b)]
+    n, m, best = len(a), len(b), common_runs(a, b)
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i][0] == b[j][0]:
@@ -174,55 +201,95 @@ def closed(label: str, inside: bool) -> bool:
     return not inside and (tag == "header" or not HEADERS.isdisjoint(names))
 
 
+def template_texts(node: list) -> list:
+    """The wrapper less what a page is never compared with: [label, children], a slot as [TEXT, constant or None, link list or not]."""
+    kids = []
+    for k in node[3]:
+        if k[0] == TEXT:
+            kids.append([TEXT, k[2] if len(k[5]) >= ENOUGH else None, 2 * k[4] > k[3]])
+        else:
+            kids.append([k[0], []] if closed(k[0], False) or k[0].split(".")[0] == "article" else template_texts(k))
+    some = any(k[1] is not None or k[2] if k[0] == TEXT else k[1] for k in kids)
+    return [node[0], kids if some else []]
+
+
 def groups_to_read(wrapper: list) -> list[str]:
-    """Each kind of group with a label path that may hold the main text, and '-' before paths of template text to leave out."""
+    """Each kind of group with a label path that may hold the main text, and '-' before the template as JSON, for its texts to leave out."""
     found: set[str] = set()
 
-    def walk(node: list, path: str, inside: bool) -> None:
+    def walk(node: list, path: str) -> None:
         for k in node[3]:
-            if k[0] == TEXT:
-                fixed = k[2] is not None and k[5] > 2
-                if not inside and (fixed or 2 * k[4] > k[3]):
-                    found.add(f"-{path}")
-                continue
-            if closed(k[0], inside):
+            if k[0] == TEXT or closed(k[0], False):
                 continue
             tag, *names = k[0].split(".")
             kind = "article" if tag == "article" else "main" if tag == "main" or "main" in names else "named" if not CONTENT_NAMES.isdisjoint(names) else None
             below = f"{path}/{k[0]}"
             if kind:
                 found.add(f"{kind} {below}")
-            walk(k, below, inside or kind == "article")
+            walk(k, below)
 
-    walk(wrapper, "", False)
-    return sorted(found)
+    walk(wrapper, "")
+    template = template_texts(wrapper)
+    return sorted(found) + ([f"-{json.dumps(template, ensure_ascii=False)}"] if template[1] else [])
+
+
+def at_place(kids: list, places: list) -> list:
+    """For each child of a page's node its place in the template, None where it has none."""
+    runs: list = []
+    for c in kids:
+        label = TEXT if isinstance(c, tuple) else c[0]
+        if runs and runs[-1][0] == label:
+            runs[-1][1] += 1
+        else:
+            runs.append([label, 1])
+    found: list = [None] * len(runs)
+    if [r[0] for r in runs] == [p[0] for p in places]:
+        found = places
+    elif places:
+        best, i, j = common_runs(runs, places), 0, 0
+        while i < len(runs) and j < len(places):
+            if runs[i][0] == places[j][0]:
+                found[i] = places[j]
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+    return [p for p, (_, n) in zip(found, runs) for _ in range(n)]
 
 
 def read_page(page: str, groups: list[str]) -> str:
     """The text of the page's articles, else of its main part, else of its named groups, else the rest: the first that has any."""
     tree = parse(page)
-
-    def texts(roots: set[str], skipped: set[str]) -> list[str]:
-        out: list[str] = []
-
-        def walk(node: list, path: str, reading: bool) -> None:
-            reading = reading or path in roots
-            for k in node[1]:
-                if isinstance(k, tuple):
-                    if reading and path not in skipped:
-                        out.append(k[0])
-                elif not closed(k[0], reading and "" not in roots):
-                    walk(k, f"{path}/{k[0]}", reading)
-
-        walk(tree, "", False)
-        return out
+    out: list[str] = []
+
+    def walk(node: list, path: str, reading: bool, roots: set[str]) -> None:
+        reading = reading or path in roots
+        for k in node[1]:
+            if isinstance(k, tuple):
+                if reading:
+                    out.append(k[0])
+            elif not closed(k[0], reading):
+                walk(k, f"{path}/{k[0]}", reading, roots)
+
+    def walk_rest(node: list, places: list) -> None:
+        for k, place in zip(node[1], at_place(node[1], places)):
+            if isinstance(k, tuple):
+                fixed = place is not None and place[1] == constant(k[0])
+                links = place is not None and place[2] and 2 * k[1] > len(k[0])
+                if not fixed and not links:
+                    out.append(k[0])
+            elif not closed(k[0], False):
+                walk_rest(k, place[1] if place else [])
 
     for kind in ("article", "main", "named"):
         roots = {g.split(" ", 1)[1] for g in groups if g.startswith(f"{kind} ")}
-        found = texts(roots, set()) if roots else []
-        if found:
-            return "\n".join(found)
-    return "\n".join(texts({""}, {g[1:] for g in groups if g.startswith("-")}))
+        if roots:
+            walk(tree, "", False, roots)
+        if out:
+            return "\n".join(out)
+    walk_rest(tree, next((json.loads(g[1:])[1] for g in groups if g.startswith("-")), []))
+    return "\n".join(out)
 
 
 def _merged(jsons) -> str | None:

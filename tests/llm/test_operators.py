@@ -156,6 +156,18 @@ def test_wrapper_chooses_the_kind_of_group_per_page(spark):
     assert len(got) == 40 and all(r.text == f"text {r.page_id}" for r in got)
 
 
+def test_wrapper_leaves_out_template_texts_by_their_place(spark):
+    bodies = {"hr": ["<p>Welcome</p><hr>" + "".join(f"<p>text {i} {k}</p>" for k in range(1 + i % 3)) + "<p><a href=x>Go</a> <a href=y>on</a></p>" for i in range(6)],
+              "copies": ["<h1>Title</h1><p>Body</p>"] * 4, "repeats": ["<p>same</p><p>same</p><p>same</p>"],
+              "links": [f"<p><a href=x>Link {i}</a></p><h2>Head {i}</h2><p>text {i}</p>" for i in range(4)]}
+    pages = [(i, f"http://{h}.org/{i}", f"<html><body>{b}</body></html>") for h, bs in bodies.items() for i, b in enumerate(bs)]
+    got = {r.url[7:]: r.text for r in html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[f"hr.org/{i}"].startswith("\n".join(f"text {i} {k}" for k in range(1 + i % 3))) and "Welcome" not in got[f"hr.org/{i}"]
+    assert all(got[f"copies.org/{i}"] == "Title\nBody" for i in range(4)) and got["repeats.org/0"] == "same\nsame\nsame"
+    assert all(got[f"links.org/{i}"] == f"Head {i}\ntext {i}" for i in range(4))
+
+
 def test_wrapper_is_a_union_free_expression():
     a, b = ("<body><h1>x</h1><p>1</p><p>2</p></body>", "<body><h1>x</h1><div>n</div><p>3</p></body>")
     w = html_wrapper.merge(*[html_wrapper.wrapper_of(html_wrapper.parse(p)) for p in (a, b)])
