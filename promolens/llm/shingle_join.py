@@ -7,7 +7,7 @@
    chance s. Nodes of one set end. Nodes of at most ``leaf`` sets are compared by brute force, larger
    ones split again; a child that keeps more than half of its node is a core of near copies and is compared
    too, in tiles. The number of roots follows from the target recall.
-3. Brute force compares sketches (threshold less four deviations) and reports each set with the smallest one it is
+3. Brute force compares sketches (fewer equal min-hashes than asked for have a hundredth of the loss allowed) and reports each set with the smallest one it is
    connected to, never pairs. Connected components of these stars are the groups to verify.
 4. Each group is verified once on the true shingle sets: common shingles of all its sets are counted by blocks and
    each set reports how many documents it links to and its class. So a link is counted once however often
@@ -123,12 +123,38 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), "<u4").reshape(-1, WIDTH)
 
 
+def _equal_chances(similarity: float) -> list[float]:
+    """Chance of each number of equal min-hashes in the sketches of a pair."""
+    return [math.comb(WIDTH, c) * similarity**c * (1 - similarity) ** (WIDTH - c) for c in range(WIDTH + 1)]
+
+
+def least_equal(similarity: float, recall: float) -> int:
+    """Equal min-hashes below which a pair is not verified: fewer have a hundredth of 1 - recall at the threshold at most."""
+    chances = _equal_chances(similarity)
+    return max(c for c in range(WIDTH + 1) if sum(chances[:c]) <= (1 - recall) / 100)
+
+
+def pair_loss(similarity: float, recall: float, runs: int) -> float:
+    """Chance that a pair at the threshold is lost: its sketches differ too much, or it meets under none of the roots.
+
+    A node loses it if all its coordinates differ or its children lose it; all roots use one sketch, so this follows from its equal min-hashes.
+    """
+    chances, least = _equal_chances(similarity), least_equal(similarity, recall)
+    total = sum(chances[:least])
+    for c in range(least, WIDTH + 1):
+        lost = 0.0
+        for _ in range(DEPTH):
+            lost = (1 - c / WIDTH + c / WIDTH * lost) ** FAN
+        total += chances[c] * lost**runs
+    return total
+
+
 def runs_needed(similarity: float, recall: float) -> int:
-    """Roots for the recall of a pair at the threshold, lost at a node if all its coordinates differ or its children lose it."""
-    lost = 0.0
-    for _ in range(DEPTH):
-        lost = (1 - similarity + similarity * lost) ** FAN
-    return max(1, math.ceil(math.log(1 - recall) / math.log(lost)))
+    """Roots for the recall of a pair at the threshold."""
+    runs = 1
+    while pair_loss(similarity, recall, runs) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def groups_of(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -172,8 +198,8 @@ def _tiled(rows: DataFrame, group: str, size: str, limit: int) -> DataFrame:
     return rows.select("*", (low * F.col("tiles") + high).alias("tile"), side.alias("side")).drop("tiles", "own", "other")
 
 
-def _leaf_stars(threshold: float) -> Callable:
-    least = math.ceil(WIDTH * (threshold - 4 * math.sqrt(threshold * (1 - threshold) / WIDTH)))
+def _leaf_stars(threshold: float, recall: float) -> Callable:
+    least = least_equal(threshold, recall)
 
     def stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out_a, out_b = [], []
@@ -233,7 +259,7 @@ def chosen_paths(reps: DataFrame, threshold: float, recall: float, leaf: int, wo
     # Tiles are dealt before the sketches are fetched, and whole nodes meet by path and tile.
     dealt = _tiled(leaves.select("rep", "path", "size"), "path", "size", leaf).join(sketches, "rep")
     dealt = dealt.select("path", "tile", "side", "rep", "sketch").repartition("path", "tile").sortWithinPartitions("path", "tile", "rep")
-    return work.keep(dealt.mapInPandas(_leaf_stars(threshold), "a long, b long").distinct(), "stars")
+    return work.keep(dealt.mapInPandas(_leaf_stars(threshold, recall), "a long, b long").distinct(), "stars")
 
 
 def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:

@@ -99,6 +99,21 @@ def test_join_in_tiles_and_deep_paths_finds_the_same(spark):
     same_as_sql(shingle_join.join(rows, leaf=8, tile=16), shingle_join.SQL, documents=rows)
 
 
+def test_join_loses_no_more_than_it_says():
+    r = np.random.default_rng(4)
+    a = r.integers(0, 2**32, 64, dtype=np.uint32)
+    b = a.copy()
+    b[:29] += np.uint32(1)  # 35 of 64 equal: one pair of 240,000 at the threshold
+    rows = pd.DataFrame({"path": 1, "tile": 0, "side": 2, "rep": [3, 8], "sketch": [a.tobytes(), b.tobytes()]})
+    stars = pd.concat(shingle_join._leaf_stars(0.8, 0.99999)(iter([rows])))
+    assert stars.values.tolist() == [[8, 3]]
+    for threshold, recall in ((0.8, 0.99999), (0.5, 0.999), (0.9, 0.999999)):
+        least, runs = shingle_join.least_equal(threshold, recall), shingle_join.runs_needed(threshold, recall)
+        equal = r.binomial(64, threshold, 2_000_000)
+        assert (equal < least).mean() < (1 - recall) / 10
+        assert shingle_join.pair_loss(threshold, recall, runs) <= 1 - recall < shingle_join.pair_loss(threshold, recall, runs - 1)
+
+
 def test_one_of_each_keeps_one_row_of_a_class(docs):
     left = shingle_join.one_of_each(docs)
     assert left.columns == docs.columns
