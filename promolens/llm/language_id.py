@@ -8,8 +8,8 @@ A text gets the language of the lowest cross-entropy per character. The score is
 cross-entropies times the text's length, its temperature fitted on ``calibration`` documents by hash; a text whose
 cross-entropy lies above all but ``tail`` of those documents of its language is marked rejected.
 
-The model's size is bounded by ``max_grams`` (most frequent ones, shared evenly by the languages), so it is
-collected and shipped once; at usual alphabets all four-grams fit.
+All four-grams stay in the model. Up to ``max_grams`` of them it is collected and shipped once; a larger one gives the same
+log-probabilities from blocks of at most about ``max_grams`` entries, made by Spark and read one at a time.
 
 Nulls: a null text, or one without letters, is ``und`` with score 0. Rows with a null text, lang or doc_id are not learnt
 from; a null doc_id is not held out. With nothing to learn from all is ``und``. Repeated rows count each.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from promolens.session import Workspace
 
 CHUNK = 1 << 20  # characters worked on at a time; a text is never split
+SPREAD = 65521  # a prime, so that all characters of a key have a part in its block
 EDGE = np.uint16(32)
 OUT = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
 _LETTER: list[np.ndarray] = []
@@ -154,14 +155,19 @@ class Models:
         self.logs = np.stack([m.log_probability(self.keys) for m in self.models], axis=1).astype(np.float32) if self.langs else None
         self.heat, self.limits = 1.0, np.full(len(self.langs), np.inf)
 
-    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per character (texts x languages) and the number of characters."""
-        grams, n = grams_of(texts)
-        code, kinds = pd.factorize(grams)
+    def log_probabilities(self, kinds: np.ndarray) -> np.ndarray:
+        """Four-grams x languages."""
         at = np.minimum(np.searchsorted(self.keys, kinds), len(self.keys) - 1)
         logs, new = self.logs[at], self.keys[at] != kinds
         if new.any():
             logs[new] = np.stack([m.log_probability(kinds[new]) for m in self.models], axis=1)
+        return logs
+
+    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Cross-entropy per character (texts x languages) and the number of characters."""
+        grams, n = grams_of(texts)
+        code, kinds = pd.factorize(grams)
+        logs = self.log_probabilities(kinds)
         ends = np.cumsum(n)
         out = np.zeros((len(texts), len(self.langs)))
         some = n > 0
@@ -185,12 +191,95 @@ class Models:
                 self.limits[k] = np.quantile(h[truth == k, k], 1 - tail)
 
 
+def _block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
+    return keys.view(np.int64) % SPREAD % blocks
+
+
+def _opened(block):
+    """A shipped block; its copy in this process goes with the caller's."""
+    value = block.value
+    if getattr(block, "_path", None) is not None:
+        block.__dict__.pop("_value", None)
+    return value
+
+
+class BlockModels(Models):
+    """The same models in blocks by key, for more four-grams than one process holds.
+
+    Orders 1 to 4 have a table of grams (count less discount) and one of contexts (total, spare mass); a block has sorted keys and values per language.
+    """
+
+    def __init__(self, counts: DataFrame, langs: list[str], most: int, work: Workspace):
+        self.langs, self.most = langs, most
+        self.heat, self.limits = 1.0, np.full(len(langs), np.inf)
+        number = F.create_map(*[x for k, lang in enumerate(langs) for x in (F.lit(lang), F.lit(k))])
+        level, self.tables = work.keep(counts.select(number[F.col("lang")].alias("k"), F.col("gram").alias("key"), "n"), "level4"), {}
+        for order in (4, 3, 2, 1):
+            few = {r["k"]: (r["once"], r["twice"]) for r in level.groupBy("k").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).collect()}
+            discounts = [once / (once + 2 * twice) if once and twice else 0.5 for once, twice in (few[k] for k in range(len(langs)))]
+            discount = F.create_map(*[x for k, d in enumerate(discounts) for x in (F.lit(k), F.lit(d))])[F.col("k")]
+            context = level.groupBy("k", F.shiftrightunsigned("key", 16).alias("key")).agg(F.sum("n").cast("double").alias("a"), (discount * F.count("*")).alias("b"))
+            own = level.select("k", "key", F.greatest(F.col("n") - discount, F.lit(0.0)).alias("a"))
+            self.tables[order] = self._blocks(own, ["a"], work, f"own{order}"), self._blocks(context, ["a", "b"], work, f"context{order}")
+            if order > 1:
+                low = F.col("key").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))
+                level = work.keep(level.groupBy("k", low.alias("key")).agg(F.count("*").alias("n")), f"level{order - 1}")
+        self.alphabet = level.select("key").distinct().count() + 1
+
+    def _blocks(self, table: DataFrame, values: list[str], work: Workspace, name: str) -> list:
+        context, table = table.sparkSession.sparkContext, work.keep(table, f"{name}_rows")
+        blocks = max(1, -(-table.count() // self.most))
+        place = F.pmod(F.pmod("key", F.lit(SPREAD)), F.lit(blocks)).cast("int")
+        if blocks > 1:
+            table = work.keep(table.select("*", place.alias("block")).repartition("block").sortWithinPartitions("block"), f"{name}_blocks")
+        out = []
+        for b in range(blocks):
+            pdf = (table.where(F.col("block") == b) if blocks > 1 else table).select("k", "key", *values).toPandas()
+            parts = {}
+            for k, part in pdf.groupby("k"):
+                keys = part["key"].to_numpy().view(np.uint64)
+                order = np.argsort(keys)
+                parts[int(k)] = (keys[order], *[part[v].to_numpy(np.float64)[order] for v in values])
+            out.append(context.broadcast(parts))
+        return out
+
+    def _values(self, blocks: list, wanted: np.ndarray, n: int) -> list[np.ndarray]:
+        out = [np.zeros((len(wanted), len(self.langs))) for _ in range(n)]
+        place = _block_of(wanted, len(blocks))
+        for b, block in enumerate(blocks):
+            mine = np.flatnonzero(place == b)
+            if len(mine):
+                for k, (keys, *values) in _opened(block).items():
+                    for o, v in zip(out, values):
+                        o[mine, k] = _look(keys, v, wanted[mine])
+        return out
+
+    def log_probabilities(self, kinds: np.ndarray) -> np.ndarray:
+        step = max(1, 4 * CHUNK // len(self.langs))
+        if len(kinds) > step:
+            return np.concatenate([self.log_probabilities(kinds[i : i + step]) for i in range(0, len(kinds), step)])
+        p = np.full((len(kinds), len(self.langs)), 1.0 / self.alphabet)
+        for order in (1, 2, 3, 4):
+            g = kinds & np.uint64((1 << 16 * order) - 1)
+            (mass,), (seen, spare) = self._values(self.tables[order][0], g, 1), self._values(self.tables[order][1], g >> np.uint64(16), 2)
+            p = np.where(seen > 0, (mass + spare * p) / np.maximum(seen, 1), p)
+        return np.log(p).astype(np.float32)
+
+    @property
+    def value(self) -> BlockModels:
+        return self  # its blocks are shipped already
+
+
+def shipped_form(spark, models: Models):
+    return models if isinstance(models, BlockModels) else spark.sparkContext.broadcast(models)
+
+
 def held_out(fold: int = 2, folds: int = 4) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
 
 
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` rows of each language, the frequent ones; a hash decides between equal counts.
+    """At most ``most`` rows of each language, the frequent ones; a hash decides between equal counts. No model uses it, its test does.
 
     Rows are binned by count and hash, and the bins give the place of the cut, so no language is sorted in one task.
     """
@@ -203,14 +292,16 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
 
 def train(rows: DataFrame, max_grams: int, calibration: int, tail: float) -> Models:
     """Models from all rows of (doc_id, lang, text)."""
-    counts = Workspace(rows.sparkSession).keep(count_grams(rows.select("lang", "text")), "grams")
+    work = Workspace(rows.sparkSession)
+    counts = work.keep(count_grams(rows.select("lang", "text")), "grams")
     sizes = counts.groupBy("lang").count().collect()
     if sum(r["count"] for r in sizes) > max_grams:
-        counts = most_frequent(counts, max_grams // len(sizes))
-    models = Models(counts.toPandas())
+        models = BlockModels(counts, sorted(r["lang"] for r in sizes), max_grams, work)
+    else:
+        models = Models(counts.toPandas())
     if not models.langs:
         return models
-    shipped = rows.sparkSession.sparkContext.broadcast(models)
+    shipped = shipped_form(rows.sparkSession, models)
 
     def entropies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -229,7 +320,7 @@ def identify(docs: DataFrame, max_grams: int = 2_000_000, calibration: int = 500
     """Per document: doc_id, held_out, lang_pred, score, cross_entropy, rejected."""
     spark = docs.sparkSession
     learn = docs.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").where(~held_out()).select("doc_id", "lang", "text")
-    shipped = spark.sparkContext.broadcast(train(learn, max_grams, calibration, tail))
+    shipped = shipped_form(spark, train(learn, max_grams, calibration, tail))
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         models = shipped.value

@@ -357,6 +357,12 @@ def test_most_frequent_grams_are_kept(spark):
     assert (kept.groupby("lang").size() <= 500).all() and (kept.groupby("lang").size() > 450).all() and (kept.n == 9).sum() == 100
 
 
+def test_all_grams_stay_in_a_model_of_blocks(spark):
+    docs = at_sf(spark, "documents")
+    whole, blocks = (language_id.identify(docs, max_grams=n).toPandas().sort_values("doc_id", ignore_index=True) for n in (2_000_000, 4_000))
+    pd.testing.assert_frame_equal(whole, blocks, rtol=1e-5, atol=1e-7)
+
+
 def test_kneser_ney_sums_to_one():
     grams, _ = language_id.grams_of(["the theme then there hath the other"] * 2 + ["that heat"])
     kinds, n = np.unique(grams, return_counts=True)
