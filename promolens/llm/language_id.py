@@ -18,7 +18,7 @@ Empty tables give no rows. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,24 +31,43 @@ CHUNK = 1 << 20  # characters worked on at a time; a text is never split
 SPREAD = 65521  # a prime, so that all characters of a key have a part in its block
 EDGE = np.uint16(32)
 OUT = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
-_LETTER: list[np.ndarray] = []
+_SYMBOLS: list[np.ndarray] = []
 
 
-def _letters() -> np.ndarray:
-    if not _LETTER:
-        _LETTER.append(np.array([chr(i).isalpha() for i in range(1 << 16)]))
-    return _LETTER[0]
+def _symbols() -> np.ndarray:
+    """16 bits for each code point: no letter is EDGE, a letter above U+FFFF has a place that no letter of the basic plane has.
+
+    Letters of neighbouring code points keep places of their own, so a script of some thousand letters has no two alike.
+    """
+    if not _SYMBOLS:
+        letter = np.array([chr(i).isalpha() for i in range(0x110000)])
+        free = np.flatnonzero(~letter[: 1 << 16])
+        free, wide = free[free > EDGE], np.flatnonzero(letter)
+        wide = wide[wide >= 1 << 16]
+        table = np.full(len(letter), EDGE)
+        table[: 1 << 16][letter[: 1 << 16]] = np.flatnonzero(letter[: 1 << 16])
+        table[wide] = free[wide % len(free)]
+        _SYMBOLS.append(table)
+    return _SYMBOLS[0]
+
+
+def letter_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Four-gram hashes of the texts in order, and the number of them in each text (0 without letters)."""
+    return _grams(texts, lambda codes: _symbols()[codes])
 
 
 def grams_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Four-gram hashes of the texts in order, and the number of them in each text (0 without letters)."""
+    """The same with all code points above U+FFFF as one letter. No model uses it, its test does."""
+    return _grams(texts, lambda codes: np.where((codes > 0xFFFF) | (_symbols()[codes] != EDGE), np.minimum(codes, 0xFFFF).astype(np.uint16), EDGE))
+
+
+def _grams(texts: list[str], symbols: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     codes = np.frombuffer("\0".join(["", *texts, ""]).lower().encode("utf-32-le", "replace"), "<u4")
     stops = np.flatnonzero(codes == 0)
     if len(stops) != len(texts) + 1:  # a text holds the separator itself
-        return grams_of([t.replace("\0", " ") for t in texts])
-    low = np.minimum(codes, 0xFFFF).astype(np.uint16)  # beyond the basic plane all letters are one
-    keep = _letters()[low] | (codes > 0xFFFF)
-    low = np.where(keep, low, EDGE)
+        return _grams([t.replace("\0", " ") for t in texts], symbols)
+    low = symbols(codes)
+    keep = low != EDGE
     at = np.ones(len(low), bool)
     at[1:] = keep[1:] | keep[:-1]  # one boundary for each run
     at[stops] = False
@@ -84,7 +103,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             for lang, part in pdf.groupby("lang"):
                 texts = part["text"].tolist()
                 for s in chunks(texts):
-                    code, gram = pd.factorize(grams_of(texts[s])[0])
+                    code, gram = pd.factorize(letter_grams(texts[s])[0])
                     n = np.bincount(code, minlength=len(gram)).astype(np.int64)
                     if lang in held:
                         gram, n = np.concatenate([held[lang][0], gram]), np.concatenate([held[lang][1], n])
@@ -165,7 +184,7 @@ class Models:
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per character (texts x languages) and the number of characters."""
-        grams, n = grams_of(texts)
+        grams, n = letter_grams(texts)
         code, kinds = pd.factorize(grams)
         logs = self.log_probabilities(kinds)
         ends = np.cumsum(n)

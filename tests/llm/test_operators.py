@@ -363,6 +363,18 @@ def test_all_grams_stay_in_a_model_of_blocks(spark):
     pd.testing.assert_frame_equal(whole, blocks, rtol=1e-5, atol=1e-7)
 
 
+def test_emoji_are_no_letters_and_wide_letters_differ(spark):
+    grams = lambda t: language_id.letter_grams([t])[0].tolist()
+    assert grams("😀 🎉") == [] and grams("ab 😀 c") == grams("ab c") and grams("é中") == language_id.grams_of(["é中"])[0].tolist()
+    wide = [chr(c) for c in range(0x10300, 0x10450) if chr(c).isalpha() and chr(c).lower() == chr(c)]
+    assert len(wide) > 100 and len({grams(c)[0] for c in wide}) == len(wide)
+    r = random.Random(3)
+    word = lambda first: "".join(chr(first + r.randrange(20)) for _ in range(40))
+    rows = [(i, word(0x10330 if i % 2 else 0x10428), "gothic" if i % 2 else "deseret") for i in range(60)] + [(100, "😀😀 🎉", "gothic")]
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).toPandas().set_index("doc_id")
+    assert (got.loc[100, "lang_pred"], got.loc[100, "score"]) == ("und", 0) and all(got.loc[i, "lang_pred"] == lang for i, _, lang in rows[:60])
+
+
 def test_kneser_ney_sums_to_one():
     grams, _ = language_id.grams_of(["the theme then there hath the other"] * 2 + ["that heat"])
     kinds, n = np.unique(grams, return_counts=True)
