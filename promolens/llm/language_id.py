@@ -5,8 +5,8 @@ Texts are lower-cased; every run of other characters than letters is one boundar
 merges its own counts, Spark sums them. The model is one sorted array of hashes with the log-probability of
 each four-gram under each language beside it; four-grams not in it back off to sorted arrays of shorter ones.
 A text gets the language of the lowest cross-entropy per character. The score is the softmax of the
-cross-entropies times the text's length, its temperature fitted on ``calibration`` documents by hash; a text whose
-cross-entropy lies above all but ``tail`` of those documents of its language is marked rejected.
+cross-entropies times the text's length, its temperature fitted on all documents to learn from; a text whose
+cross-entropy lies above all but ``tail`` of those of its language, to a bin of 1/1024, is marked rejected.
 
 All four-grams stay in the model. Up to ``max_grams`` of them it is collected and shipped once; a larger one gives the same
 log-probabilities from blocks of at most about ``max_grams`` entries, made by Spark and read one at a time.
@@ -18,6 +18,7 @@ Empty tables give no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ from promolens.session import Workspace
 CHUNK = 1 << 20  # characters worked on at a time; a text is never split
 SPREAD = 65521  # a prime, so that all characters of a key have a part in its block
 EDGE = np.uint16(32)
+HEATS, BINS = 12, 1024  # temperatures 1, 2, 4 and so on; bins in a unit of cross-entropy
 OUT = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
 _SYMBOLS: list[np.ndarray] = []
 
@@ -200,14 +202,14 @@ class Models:
         e = np.exp(-np.minimum(gap, 700))
         return e / e.sum(axis=1, keepdims=True)
 
-    def calibrate(self, h: np.ndarray, n: np.ndarray, truth: np.ndarray, tail: float) -> None:
-        """Temperature of the best likelihood, and each language's limit of cross-entropy."""
-        heats = 2.0 ** np.arange(0, 12)
-        own = [np.log(np.maximum(self.scores(h, n, t)[np.arange(len(truth)), truth], 1e-12)).sum() for t in heats]
-        self.heat = float(heats[int(np.argmax(own))])
-        for k in range(len(self.langs)):
-            if (truth == k).any():
-                self.limits[k] = np.quantile(h[truth == k, k], 1 - tail)
+    def evidence(self, h: np.ndarray, n: np.ndarray, truth: np.ndarray) -> Counter:
+        """Sums that add up over texts: (-1, heat) the log-likelihood of the true languages, (language, bin) the number of cross-entropies."""
+        rows = np.arange(len(truth))
+        found = Counter({(-1, t): float(np.log(np.maximum(self.scores(h, n, 2.0**t)[rows, truth], 1e-12)).sum()) for t in range(HEATS)})
+        places, counts = np.unique(np.stack([truth, np.floor(h[rows, truth] * BINS).astype(np.int64)]), axis=1, return_counts=True)
+        for (k, at), c in zip(places.T.tolist(), counts.tolist()):
+            found[k, at] += c
+        return found
 
 
 def _block_of(keys: np.ndarray, blocks: int) -> np.ndarray:
@@ -309,7 +311,7 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return rows.join(cuts, "lang").where("bin >= cut").select("lang", "gram", "n")
 
 
-def train(rows: DataFrame, max_grams: int, calibration: int, tail: float) -> Models:
+def train(rows: DataFrame, max_grams: int, tail: float) -> Models:
     """Models from all rows of (doc_id, lang, text)."""
     work = Workspace(rows.sparkSession)
     counts = work.keep(count_grams(rows.select("lang", "text")), "grams")
@@ -322,24 +324,34 @@ def train(rows: DataFrame, max_grams: int, calibration: int, tail: float) -> Mod
         return models
     shipped = shipped_form(rows.sparkSession, models)
 
-    def entropies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, total = {lang: k for k, lang in enumerate(shipped.value.langs)}, Counter()
         for pdf in batches:
-            texts = pdf["text"].tolist()
+            texts, truth = pdf["text"].tolist(), pdf["lang"].map(number).to_numpy(np.int64)
             for s in chunks(texts):
                 h, n = shipped.value.entropies(texts[s])
-                yield pd.DataFrame({"lang": pdf["lang"].iloc[s].to_numpy(), "h": list(h), "n": n})
-
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration).mapInPandas(entropies, "lang string, h array<double>, n long").where("n > 0").toPandas()
-    if len(sample):
-        models.calibrate(np.stack(sample["h"]), sample["n"].to_numpy(), np.array([models.langs.index(x) for x in sample["lang"]]), tail)
+                some = n > 0
+                total.update(shipped.value.evidence(h[some], n[some], truth[s][some]))
+        if total:
+            yield pd.DataFrame([(k, at, v) for (k, at), v in total.items()], columns=["k", "at", "v"])
+
+    sums = work.keep(rows.select("lang", "text").mapInPandas(evidence, "k int, at long, v double").groupBy("k", "at").agg(F.sum("v").alias("v")), "evidence")
+    heats = {r["at"]: r["v"] for r in sums.where("k < 0").collect()}
+    if heats:
+        models.heat = 2.0 ** max(sorted(heats), key=heats.get)
+    # The bins of a language are bounded by its range of cross-entropies, so they are summed in order in one place.
+    upto, whole = F.sum("v").over(Window.partitionBy("k").orderBy("at")), F.sum("v").over(Window.partitionBy("k"))
+    bins = sums.where("k >= 0").select("k", "at", upto.alias("upto"), whole.alias("whole"))
+    for r in bins.where(F.col("upto") >= F.lit(1 - tail) * F.col("whole")).groupBy("k").agg(F.min("at").alias("at")).collect():
+        models.limits[r["k"]] = (r["at"] + 1) / BINS
     return models
 
 
-def identify(docs: DataFrame, max_grams: int = 2_000_000, calibration: int = 500, tail: float = 0.01) -> DataFrame:
+def identify(docs: DataFrame, max_grams: int = 2_000_000, tail: float = 0.01) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, cross_entropy, rejected."""
     spark = docs.sparkSession
     learn = docs.where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").where(~held_out()).select("doc_id", "lang", "text")
-    shipped = shipped_form(spark, train(learn, max_grams, calibration, tail))
+    shipped = shipped_form(spark, train(learn, max_grams, tail))
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         models = shipped.value

@@ -375,6 +375,21 @@ def test_emoji_are_no_letters_and_wide_letters_differ(spark):
     assert (got.loc[100, "lang_pred"], got.loc[100, "score"]) == ("und", 0) and all(got.loc[i, "lang_pred"] == lang for i, _, lang in rows[:60])
 
 
+def test_every_language_has_a_limit_from_all_its_texts(spark):
+    r = random.Random(8)
+    text = lambda letters, n: " ".join("".join(r.choice(letters) for _ in range(5)) for _ in range(n))
+    rows = [(i, text("abcdefgh", 6), "many") for i in range(4000)] + [(10_000 + i, text("pqrst", 6), "few") for i in range(12)]
+    odd = [(20_000, "rqqqqqqqqtttttttttsqqqqqqqtpppp", "few")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    got = language_id.identify(docs).toPandas().merge(docs.toPandas(), on="doc_id")
+    learnt = got[~got.held_out & (got.lang == "many")]
+    assert (learnt.lang_pred == "many").all() and 0.008 < learnt.rejected.mean() <= 0.01
+    models = language_id.train(docs.where("doc_id <> 20000").select("doc_id", "lang", "text"), 2_000_000, 0.01)
+    h, n = models.entropies([t for i, t, lang in rows if lang == "few"])
+    few = models.langs.index("few")
+    assert np.isfinite(models.limits).all() and h[:, few].max() <= models.limits[few] <= h[:, few].max() + 1 / language_id.BINS
+
+
 def test_kneser_ney_sums_to_one():
     grams, _ = language_id.grams_of(["the theme then there hath the other"] * 2 + ["that heat"])
     kinds, n = np.unique(grams, return_counts=True)
