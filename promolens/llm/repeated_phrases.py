@@ -1,15 +1,15 @@
 """Substring dedup with repeated-phrase automata: words of a passage that an earlier document has already are removed.
 
 A window is ``width`` consecutive words; a word goes if a window over it also starts in a document with a smaller ``doc_id``.
-The texts are dealt once into blocks. First, recurring windows are confirmed: every block sends the 80-bit keys of its different
+The texts are dealt once into blocks, kept as compressed rows. First, recurring windows are confirmed: every block sends the 80-bit keys of its different
 windows, each with the smallest document that holds it, to the bucket of the key, and learns by one bit for each whether an
 earlier document elsewhere holds it. Then every block compiles its confirmed phrases into Aho-Corasick automata (a shard holds at most
 ``shard`` phrases) and streams all its documents through them; each occurrence covers words of the documents after the owner.
 Windows of a passage overlap, so a passage enters an automaton by its first and last window and one of every ``width`` between, chosen
 by their keys alone; any two neighbours of these touch.
 
-Scale: one scan, one write of the texts and one shuffle of them by block; the keys (12 bytes a window) are shuffled once,
-the answers are bits. A passage that a third of all documents share is one key in each block. A block holds about
+Scale: one scan and one write of the texts, which are never shuffled; the keys (10 to 12 bytes a window) are shuffled once.
+The answers are bits, kept in the shared folder by the part of the table they belong to and read by the task that reads this part. A passage that a third of all documents share is one key in each block. A block holds about
 ``block`` bytes (or one longer text), a bucket about ``bucket`` windows; both are worked on whole in one task. The number of buckets follows from the
 words counted; with more buckets than windows in a block, raise both. Nothing is collected or broadcast.
 
@@ -20,6 +20,7 @@ remove each other's words. Texts of fewer than ``width`` words stay. An empty ta
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import compress
@@ -28,7 +29,9 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import xxhash
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,11 +39,12 @@ from pyspark.sql import functions as F
 from promolens.session import Workspace
 
 GAP = r"[\x20\x09-\x0D]+"
-BLOCK, BUCKET, SHARD = 2 << 20, 2_000_000, 50_000
+BLOCK, BUCKET, SHARD = 4 << 20, 3_000_000, 50_000
 BASE = 64
-TEXTS = "block long, at int, doc_id long, n_words long, words string"
-KEYS = "bucket int, block long, first int, rows int, keys binary, tags binary, docs array<long>, owners binary"
-ANSWERS = "block long, first int, rows int, bucket int, mask binary"
+TEXTS = "block long, n_words long, packed binary"
+ROWS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("words", pa.string())])
+KEYS = "bucket int, block long, keys binary, tags binary, docs array<long>, owners binary"
+ANSWERS = "block long, bucket int, mask binary"
 CLEAN = "doc_id long, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string"
 
 
@@ -51,23 +55,35 @@ def _schema(fields: str) -> pa.Schema:
     return pa.schema([(n, types[t.replace(";", ",")]) for n, t in split])
 
 
+def _packed(block: int, rows: pa.Table) -> pa.RecordBatch:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, ROWS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows.combine_chunks())
+    return pa.RecordBatch.from_pydict({"block": [block], "n_words": [pc.sum(rows["n_words"]).as_py()], "packed": [sink.getvalue().to_pybytes()]}, schema=_schema(TEXTS))
+
+
+def _unpacked(packed: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(packed.as_buffer()).read_all().combine_chunks()
+
+
 def blocked(docs: DataFrame, block: int) -> DataFrame:
-    """The documents' words, one space between two, in blocks of about ``block`` bytes with their place there."""
-    schema = _schema(TEXTS)
+    """The documents' words, one space between two, packed into blocks of about ``block`` bytes; one row for each block."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, at = TaskContext.get().partitionId() << 32, 0, 0
+        number, held, parts = TaskContext.get().partitionId() << 32, 0, []
         for batch in batches:
             words = pc.ascii_trim(pc.replace_substring_regex(pc.fill_null(batch.column(1), ""), GAP, " "), " ")
             counts = pc.add(pc.count_substring(words, " "), pc.cast(pc.greater(pc.binary_length(words), 0), pa.int32())).cast(pa.int64())
-            blocks, places = [], []
-            for size in pc.binary_length(words).to_pylist():
+            rows, start = pa.Table.from_arrays([batch.column(0), counts, words], schema=ROWS), 0
+            for at, size in enumerate(pc.binary_length(words).to_pylist()):
                 if held and held + size > block:
-                    number, held, at = number + 1, 0, 0
-                blocks.append(number)
-                places.append(at)
-                held, at = held + size, at + 1
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(places, pa.int32()), batch.column(0), counts, words], schema=schema)
+                    parts.append(rows.slice(start, at - start))
+                    yield _packed(number, pa.concat_tables(parts))
+                    number, held, parts, start = number + 1, 0, [], at
+                held += size
+            parts.append(rows.slice(start))
+        if sum(p.num_rows for p in parts):
+            yield _packed(number, pa.concat_tables(parts))
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(deal, TEXTS)
 
@@ -132,65 +148,73 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Neighbouring rows of one block; a block that two tasks read comes in two parts."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        block = batch.column("block").to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a == b:
-                continue
-            if held and held[-1].column("block")[0].as_py() != block[a]:
-                yield pa.Table.from_batches(held).combine_chunks()
-                held = []
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+def pack_keys(keys: np.ndarray, bucket: int, buckets: int) -> bytes:
+    """Ascending keys of a bucket as steps from its lower end, each of as many bytes as the longest needs."""
+    low = np.uint64(-(-(bucket << 32) // buckets) << 32)
+    steps = np.diff(np.concatenate([[low], keys]))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unpack_keys(packed: bytes, n: int, bucket: int, buckets: int) -> np.ndarray:
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, : len(packed) // n] = np.frombuffer(packed, np.uint8).reshape(n, -1)
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64) + np.uint64(-(-(bucket << 32) // buckets) << 32)
+
+
+def pack_owners(ids: list, owner: np.ndarray) -> tuple[list, bytes]:
+    """Document ids by window: a list and places in it, or (smallest id alone) distances from it where that is shorter."""
+    docs, at = np.unique(owner, return_inverse=True)
+    held = [ids[d] for d in docs]
+    kind = np.uint16 if len(docs) <= 65_536 else np.uint32
+    if len(docs) > 1 and None not in held and held[-1] - held[0] < 2**32 and 8 * len(docs) > (4 - kind().itemsize) * len(at):
+        return held[:1], (np.array(held, np.int64) - held[0]).astype(np.uint32)[at].tobytes()
+    return held, at.astype(kind).tobytes()
+
 
+def unpack_owners(docs: pa.Array, owners: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(id, is null) by window."""
+    ids, null = docs.fill_null(0).to_numpy(), docs.is_null().to_numpy(zero_copy_only=False)
+    at = np.frombuffer(owners, np.uint16 if len(owners) == 2 * n else np.uint32)
+    if len(ids) == 1:
+        return ids[0] + at.astype(np.int64), np.full(n, null[0])
+    return ids[at], null[at]
 
-def _columns(rows: pa.Table, width: int) -> Windows:
-    one = {c: rows[c].chunk(0) if rows[c].num_chunks == 1 else rows[c].combine_chunks() for c in ("doc_id", "words")}
-    return windows_of(one["doc_id"], one["words"], rows["n_words"].to_numpy(), width)
+
+def _windows(rows: pa.Table, width: int) -> Windows:
+    return windows_of(rows["doc_id"].chunk(0), rows["words"].chunk(0), rows["n_words"].to_numpy(), width)
 
 
 def window_keys(texts: DataFrame, width: int, buckets: int) -> DataFrame:
-    """For each part of a block and bucket its different windows with the smallest document that holds each."""
+    """For each block and bucket its different windows with the smallest document that holds each."""
     schema = _schema(KEYS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _fragments(batches):
-            w = _columns(rows, width)
-            bucket = bucket_of(w.keys, buckets)
-            numbers, starts = np.unique(bucket, return_index=True)
-            ends = [*starts[1:].tolist(), len(bucket)]
-            out = {name: [] for name in schema.names}
-            for number, a, b in zip(numbers.tolist(), starts.tolist(), ends):
-                docs, owners = np.unique(w.owner[a:b], return_inverse=True)
-                kind = np.uint16 if len(docs) <= 65_536 else np.uint32
-                values = (number, rows["block"][0].as_py(), rows["at"][0].as_py(), rows.num_rows, w.keys[a:b].tobytes(), w.tags[a:b].tobytes(),
-                          [w.ids[d] for d in docs], owners.astype(kind).tobytes())
-                for name, value in zip(out, values):
-                    out[name].append(value)
-            if numbers.size:
-                yield pa.RecordBatch.from_pydict(out, schema=schema)
-
-    return texts.select("block", "at", "doc_id", "n_words", "words").mapInArrow(send, KEYS)
-
-
-def _confirm(rows: pa.Table) -> pa.Table:
+        for batch in batches:
+            for block, packed in zip(batch.column(0), batch.column(1)):
+                w = _windows(_unpacked(packed), width)
+                numbers, starts = np.unique(bucket_of(w.keys, buckets), return_index=True)
+                out = {name: [] for name in schema.names}
+                for number, a, b in zip(numbers.tolist(), starts.tolist(), [*starts[1:].tolist(), len(w.keys)]):
+                    docs, owners = pack_owners(w.ids, w.owner[a:b])
+                    values = (number, block.as_py(), pack_keys(w.keys[a:b], number, buckets), w.tags[a:b].tobytes(), docs, owners)
+                    for name, value in zip(out, values):
+                        out[name].append(value)
+                if numbers.size:
+                    yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+    return texts.select("block", "packed").mapInArrow(send, KEYS)
+
+
+def _confirm(rows: pa.Table, buckets: int) -> pa.Table:
     """One bit for each window of a bucket: does an earlier document elsewhere hold it?"""
-    keys = [np.frombuffer(b, np.uint64) for b in rows["keys"].to_pylist()]
     tags = np.concatenate([np.frombuffer(b, np.uint16) for b in rows["tags"].to_pylist()])
-    sizes = np.array([len(k) for k in keys])
-    key = np.concatenate(keys)
-    doc, null = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
-    ends = np.cumsum(sizes)
-    for a, b, docs, owners in zip(ends - sizes, ends, rows["docs"], rows["owners"].to_pylist()):
-        ids = docs.values
-        at = np.frombuffer(owners, np.uint16 if len(ids) <= 65_536 else np.uint32)
-        doc[a:b] = ids.fill_null(0).to_numpy()[at]
-        null[a:b] = ids.is_null().to_numpy(zero_copy_only=False)[at]
+    sizes = np.array([len(b) // 2 for b in rows["tags"].to_pylist()])
+    number, ends = rows["bucket"][0].as_py(), np.cumsum(sizes)
+    key, doc, null = np.zeros(len(tags), np.uint64), np.zeros(len(tags), np.int64), np.zeros(len(tags), bool)
+    for n, end, keys, docs, owners in zip(sizes, ends, rows["keys"].to_pylist(), rows["docs"], rows["owners"].to_pylist()):
+        key[end - n:end] = unpack_keys(keys, n, number, buckets)
+        doc[end - n:end], null[end - n:end] = unpack_owners(docs.values, owners, n)
     by = np.argsort(key)
     same = key[by][1:] == key[by][:-1]
     twice = np.sort(by[np.concatenate([[False], same]) | np.concatenate([same, [False]])])
@@ -200,9 +224,9 @@ def _confirm(rows: pa.Table) -> pa.Table:
     later = ~null[first] & (null[by] | (doc[by] > doc[first]))
     hit = np.zeros(len(key), bool)
     hit[by[later]] = True
-    held = [i for i, (a, b) in enumerate(zip(ends - sizes, ends)) if hit[a:b].any()]
+    held = [i for i, (n, end) in enumerate(zip(sizes, ends)) if hit[end - n:end].any()]
     masks = [np.packbits(hit[ends[i] - sizes[i]:ends[i]]).tobytes() for i in held]
-    return rows.select(["block", "first", "rows", "bucket"]).take(pa.array(held, pa.int64())).append_column("mask", pa.array(masks, pa.binary()))
+    return rows.select(["block", "bucket"]).take(pa.array(held, pa.int64())).append_column("mask", pa.array(masks, pa.binary()))
 
 
 def _chosen(run: np.ndarray, keys: np.ndarray, width: int) -> np.ndarray:
@@ -253,26 +277,32 @@ def covered_words(w: Windows, outside: np.ndarray, width: int, shard: int) -> np
     return np.cumsum(change)[:-1] > 0
 
 
-def _clean(rows: pa.Table, answers: pa.Table, width: int, shard: int, buckets: int) -> pa.Table:
-    """One block: its documents without the words covered."""
-    rows = rows.sort_by("at").combine_chunks()
-    answers = answers.select(["first", "rows", "bucket", "mask"]).to_pylist()
-    parts = {(a["first"], a["rows"]): {} for a in answers}
-    for a in answers:
-        parts[a["first"], a["rows"]][a["bucket"]] = a["mask"]
-    # Rows between the parts that got answers have nothing in common with other blocks.
-    cuts = sorted({0, rows.num_rows, *[f for f, _ in parts], *[f + n for f, n in parts]})
-    out = []
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        part = rows.slice(a, b - a).combine_chunks()
-        w, masks = _columns(part, width), parts.get((a, b - a), {})
-        outside, bucket = np.zeros(len(w.keys), bool), bucket_of(w.keys, buckets)
-        for number, mask in masks.items():
-            low, high = np.searchsorted(bucket, [number, number + 1])
-            outside[low:high] = np.unpackbits(np.frombuffer(mask, np.uint8), count=high - low).astype(bool)
-        gone = covered_words(w, outside, width, shard)
-        out.append(_kept(part, w, gone))
-    return pa.concat_tables(out)
+class Answers:
+    """The answers to the blocks of one table part, read from the shared folder when its first block comes."""
+
+    def __init__(self, folder: str):
+        self.folder, self.source, self.of_block = folder, None, {}
+
+    def masks(self, block: int) -> list[tuple[int, bytes]]:
+        if block >> 32 != self.source:
+            self.source, self.of_block = block >> 32, defaultdict(list)
+            fs, path = FileSystem.from_uri(f"{self.folder}/source={self.source}")
+            if fs.get_file_info(path).type == FileType.Directory:
+                files = [f.path for f in fs.get_file_info(FileSelector(path)) if f.base_name.endswith(".parquet")]
+                for rows in (pq.read_table(f, filesystem=fs, columns=["block", "bucket", "mask"], partitioning=None) for f in files):
+                    for number, bucket, mask in zip(*[c.to_pylist() for c in rows.columns]):
+                        self.of_block[number].append((bucket, mask))
+        return self.of_block[block]
+
+
+def _clean(rows: pa.Table, masks: list[tuple[int, bytes]], width: int, shard: int, buckets: int) -> pa.Table:
+    """One block: its documents without the words covered. A bucket without an answer has nothing in common with other blocks."""
+    w = _windows(rows, width)
+    outside, bucket = np.zeros(len(w.keys), bool), bucket_of(w.keys, buckets)
+    for number, mask in masks:
+        low, high = np.searchsorted(bucket, [number, number + 1])
+        outside[low:high] = np.unpackbits(np.frombuffer(mask, np.uint8), count=high - low).astype(bool)
+    return _kept(rows, w, covered_words(w, outside, width, shard))
 
 
 def _kept(part: pa.Table, w: Windows, gone: np.ndarray) -> pa.Table:
@@ -304,13 +334,21 @@ def remove_repeats(docs: DataFrame, width: int = 13, block: int = BLOCK, bucket:
     texts = work.keep(blocked(docs, block), "texts")
     words = texts.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     buckets = max(1, -(-words // bucket))
-    answers = window_keys(texts, width, buckets).groupBy("bucket").applyInArrow(_confirm, ANSWERS)
-    answers = work.keep(answers, "answers")
 
-    def clean(rows: pa.Table, found: pa.Table) -> pa.Table:
-        return _clean(rows, found, width, shard, buckets)
+    def confirm(rows: pa.Table) -> pa.Table:
+        return _confirm(rows, buckets)
+
+    answers = window_keys(texts, width, buckets).groupBy("bucket").applyInArrow(confirm, ANSWERS).withColumn("source", F.shiftright("block", 32))
+    work.keep(answers.repartition("source"), "answers", ["source"])
+    folder = f"{work.folder if '://' in work.folder else 'file://' + work.folder.removeprefix('file:')}/answers"
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Answers(folder)
+        for batch in batches:
+            for number, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                yield from _clean(_unpacked(packed), found.masks(number), width, shard, buckets).to_batches()
 
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(clean, CLEAN)
+    return texts.select("block", "packed").mapInArrow(clean, CLEAN)
 
 
 SQL = r"""

@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from promolens.llm import importance, prefix_trie, queries, repeated_phrases
@@ -171,21 +172,20 @@ def test_repeats_of_a_shorter_width_and_of_nothing(spark, docs):
     assert repeated_phrases.remove_repeats(docs.limit(0)).count() == 0
 
 
-def test_blocks_read_in_two_parts(spark):
-    """A block whose rows come to two tasks gives the same windows in two parts."""
-    texts = [(i, prose(30, 40 + i % 7) + " " + prose(16, 60)) for i in range(40)]
-    table = repeated_phrases.blocked(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), 1 << 20).toArrow().combine_chunks()
-    assert len(set(table["block"].to_pylist())) == 1
-    found = []
-    for cuts in ([0, 40], [0, 13, 40]):
-        parts = [table.slice(a, b - a).combine_chunks() for a, b in zip(cuts[:-1], cuts[1:])]
-        keys = spark.createDataFrame(parts[0].to_pandas(), repeated_phrases.TEXTS).coalesce(1)
-        for p in parts[1:]:
-            keys = keys.unionAll(spark.createDataFrame(p.to_pandas(), repeated_phrases.TEXTS).coalesce(1))
-        answers = repeated_phrases.window_keys(keys, 13, 4).groupBy("bucket").applyInArrow(repeated_phrases._confirm, repeated_phrases.ANSWERS).toArrow()
-        found.append(sorted(zip(*[c.to_pylist() for c in repeated_phrases._clean(table, answers, 13, 1000, 4).select(["doc_id", "n_removed", "kept"]).columns])))
-    assert found[0] == found[1]
-    assert [(i, k) for i, _, k in found[0]] == [(i, k) for i, _, k in sorted(kept_words(texts))]
+def test_keys_and_owners_packed():
+    r = np.random.default_rng(1)
+    for buckets in (1, 7, 4096):
+        keys = np.unique(r.integers(0, 2**64, 3000, dtype=np.uint64))
+        at = repeated_phrases.bucket_of(keys, buckets)
+        for b in np.unique(at):
+            mine = keys[at == b]
+            assert (repeated_phrases.unpack_keys(repeated_phrases.pack_keys(mine, int(b), buckets), len(mine), int(b), buckets) == mine).all()
+    for ids in ([1, 2, 3, 900, None], [5, 2**31, 2**32], [-(2**53) - 1, 2**53 + 1, 2**63 - 1, None], [7], [None], list(range(2**53, 2**53 + 200))):
+        for n in (len(ids), 900):
+            owner = np.concatenate([np.arange(len(ids)), r.integers(0, len(ids), n - len(ids))])
+            docs, packed = repeated_phrases.pack_owners(ids, owner)
+            got, null = repeated_phrases.unpack_owners(pa.array(docs, pa.int64()), packed, n)
+            assert [None if z else int(v) for v, z in zip(got, null)] == [ids[o] for o in owner]
 
 
 # Importance draw
