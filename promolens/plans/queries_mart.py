@@ -7,8 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import target_codes
+from ..functions.trees import Settings
 from ..operators import (
-    counterfactual, cannibal, dashboards, elasticity, facts, forecast, models, ols, promo_facts, training, uplift,
+    boosting, counterfactual, cannibal, dashboards, elasticity, facts, forecast, models, ols, promo_facts, training, uplift,
 )
 from ..operators.sales import MEASURES, OFFER_MEASURES
 from . import oracle_mart as o
@@ -629,6 +631,56 @@ def _means(m: Mart) -> tuple[DataFrame, DataFrame]:
 
 
 add("d81_boosted_trees", on(_tree_validation), " ".join(_KEYS) + f" {_TARGET}:d prediction:d")
+# Leaf-wise boosting on ordered target statistics: the codes, the ranges with their sums and the first split as SQL.
+_LEAFWISE = Settings(rounds=30, leaves=15, rate=0.15, bins=64, patience=5)
+_ROWKEY = [*_KEYS, "discount_depth"]
+_CODED = [c for c in _CATS if c not in _ROWKEY]
+
+
+def _prepared(m: Mart) -> boosting.Prepared:
+    if not hasattr(m, "_ranges"):
+        train, valid = _split(m)
+        m._ranges = boosting.prepare(train, valid, _FEATURES, _CATS, _TARGET, _ROWKEY, _LEAFWISE, m.space)
+    return m._ranges
+
+
+def _leafwise(m: Mart) -> boosting.Booster:
+    if not hasattr(m, "_leaf_model"):
+        train, valid = _split(m)
+        m._leaf_model = boosting.fit(train, valid, _FEATURES, _CATS, _TARGET, _ROWKEY, _LEAFWISE)
+    return m._leaf_model
+
+
+def _leaf_validation(m: Mart) -> DataFrame:
+    return boosting.predict(_leafwise(m), _split(m)[1])
+
+
+_MARK = "md5('42|' || " + " || '|' || ".join(_ROWKEY) + ")"
+_LEX = {
+    **_MEX,
+    "c_marked": f"SELECT *, {_MARK} AS mk, {o.fixed(_TARGET)} AS fy FROM c_split WHERE bucket < 8",
+    "c_base": f"SELECT {o.mean(o.fixed(_TARGET))} AS prior FROM c_split WHERE bucket < 8",
+    "c_coded": " UNION ALL ".join(
+        f"""SELECT {', '.join(_ROWKEY)}, '{c}' AS feature, (coalesce(sum(fy) OVER w, 0)::DOUBLE + p.prior) / (count(*) OVER w + 1) AS x, {_TARGET}::DOUBLE AS y, p.prior FROM c_marked, c_base p
+        WINDOW w AS (PARTITION BY {c} ORDER BY mk, fy ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""" if c in _CATS else
+        f"SELECT {', '.join(_ROWKEY)}, '{c}', {c}::DOUBLE, {_TARGET}::DOUBLE, p.prior FROM c_marked, c_base p" for c in _FEATURES),
+    "c_at": "SELECT *, (rank() OVER (PARTITION BY feature ORDER BY x) - 1) * 64 // count(*) OVER (PARTITION BY feature) AS cell FROM c_coded",
+    "c_ranges": "SELECT feature, range, min(x) AS low, count(*) AS n, sum(y - prior) AS total FROM (SELECT *, dense_rank() OVER (PARTITION BY feature ORDER BY cell) AS range FROM c_at) GROUP BY ALL",
+}
+add("d79_target_statistics", on(lambda m: target_codes.ordered_codes(_split(m)[0].select(*_ROWKEY, *_CODED, _TARGET), _CODED, _TARGET, F.md5(F.concat_ws("|", F.lit(42), *_ROWKEY)))
+        .unpivot(_ROWKEY, _CODED, "feature", "x")),
+    " ".join(_ROWKEY) + " feature x:d", f"SELECT * FROM c_coded WHERE feature IN ({', '.join(repr(c) for c in _CODED)})", extra=_LEX)
+add("d81_root_histogram", on(lambda m: boosting.root_histogram(_prepared(m), _FEATURES)), "feature range:i n:i total:r", "c_ranges", extra=_LEX)
+add("d81_first_split", on(lambda m: boosting.first_split(_prepared(m), _FEATURES, _LEAFWISE)), "feature low:d n_left:i sum_left:r",
+    f"""SELECT feature, low, n_left, sum_left FROM (
+      SELECT feature, range, lead(low) OVER w AS low, sum(n) OVER w AS n_left, sum(total) OVER w AS sum_left, sum(n) OVER f AS n, sum(total) OVER f AS total, list_position([{', '.join(repr(c) for c in _FEATURES)}], feature) AS place
+      FROM c_ranges WINDOW w AS (PARTITION BY feature ORDER BY range), f AS (PARTITION BY feature))
+    WHERE n_left >= 20 AND n - n_left >= 20
+    ORDER BY round(sum_left * sum_left / (n_left + 1) + (total - sum_left) * (total - sum_left) / (n - n_left + 1) - total * total / (n + 1), 6) DESC, place, range LIMIT 1""", extra=_LEX)
+add("d81_leafwise_trees", on(_leaf_validation), " ".join(_ROWKEY) + f" {_TARGET}:d prediction:d")
+add("d81_leafwise_rows", on(lambda m: _leaf_validation(m).select(*_ROWKEY, _TARGET, F.col("prediction").isNotNull().alias("scored"))),
+    " ".join(_ROWKEY) + f" {_TARGET}:d scored", "SELECT *, TRUE AS scored FROM c_split WHERE bucket >= 8", extra=_MEX)
+add("d82_leafwise_evaluation", on(lambda m: models.evaluate(_leaf_validation(m), _TARGET)), "n:i rmse:r mean_error:r mae:r mape:r benchmark_std:r benchmark_mean_error:r benchmark_mae:r")
 # What holds for any fit: every row of the validation part has a prediction.
 add("d81_scored_rows", on(lambda m: _tree_validation(m).select(*_KEYS, "discount_depth", _TARGET, F.col("prediction").isNotNull().alias("scored"))),
     " ".join(_KEYS) + f" discount_depth {_TARGET}:d scored", "SELECT *, TRUE AS scored FROM c_split WHERE bucket >= 8", extra=_MEX)
