@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import target_codes
 from ..functions.trees import Settings
 from ..operators import (
-    boosting, counterfactual, cannibal, dashboards, elasticity, facts, forecast, models, ols, promo_facts, training, uplift,
+    absorbed, boosting, counterfactual, cannibal, dashboards, elasticity, facts, forecast, models, ols, promo_facts, training, uplift,
 )
 from ..operators.sales import MEASURES, OFFER_MEASURES
 from . import oracle_mart as o
@@ -841,3 +841,36 @@ add("d94_importance_total", lambda spark, sf: models.importance(spark, _trees(op
     "features:i total:d none_negative", f"SELECT {len(_FEATURES)} AS features, 1.0 AS total, TRUE AS none_negative")
 add("d94_feature_importance", lambda spark, sf: models.importance(spark, _trees(open_mart(spark, sf)), _FEATURES), "feature importance:d")
 
+# Grouped fits without dummy columns: the discount depth as a fixed effect, then three regressors of full rank.
+_X = {"a": "duration_days", "b": "no_hipermercados_stores", "c": "campaign_start_week"}
+
+
+def _moments(by: str, names: str) -> str:
+    """Sums of products of the regressors and the target, each less its mean by ``by``, for every category."""
+    columns = {**{n: f"{_X[n]}::DOUBLE" for n in names}, "y": f"{_TARGET}::DOUBLE"}
+    centred = ", ".join(f"{e} - avg({e}) OVER (PARTITION BY {by}) AS {n}" for n, e in columns.items())
+    every = [*columns]
+    sums = ", ".join(f"sum({p} * {q}) AS {p}{q}" for i, p in enumerate(every) for q in every[i:])
+    return f"SELECT category, count(*) AS n, count(DISTINCT discount_depth) AS levels, {sums} FROM (SELECT category, discount_depth, {centred} FROM c_clean) GROUP BY category"
+
+
+def _fit_columns(names: str) -> str:
+    return "category n:i levels:i r2:r f:r " + " ".join(f"coeff_{_X[n]}:r" for n in names)
+
+
+def _full_rank(df: DataFrame) -> DataFrame:
+    return df.where((F.size("aliased") == 0) & F.col("f").isNotNull())
+
+
+add("d86_absorbed_category", on(lambda m: _full_rank(absorbed.absorbed_ols(_clean(m), ["category"], ["discount_depth"], [_X[n] for n in "ab"], _TARGET))), _fit_columns("ab"),
+    """SELECT category, n, levels, coeff_duration_days, coeff_no_hipermercados_stores, 1 - ssr / yy AS r2, ((yy - ssr) / 2) / (ssr / (n - 2 - levels)) AS f
+    FROM (SELECT *, (ay * bb - by_ * ab) / det AS coeff_duration_days, (by_ * aa - ay * ab) / det AS coeff_no_hipermercados_stores, yy - (ay * (ay * bb - by_ * ab) + by_ * (by_ * aa - ay * ab)) / det AS ssr
+      FROM (SELECT * RENAME ("by" AS by_), aa * bb - ab * ab AS det FROM c_moments) WHERE det > 1e-9 * aa * bb AND n > levels + 2)""", extra={**_MEX, "c_moments": _moments("category, discount_depth", "ab")})
+add("d84_three_regressors", on(lambda m: _full_rank(absorbed.absorbed_ols(_clean(m), ["category"], [], [_X[n] for n in "abc"], _TARGET))), _fit_columns("abc"),
+    """SELECT category, n, 1 AS levels, p AS coeff_duration_days, q AS coeff_no_hipermercados_stores, r AS coeff_campaign_start_week,
+      (p * ay + q * by_ + r * cy) / yy AS r2, ((p * ay + q * by_ + r * cy) / 3) / ((yy - p * ay - q * by_ - r * cy) / (n - 4)) AS f
+    FROM (SELECT *, (ay * (bb * cc - bc * bc) - ab * (by_ * cc - bc * cy) + ac * (by_ * bc - bb * cy)) / det AS p,
+        (aa * (by_ * cc - bc * cy) - ay * (ab * cc - bc * ac) + ac * (ab * cy - by_ * ac)) / det AS q,
+        (aa * (bb * cy - by_ * bc) - ab * (ab * cy - by_ * ac) + ay * (ab * bc - bb * ac)) / det AS r
+      FROM (SELECT * RENAME ("by" AS by_), aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM c_moments) WHERE det > 1e-9 * aa * bb * cc AND n > 4)""",
+    extra={**_MEX, "c_moments": _moments("category", "abc")})
