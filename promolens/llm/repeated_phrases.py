@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from promolens.session import Workspace
 
 GAP = r"[\x20\x09-\x0D]+"
-BLOCK, BUCKET, SHARD = 4 << 20, 3_000_000, 50_000
+BLOCK, BUCKET, SHARD = 2 << 20, 3_000_000, 25_000
 BASE = 64
 TEXTS = "block long, n_words long, packed binary"
 ROWS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("words", pa.string())])
