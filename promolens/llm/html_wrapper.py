@@ -25,12 +25,14 @@ import html
 import json
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promolens.llm.ids import as_long, as_text
 from promolens.session import Workspace
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|textarea|svg|iframe)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|$)"
@@ -46,28 +48,37 @@ CLOSED_TAGS = set("head nav footer aside form button select dialog menu object v
 CLOSED_NAMES = set("ad ads advert adverts advertisement advertising sponsored sponsor promo banner popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs footer notice cookie cookies consent alert newsletter subscribe signup comments comment respond disqus related recommended share sharing social widget pagination pager toolbar complementary contentinfo search login".split())
 CONTENT_NAMES = set("content article post entry story text main body".split())
 HEADERS = {"header", "masthead", "topbar"}
+# Tags that no name closes, first words that turn a name round, and what makes a "related" name a list of links.
+NEVER_CLOSED = {"html", "body", "main", "article"}
+TURNED = {"no", "not", "without", "has", "with", "hide", "hidden"}
+RELATED_LISTS = {"related", "posts", "post", "articles", "article", "links", "content", "stories", "story", "news", "reading", "items", "list", "box", "topics"}
+# Groups nested deeper than this lie flat in the one at this depth, closed ones apart.
+DEEP = 100
 TEXT = "#"
 
 
 def _names(attributes: str) -> list[str]:
-    words = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower()
-    return sorted({w for w in re.split(r"[^a-z0-9]+", words) if w and not w.isdigit()})
+    names = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower().split()
+    words = ("-".join(w for w in re.split(r"[^a-z0-9]+", n) if w and not w.isdigit()) for n in names)
+    return sorted({n for n in words if n})
 
 
 def parse(page: str) -> list:
     """Nested [label, children]; a child is a node or a text with its number of link characters."""
     root = ["", []]
     stack, texts, links, in_link = [root], [], 0, False
+    sealed = 0  # depth at which a closed group began among the deep ones, 0 for none
 
     def flush() -> None:
         nonlocal texts, links
-        text = " ".join(html.unescape("".join(texts)).split())
+        text = " ".join("".join(texts).split())
         if text:
             stack[-1][1].append((text, min(links, len(text))))
         texts, links = [], 0
 
     def add(text: str) -> None:
         nonlocal links
+        text = html.unescape(text)  # a reference ends with its run of text
         texts.append(text)
         links += len(text.strip()) * in_link
 
@@ -90,13 +101,20 @@ def parse(page: str) -> list:
             open_tag = stack[i][0].split(".", 1)[0]
             if open_tag in ends or (not m[2] and open_tag == "p" and tag in ENDS_P):
                 del stack[i:]
+                sealed = sealed if sealed <= i else 0
                 break
             if not m[2] and open_tag in WALLS:
                 break
         if not m[2]:
             names = _names(m[4]) if "=" in m[4] else []
             node = [".".join([tag, *names]), []]
-            stack[-1][1].append(node)
+            if len(stack) <= DEEP:
+                stack[-1][1].append(node)
+            elif not sealed and closed(node[0], False):
+                stack[-1][1].append(node)
+                sealed = len(stack)
+            else:
+                node[1] = stack[-1][1]
             if tag not in VOID and not m[4].endswith("/"):
                 stack.append(node)
     if at < len(page):
@@ -194,11 +212,18 @@ def as_expression(wrapper: list) -> str:
     return f"({inner})" + ("*" if wrapper[1] and wrapper[2] else "+" if wrapper[2] else "?") if wrapper[1] or wrapper[2] else inner
 
 
+@cache
 def closed(label: str, inside: bool) -> bool:
+    """A group without main text: by its tag, or by a word of a whole class, id or role that says so."""
     tag, *names = label.split(".")
-    if tag in CLOSED_TAGS or not CLOSED_NAMES.isdisjoint(names):
+    if tag in CLOSED_TAGS:
         return True
-    return not inside and (tag == "header" or not HEADERS.isdisjoint(names))
+    if tag in NEVER_CLOSED:
+        return False
+    for words in (n.split("-") for n in names):
+        if words[0] not in TURNED and not CLOSED_NAMES.isdisjoint(words) and (words[0] != "related" or RELATED_LISTS.issuperset(words) or not CLOSED_NAMES.isdisjoint(words[1:])):
+            return True
+    return not inside and (tag == "header" or any(not HEADERS.isdisjoint(n.split("-")) for n in names))
 
 
 def template_texts(node: list) -> list:
@@ -221,7 +246,7 @@ def groups_to_read(wrapper: list) -> list[str]:
         for k in node[3]:
             if k[0] == TEXT or closed(k[0], False):
                 continue
-            tag, *names = k[0].split(".")
+            tag, *names = k[0].replace("-", ".").split(".")
             kind = "article" if tag == "article" else "main" if tag == "main" or "main" in names else "named" if not CONTENT_NAMES.isdisjoint(names) else None
             below = f"{path}/{k[0]}"
             if kind:
@@ -337,6 +362,7 @@ def extract(pages: DataFrame) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [read_page(page or "", list(g)) for page, g in zip(pdf["html"], pdf["groups"])]
-            yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"].tolist(), "text": texts, "n_chars": [len(t) for t in texts]})
+            yield pd.DataFrame({"page_id": pdf["page_id"].tolist(), "url": pdf["url"].tolist(), "text": texts, "n_chars": [len(t) for t in texts]})
 
-    return rows.join(groups, "host").select("page_id", "url", "html", "groups").mapInPandas(read, "page_id long, url string, text string, n_chars long")
+    held = as_text(rows.join(groups, "host").select("page_id", "url", "html", "groups"), "page_id")
+    return as_long(held.mapInPandas(read, "page_id string, url string, text string, n_chars long"), "page_id")
