@@ -115,4 +115,6 @@ def classify(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:
 def good_documents(docs: DataFrame, labels: DataFrame, cut: float = 0.3) -> DataFrame:
     """The rows of ``docs``, all columns, that the compiled rules accept; a filter over the scan, without a join."""
     _, score = _scored(docs, labels, Workspace(docs.sparkSession))
-    return with_statistics(docs, F.struct("*")).where(score >= cut).select("kept.*")
+    # A generated row keeps the filter above the statistics; pushed below, every rule would count the words again.
+    rows = with_statistics(docs, F.struct("*")).select(F.inline(F.array(F.struct("*"))))
+    return rows.where(score >= cut).select("kept.*")
