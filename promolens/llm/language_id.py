@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from promolens.llm.ids import as_long, as_text
 from promolens.session import Workspace
 
 CHUNK = 1 << 20  # characters worked on at a time; a text is never split
@@ -359,7 +360,7 @@ def identify(docs: DataFrame, max_grams: int = 2_000_000, tail: float = 0.01) ->
             texts = [t or "" for t in pdf["text"]]
             for s in chunks(texts):
                 part = texts[s]
-                out = pd.DataFrame({"doc_id": pdf["doc_id"].iloc[s].astype("Int64").to_numpy(), "lang_pred": "und", "score": 0.0, "cross_entropy": np.nan, "rejected": True})
+                out = pd.DataFrame({"doc_id": pdf["doc_id"].iloc[s].to_numpy(), "lang_pred": "und", "score": 0.0, "cross_entropy": np.nan, "rejected": True})
                 if models.langs:
                     h, n = models.entropies(part)
                     best, some = h.argmin(axis=1), n > 0
@@ -368,7 +369,7 @@ def identify(docs: DataFrame, max_grams: int = 2_000_000, tail: float = 0.01) ->
                     out["score"] = np.where(some, models.scores(h, n, models.heat).max(axis=1), 0.0)
                     out["cross_entropy"] = np.where(some, low, np.nan)
                     out["rejected"] = ~some | (low > models.limits[best])
-                yield out.astype({"doc_id": "Int64"})
+                yield out
 
-    found = docs.select("doc_id", "text").mapInPandas(predict, OUT)
+    found = as_long(as_text(docs.select("doc_id", "text")).mapInPandas(predict, OUT.replace("doc_id long", "doc_id string")))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")

@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promolens.llm.ids import as_long, as_text
+
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 MARKS = str.maketrans("", "", SYMBOLS + "!")
@@ -180,7 +182,6 @@ def judge(docs: DataFrame, labels: DataFrame, share: float = 0.5, sample: int =
                 failed = n < 10 or 100 * repeated > 20 * n
                 chars = len(text) - sum(text.count(c) for c in SPACES)
                 out.append((doc_id, n, chars, sum(text.count(c) for c in SYMBOLS), again, repeated, failed, not failed and good >= share, good))
-            done = pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
-            yield done.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
 
-    return docs.select("doc_id", "text").mapInPandas(rows, OUT)
+    return as_long(as_text(docs.select("doc_id", "text")).mapInPandas(rows, OUT.replace("doc_id long", "doc_id string")))

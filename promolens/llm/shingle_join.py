@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from promolens.llm.ids import as_long, as_text
 from promolens.session import Workspace
 
 from .token_index import _mix
@@ -105,7 +106,7 @@ def _sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     for k in range(WIDTH):
                         sketch[some, k] = np.minimum.reduceat((h * odd[k]) >> np.uint64(32), starts)
                 yield pd.DataFrame({
-                    "doc_id": pdf["doc_id"].iloc[s].astype("Int64").to_numpy(), "mark": pdf["mark"].iloc[s].to_numpy(), "n": n,
+                    "doc_id": pdf["doc_id"].iloc[s].to_numpy(), "mark": pdf["mark"].iloc[s].to_numpy(), "n": n,
                     "d1": d1.view(np.int64), "d2": d2.view(np.int64), "sketch": [r.tobytes() for r in sketch]})
 
 
@@ -339,7 +340,8 @@ def _maybe_members(rows: DataFrame, members: DataFrame, work: Workspace, most: i
 def _classes(docs: DataFrame, threshold: float, recall: float, leaf: int, tile: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """The sketched rows, and per distinct set (d1, d2, doc_id, mark of its first copy, copies, class_id, n_links)."""
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
-    sketched = work.keep(rows.mapInPandas(_sketch_rows, "doc_id long, mark long, n long, d1 long, d2 long, sketch binary"), "sketches")
+    sketched = as_text(rows).mapInPandas(_sketch_rows, "doc_id string, mark long, n long, d1 long, d2 long, sketch binary")
+    sketched = work.keep(as_long(sketched), "sketches")
     sets = sketched.where("n > 0").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "mark", "sketch")).alias("first"), F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     reps = work.keep(sets.select(F.monotonically_increasing_id().alias("rep"), "d1", "d2", "first.*", "least", "copies"), "reps")
     groups = components(chosen_paths(reps, threshold, recall, leaf, work), work, "groups")

@@ -36,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from promolens.llm.ids import as_text
 from promolens.session import Workspace
 
 MANIFEST = "shard int, n_docs long, n_tokens long, low long, high long, n_null long, width int, bin string, idx string"
@@ -208,6 +209,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     rows = (rows.repartitionByRange(shards, *order) if shards else rows.repartitionByRange(*order)).sortWithinPartitions(*order)
+    rows = as_text(rows)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, name, out = encoder(tokenizer, cache), uuid.uuid4().hex, None
@@ -225,7 +227,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
                 lengths.append(len(ids) // width)
                 out.write(ids)
             n_null += int(pdf["doc_id"].isna().sum())
-            keys.append(pdf["doc_id"].fillna(0).to_numpy().astype(np.int64))
+            keys.append(np.array([0 if i is None else int(i) for i in pdf["doc_id"]], np.int64))
         if out is not None:
             out.close()
             all_keys, n = np.concatenate(keys), np.array(lengths, np.uint32)

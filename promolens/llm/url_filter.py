@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from promolens.llm.ids import as_long, as_text
 from promolens.session import Workspace
 
 from .token_index import _mix
@@ -130,7 +131,7 @@ def judge(pages: DataFrame, entries: DataFrame, block_keys: int = 10_000_000) ->
     universe = universe.select(F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2"), F.coalesce("listed", F.lit(False)).alias("listed"), "block")
     universe = work.keep(universe, "universe")
     blocks = max(1, math.ceil(universe.where("listed").count() / block_keys))
-    rows = rows.select("*", F.transform("keys", lambda k: F.lit(0)).alias("found"))
+    rows = as_text(rows, "page_id").select("*", F.transform("keys", lambda k: F.lit(0)).alias("found"))
     for b in range(blocks):
         own = universe.where(F.pmod("h1", F.lit(blocks)) == b)
         levels = build_cascade(own, work, f"listed{b}_")
@@ -149,13 +150,13 @@ def judge(pages: DataFrame, entries: DataFrame, block_keys: int = 10_000_000) ->
                     found[mine[here]] = 1 + in_cascade(shipped.value[1], h[here])
                     pdf = pdf.assign(found=np.split(found, np.cumsum(sizes)[:-1]))
                 if len(pdf):
-                    yield pdf.astype({"host": object, "path": object})
+                    yield pdf.astype({"page_id": object, "host": object, "path": object})
 
-        rows = rows.mapInPandas(look, "page_id long, host string, path string, keys array<string>, h1 array<long>, h2 array<long>, found array<int>")
+        rows = rows.mapInPandas(look, "page_id string, host string, path string, keys array<string>, h1 array<long>, h2 array<long>, found array<int>")
         rows = work.keep(rows, f"judged{b}") if b + 1 < blocks else rows
     first = F.coalesce(F.get("found", F.array_position(F.transform("found", lambda f: F.least(f, F.lit(1))), 1).cast("int") - 1), F.lit(0))
     rows = rows.select("page_id", "host", "path", F.get("keys", F.array_position(F.transform("found", lambda f: F.least(f, F.lit(1))), 1).cast("int") - 1).alias("key"), first.alias("f"))
-    return rows.select("page_id", "host", "path", F.when(F.instr("key", "/") > 0, F.col("key")).alias("rule"), F.when(F.col("f") == 2, "block").otherwise("allow").alias("verdict"))
+    return as_long(rows, "page_id").select("page_id", "host", "path", F.when(F.instr("key", "/") > 0, F.col("key")).alias("rule"), F.when(F.col("f") == 2, "block").otherwise("allow").alias("verdict"))
 
 
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]

@@ -11,8 +11,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from promolens.llm import importance, prefix_trie, queries, repeated_phrases
+from promolens.llm import decontaminate, html_wrapper, importance, language_id, line_crf, mixing, prefix_trie, queries, repeated_phrases, rule_ensemble, sharding, shingle_join, token_index, url_filter
 
 SF = "/root/testdata/sf0.001"
 BIG = [2**53 + 1, -(2**53 + 1), 2**63 - 1]
@@ -222,3 +223,73 @@ def test_draw_among_ties_and_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     same_as_sql(importance.resample(rows, none), importance.SQL, documents=rows, benchmark=none)
     assert importance.resample(rows.limit(0), none).count() == 0
+
+
+# Ids beyond 2^53 beside nulls, in one partition
+
+
+ODD = [2**53 + 1, 2**53 + 3, -(2**53) - 1, 2**63 - 1, 2**53 + 5, None, 7]
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    base = prose(80, 70).split()
+    near = [*base[:40], "other", *base[41:]]
+    texts = [prose(60, 71), " ".join(base), prose(40, 72), prose(50, 73), " ".join(near), prose(30, 74), None]
+    return spark.createDataFrame([(i, t, "en" if k % 2 else "fr", "s", 1) for k, (i, t) in enumerate(zip(ODD, texts))], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+
+
+def ids_of(df, name="doc_id"):
+    return sorted([r[0] for r in df.select(name).collect()], key=repr)
+
+
+def test_large_ids_stay_as_they_are(spark, odd_docs, tmp_path):
+    labels = spark.createDataFrame([(i, k % 2, 0) for k, i in enumerate(ODD)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, prose(30, 75))], "item_id long, text string")
+    for found in (shingle_join.join(odd_docs), mixing.mix(odd_docs), sharding.shard(odd_docs), rule_ensemble.classify(odd_docs, labels), line_crf.judge(odd_docs, labels),
+                  decontaminate.decontaminate(odd_docs, items), language_id.identify(odd_docs), repeated_phrases.remove_repeats(odd_docs), importance.resample(odd_docs, items)):
+        assert ids_of(found) == sorted(ODD, key=repr)
+    manifest = token_index.write_tokens(odd_docs, str(tmp_path), queries.tokenizer(), shards=1)
+    assert ids_of(token_index.read_digests(manifest)) == sorted(ODD, key=repr)
+    assert all(len(token_index.fetch(manifest, i)) == 1 for i in ODD if i is not None) and token_index.fetch(manifest, 2**53) == []
+    pages = spark.createDataFrame([(i, "http://a.org/x", "<html><body><p>some text</p></body></html>") for i in ODD], "page_id long, url string, html string").coalesce(1)
+    assert ids_of(html_wrapper.extract(pages), "page_id") == sorted(ODD, key=repr)
+    rules = spark.createDataFrame([("org/", "allow"), ("a.org", "block")], "key string, verdict string")
+    assert ids_of(url_filter.judge(pages, rules), "page_id") == sorted(ODD, key=repr)
+
+
+def test_links_of_large_ids(odd_docs):
+    links = {r.doc_id: (r.class_id, r.n_links) for r in shingle_join.join(odd_docs).collect()}
+    assert links[2**53 + 3] == links[2**53 + 5] == (2**53 + 3, 1)
+    assert ids_of(shingle_join.one_of_each(odd_docs)) == sorted([i for i in ODD if i != 2**53 + 5], key=repr)
+
+
+# Pages that nest deeply, names that only look closed, and the statistics of the pipeline's first stage
+
+
+def text_of(page):
+    return html_wrapper.read_page(page, html_wrapper.groups_to_read(html_wrapper.wrapper_of(html_wrapper.parse(page))))
+
+
+def test_pages_nested_deeply(spark):
+    assert text_of("<div>" * 100_000 + "deep") == "deep"
+    assert text_of("<div>" * 300 + "<nav>" * 300 + "menu" + "</nav>" * 300 + "<p>kept</p>" + "</div>" * 300) == "kept"
+    pages = spark.createDataFrame([(1, "http://a.org/", "<div>" * 2_000 + "one"), (2, "http://a.org/b", "<body><article><p>two</p></article></body>")], "page_id long, url string, html string")
+    assert [(r.page_id, r.text) for r in html_wrapper.extract(pages).orderBy("page_id").collect()] == [(1, "one"), (2, "two")]
+
+
+@pytest.mark.parametrize("page,text", [
+    ('<body class="no-sidebar"><article><p>one</p></article></body>', "one"), ('<body class="home navbar-fixed"><main><p>two</p></main></body>', "two"),
+    ('<body><article class="post comment-open"><p>three</p><section id="related-work"><p>four</p></section><div class="related-posts">five</div></article></body>', "three\nfour"),
+    ('<article><div class="site-nav">menu</div><p>a &amp; &<b>amp;</b></p><div class="ad-slot">buy</div></article>', "a & &amp;")])
+def test_names_of_groups(page, text):
+    assert text_of(page) == text
+
+
+def test_statistics_of_the_first_stage_are_computed_once(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    kept = rule_ensemble.good_documents(docs, labels)
+    scored = rule_ensemble.classify(docs, labels).where("predicted = 1")
+    assert ids_of(kept) == ids_of(scored) and kept.columns == docs.columns
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= rule_ensemble.with_statistics(docs, F.struct("*"))._jdf.queryExecution().optimizedPlan().toString().count("split(")
