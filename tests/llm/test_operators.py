@@ -79,7 +79,7 @@ def at_sf(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     assert rows_of(queries.QUERIES[name](spark, SF).toPandas()) == rows_of(con.execute(queries.SQL[name]).df())
 
