@@ -105,7 +105,7 @@ class Mart:
             "sku_counterfactual": lambda: counterfactual.weekly_sku_counterfactual(m["weekly"], m["root_sku"]),
             "cannibalisation": lambda: cannibal.cannibalisation(m["sku_counterfactual"]),
             "forecast": lambda: forecast.forecast(m["sku_counterfactual"]),
-            "forecast_metrics": lambda: forecast.fit_metrics(m["forecast"], dt.date(2001, 11, 5), dt.date(2001, 12, 31)),
+            "forecast_metrics": lambda: forecast.fit_metrics(m["forecast"]),
             "price_points": lambda: elasticity.price_points(m["daily"], m["root_sku"]),
             "unit_cost": lambda: elasticity.unit_cost(m["std_price_margin"], m["sku"]),
             "store_lines": lambda: elasticity.store_regression(m["price_points"], m["unit_cost"]),

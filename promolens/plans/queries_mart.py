@@ -355,20 +355,20 @@ add("d54_forecast", on(lambda m: forecast.forecast_table(m["forecast"])),
     "date sku_root_id " + _d([f"{n}_{x}" for x in _MET for n in ("b_t", "l_t", "s_t", "y_hat_t", "y_t")]))
 
 
-def _naive_fit(m: Mart) -> DataFrame:
-    """The smoothed history itself as the fit, so that the figures can be checked in SQL."""
-    none = [F.lit(None).cast("double").alias(p) for p in ("alpha", "beta", "phi", "gamma", "l_0", "b_0")]
-    rows = _smoothed(m).select("sku_root_id", "measure", "date", F.col("hist").alias("y_t"), (F.col("smooth") - F.col("shift")).alias("y_hat_t"), *none)
-    return forecast.fit_metrics(rows, D(2000, 1, 1), D(2000, 1, 31))
+def _given_fit(m: Mart) -> DataFrame:
+    """Figures of the seasonal forecast with given parameters, forecasts in cents as in ``d54_forecast_given``."""
+    rows = forecast.fit_and_forecast(_smoothed(m), params=_GIVEN).withColumn("y_hat_t", F.round("y_hat_t", 2))
+    return forecast.fit_metrics(rows)
 
 
 _GAP = o.fixed("(y_t - y_hat_t) * (y_t - y_hat_t)")
-add("d55_fit_metrics", on(_naive_fit), "sku_root_id metric SSE:d MSE:d RMSE:d MAE:d avg_forecast_period:d convergence_flag:i",
-    f"""SELECT sku_root_id, 'pred_counterfactual_' || measure AS metric, sum({_GAP})::DOUBLE AS SSE, {o.mean(_GAP)} AS MSE, sqrt({o.mean(_GAP)}) AS RMSE,
-    {o.mean(o.fixed('abs(y_t - y_hat_t)'))} AS MAE,
-    coalesce({o.mean(o.fixed('y_hat_t'), "date > DATE '2000-01-01' AND date <= DATE '2000-01-31'")}, {o.mean(o.fixed('y_t'))}) AS avg_forecast_period,
-    CASE WHEN count(*) FILTER (WHERE y_hat_t IS NULL) > 0 THEN 0 ELSE 1 END AS convergence_flag
-    FROM (SELECT *, hist AS y_t, smooth - shift AS y_hat_t FROM c_smooth) GROUP BY ALL""", extra=_FEX)
+_CENTS = "SELECT *, round(CASE WHEN measure <> 'margin_amt' THEN greatest(e, 0) ELSE e END, 2) AS y_hat_t FROM c_fitted"
+_FIT_SQL = {**_FIT_SQL, "c_cents": _CENTS, "c_given": f"""SELECT sku_root_id, 'pred_counterfactual_' || measure AS metric, sum({_GAP})::DOUBLE AS SSE, {o.mean(_GAP)} AS MSE, sqrt({o.mean(_GAP)}) AS RMSE,
+    {o.mean(o.fixed('abs(y_t - y_hat_t)'))} AS MAE, coalesce({o.mean(o.fixed('y_hat_t'), "y_t IS NULL")}, {o.mean(o.fixed('y_t'))}) AS avg_forecast_period,
+    CASE WHEN count(*) FILTER (WHERE y_hat_t IS NULL) > 0 THEN 0 ELSE 1 END AS convergence_flag FROM c_cents GROUP BY ALL"""}
+# Squares above 2^33 have no six decimals that both engines share, so sums of squares are compared in cents.
+add("d55_fit_metrics", on(lambda m: _given_fit(m).withColumns({c: F.round(c, 2) for c in ("SSE", "MSE", "RMSE")})), "sku_root_id metric SSE:d MSE:d RMSE:d MAE:d avg_forecast_period:d convergence_flag:i",
+    "SELECT * REPLACE (round(SSE, 2) AS SSE, round(MSE, 2) AS MSE, round(RMSE, 2) AS RMSE) FROM c_given", extra={**_FEX, **_FIT_SQL}, recursive={"c_run"})
 add("d45_forecast_republish", on(lambda m: forecast.republish(m["forecast_metrics"])),
     "sku_root_id metric alpha:d beta:d phi:d gamma:d l_0:d b_0:d SSE:d MSE:d RMSE:d MAE:d avg_forecast_period:d convergence_flag:i")
 
@@ -533,14 +533,13 @@ add("d76_post_training_table", mart("post_train"), f"{_TS} {_d(list(training.SUM
 _SCORE = ("sku_root_id description area section category subcategory segment brand_name brand_price_label flag_healthy no_hipermercados_stores:i no_other_stores:i no_impacted_stores:i "
           "duration_days:i campaign_start_month includes_weekend p_qty_bl:d promo_mechanic Promo_mechanic_en discount_depth discount_depth_rank:d promoted_in_past:i")
 add("d77_scoring_table", mart("score"), _SCORE, "c_score", extra=_PEXT)
-add("d77_post_scoring_table", on(lambda m: training.post_score_table(m["root_sku"], m["train"], _naive_fit(m))),
+add("d77_post_scoring_table", on(lambda m: training.post_score_table(m["root_sku"], m["train"], _given_fit(m))),
     "sku_root_id segment brand_price_label duration_days:i includes_weekend p_qty_bl:d promo_mechanic Promo_mechanic_en discount_depth promoted_in_past:i",
-    f"""SELECT r.sku_root_id, r.segment, {_LABEL} AS brand_price_label, 14 AS duration_days, false AS includes_weekend, f.p_qty_bl, d.*, p.promoted_in_past
-    FROM c_root r JOIN (SELECT sku_root_id, coalesce({o.mean(o.fixed('smooth - shift'), "date > DATE '2000-01-01' AND date <= DATE '2000-01-31'")}, {o.mean(o.fixed('hist'))}) AS p_qty_bl
-      FROM c_smooth WHERE measure = 'sale_qty' GROUP BY 1) f USING (sku_root_id)
+    f"""SELECT r.sku_root_id, r.segment, {_LABEL} AS brand_price_label, 14 AS duration_days, false AS includes_weekend, f.avg_forecast_period AS p_qty_bl, d.*, p.promoted_in_past
+    FROM c_root r JOIN (SELECT * FROM c_given WHERE metric = 'pred_counterfactual_sale_qty') f USING (sku_root_id)
     CROSS JOIN (SELECT DISTINCT promo_mechanic, Promo_mechanic_en, discount_depth FROM c_train) d
     LEFT JOIN (SELECT DISTINCT sku_root_id, discount_depth, 1 AS promoted_in_past FROM c_train) p ON p.sku_root_id = r.sku_root_id AND p.discount_depth = d.discount_depth""",
-    extra={**_PEXT, **_FEX})
+    extra={**_PEXT, **_FEX, **_FIT_SQL}, recursive={"c_run"})
 
 # Models: the target is the relative uplift of the promotion.
 _TARGET = "p_cal_perc_inc_sale_qty"

@@ -113,3 +113,84 @@ def test_forecast_rows_and_floor(spark):
     assert {r.convergence_flag for r in metrics} == {1} and all(r.RMSE >= 0 for r in metrics)
     short = forecast.fit_metrics(forecast.fit_and_forecast(df.where(F.col("date") < week(10))), week(40), week(50)).collect()
     assert {r.convergence_flag for r in short} == {0} and all(r.avg_forecast_period > 0 for r in short)
+
+
+def halving_search(y, season):
+    """A coarse grid, then halving steps along the axes: what the block fit may not fall behind."""
+    def error(p):
+        return float(np.square(y - smoothing.run(y, season, *p)[3]).sum())
+
+    best, p = min(((error(p), p) for p in [(a, b, g, 0.95) for a in (0.1, 0.4, 0.8) for b in (0.02, 0.2) for g in (0.05, 0.3)]))
+    width = np.array([0.15, 0.1, 0.1, 0.04])
+    while width.max() > 0.01:
+        improved = False
+        for i in range(4):
+            for sign in (1.0, -1.0):
+                q = np.array(p)
+                q[i] = np.clip(q[i] + sign * width[i], smoothing.LOW[i], smoothing.HIGH[i])
+                if error(q) < best:
+                    best, p, improved = error(q), q, True
+        if not improved:
+            width = width / 2
+    return best
+
+
+def many_series(count=60):
+    rng = np.random.default_rng(7)
+    out = []
+    for k in range(count):
+        n = int(rng.integers(24, 150))
+        t = np.arange(n)
+        y = 1000 + rng.uniform(0, 50) * np.sin(t * 2 * np.pi / 12) + rng.normal(0, rng.uniform(0.1, 30), n)
+        if k % 4 == 1:
+            y = y + np.cumsum(rng.normal(0, 5, n))
+        elif k % 4 == 2:
+            y = 1000 + np.convolve(rng.poisson(0.3, n + 3), np.ones(4) / 4, "valid")
+        elif k % 8 == 3:
+            y = np.full(n, 1000.0)
+        out.append(y)
+    return out
+
+
+def test_block_fit_not_behind_a_search_and_flags():
+    series = many_series()
+    lengths = np.array([len(y) for y in series])
+    block = smoothing.side_by_side(np.concatenate(series), lengths)
+    p, error, done = smoothing.fit_block(block, lengths, 12)
+    assert (p >= smoothing.LOW[:, None]).all() and (p <= smoothing.HIGH[:, None]).all()
+    level, trend, cycle, fit = smoothing.run_block(block, 12, p)
+    ahead = smoothing.forecast_block(level, trend, cycle, lengths, 12, p[3], 16)
+    for i, y in enumerate(series):
+        l, b, s, one = smoothing.run(y, 12, *p[:, i])
+        assert np.allclose(fit[:len(y), i], one) and np.isclose(np.square(y - one).sum(), error[i], atol=1e-9)
+        assert np.allclose(ahead[:, i], smoothing.forecast(l, b, s, 12, p[3, i], 16))
+    plain = np.array([halving_search(y, 12) for y in series])
+    # Both searches end in a local dip, so a rare series may lie a little above.
+    assert (error <= plain * 1.001 + 1e-9).all() and (error <= plain * (1 + 1e-9) + 1e-9).mean() >= 0.95
+    assert done.mean() > 0.9
+    _, _, early = smoothing.fit_block(block[:, :3], lengths[:3], 12, first_rounds=0, rounds=1, scans=0)
+    assert not early.all()
+
+
+def test_slopes_equal_differences():
+    y = many_series(3)[1][:, None]
+    p, n = np.array([[0.3], [0.1], [0.2], [0.9]]), np.array([len(y)])
+    right, _ = smoothing.slopes(y, n, 12, p)
+    for i in range(4):
+        up, down = p.copy(), p.copy()
+        up[i], down[i] = p[i] + 1e-6, p[i] - 1e-6
+        rise = smoothing.errors(y, n, 12, up[:, None])[0] - smoothing.errors(y, n, 12, down[:, None])[0]
+        assert np.isclose(-rise[0] / 4e-6, right[0, i], rtol=1e-4)
+
+
+def test_forecast_of_mixed_series_equals_each_alone(spark):
+    rows = [("r%d" % k, m, week(i), float(v - 990), float(v), 1000.0) for k, y in enumerate(many_series(6)) for m in ("sale_qty", "margin_amt") for i, v in enumerate(y)]
+    rows += [("short", "sale_qty", week(i), 1.0, 1001.0, 1000.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "sku_root_id string, measure string, date date, hist double, smooth double, shift double")
+    together = forecast.fit_and_forecast(df, tasks=1).toPandas().sort_values(["sku_root_id", "measure", "date"])
+    alone = forecast.fit_and_forecast(df, block=1, tasks=3).toPandas().sort_values(["sku_root_id", "measure", "date"])
+    assert np.allclose(together["y_hat_t"], alone["y_hat_t"], equal_nan=True, rtol=1e-6)
+    short = together[together.sku_root_id == "short"]
+    assert len(short) == 5 and short["y_hat_t"].isna().all() and not short["converged"].any()
+    assert (together.groupby(["sku_root_id", "measure"]).size().drop(("short", "sale_qty")) > 16).all()
+    assert forecast.fit_and_forecast(df.where("false")).count() == 0
