@@ -15,6 +15,7 @@ from ..functions.ranking import exact_quantile, with_cume_dist, with_percent_ran
 from ..operators import counterfactual, forecast
 from ..operators.dims import calendar_between
 from ..sources import extracts, tables
+from ..sources import publish as publishing
 from ..sources.retail_adapter import read_tables
 from ..streaming import landing
 from . import oracle_mart as o
@@ -358,6 +359,25 @@ add("s10_replace_by_slice", lambda spark, sf: _stored(spark, sf, "s10", _write_s
     "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS version FROM orders")
 
 
+def _published(spark: SparkSession, sf: str) -> DataFrame:
+    """Three versions by status: all, one slice replaced, and one whose job ended before its manifest."""
+    mart = open_mart(spark, sf)
+    root = f"{mart.space.folder}/s10_published"
+    if "s10_published" not in mart._made:
+        rows = read_tables(spark, sf)["orders"].select("o_orderkey", "o_orderstatus", F.lit(1).alias("version"))
+        publishing.publish(rows, root, "o_orderstatus")
+        open_rows = rows.where(F.col("o_orderstatus") == "O")
+        publishing.publish(open_rows.where(F.col("o_orderkey") % 2 == 0).withColumn("version", F.lit(2)), root, "o_orderstatus", keep_others=True)
+        publishing.write_rows(open_rows.withColumn("version", F.lit(3)), root, "o_orderstatus")
+        mart._made["s10_published"] = publishing.read_published(spark, root)
+    return mart._made["s10_published"]
+
+
+add("s10_published_slices", _published, "o_orderkey:i o_orderstatus version:i",
+    """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END AS version FROM orders
+    WHERE o_orderstatus <> 'O' OR o_orderkey % 2 = 0""")
+
+
 def _write_republished(t: dict[str, DataFrame], path: str) -> None:
     spark = t["orders"].sparkSession
     t["orders"].write.mode("overwrite").parquet(f"{path}_source")

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ..functions import target_codes
 from ..functions.trees import Settings
 from ..operators import (
-    absorbed, boosting, counterfactual, cannibal, dashboards, elasticity, facts, forecast, models, ols, promo_facts, training, uplift,
+    absorbed, boosting, counterfactual, cannibal, dashboards, elasticity, facts, forecast, models, modes, ols, promo_facts, training, uplift,
 )
 from ..operators.sales import MEASURES, OFFER_MEASURES
+from ..sources.publish import read_published
 from . import oracle_mart as o
 from .mart import Mart, open_mart
 from .registry import add
@@ -824,6 +825,45 @@ _RX = {
 add("d91_priced_results", on(_mean_scores),
     f"sku_root_id promo_mechanic discount_depth {_TARGET}:d prediction_interval:r prediction_error_perc:r p_cal_inc_sale_qty:d p_sale_bl:d p_margin_bl:d equivalent_discount:d "
     "effective_discount_price_per_unit:d p_cal_inc_sale_amt:d p_cal_inc_margin_amt:d perc_uplift_qty:d perc_uplift_amt:d perc_uplift_margin:d", "c_priced", extra=_RX)
+
+
+def _published_scores(m: Mart) -> DataFrame:
+    """Leaf-wise model and its priced scores, each published and read back."""
+    root = f"{m.space.folder}/uplift"
+    if "published_scores" not in m._made:
+        modes.publish_model(_leafwise(m), models.evaluate(_leaf_validation(m), _TARGET), _TARGET, root)
+        modes.predict(m.spark, m["score"], m["std_price_margin"], root)
+        m._made["published_scores"] = read_published(m.spark, f"{root}/scores")
+    return m._made["published_scores"]
+
+
+add("d91_tree_priced_results", on(_published_scores),
+    f"sku_root_id promo_mechanic discount_depth {_TARGET}:d prediction_interval:r p_cal_inc_sale_qty:d p_sale_bl:d p_cal_inc_sale_amt:d p_cal_inc_margin_amt:d perc_uplift_amt:d perc_uplift_margin:d")
+# What holds for any fit: the scored rows, their prices, and amounts that follow from the predicted quantity.
+_PAID = F.col("p_cal_inc_sale_qty") * F.col("effective_discount_price_per_unit")
+add("d91_tree_priced_rows", on(lambda m: _published_scores(m).withColumn("priced", F.coalesce(F.abs(F.col("p_cal_inc_sale_amt") - _PAID) < 1e-6, F.col("std_price_per_unit").isNull() | F.col("p_qty_bl").isNull()))),
+    "sku_root_id promo_mechanic discount_depth p_sale_bl:d p_margin_bl:d equivalent_discount:d effective_discount_price_per_unit:d priced",
+    "SELECT *, TRUE AS priced FROM c_priced", extra=_RX)
+
+
+def _regression_prices(m: Mart) -> DataFrame:
+    """The regression chosen for a root prices every offer of its depth, in cents."""
+    scored = m["score"].join(_ols_scores(m).select("sku_root_id", "discount_depth", F.col("prediction").alias(_TARGET)), ["sku_root_id", "discount_depth"])
+    priced = training.price_results(scored.withColumn("p_cal_inc_sale_qty", F.col(_TARGET) * F.col("p_qty_bl")), m["std_price_margin"])
+    return priced.withColumns({c: F.round(c, 2) + 0.0 for c in _REGRESSED})
+
+
+_REGRESSED = ["p_cal_inc_sale_qty", "p_sale_bl", "p_cal_inc_sale_amt", "p_cal_inc_margin_amt"]
+_OLX = {
+    **_LX, **_RX,
+    "c_olsscore": """SELECT r.sku_root_id, d.discount_depth, b.coeff_const + b.coeff_depth * d.discount_depth_rank::DOUBLE AS prediction
+      FROM c_root r CROSS JOIN (SELECT DISTINCT discount_depth, discount_depth_rank FROM c_train) d JOIN c_lbest b ON b.subcategory = r.subcategory AND b.brand_name = r.brand_name AND b.segment = r.segment""",
+    "c_olspriced": """SELECT s.sku_root_id, s.promo_mechanic, s.discount_depth, l.prediction * s.p_qty_bl AS q, s.p_sale_bl, l.prediction * s.p_qty_bl * s.effective_discount_price_per_unit AS a, s.cost_price
+      FROM c_priced s JOIN c_olsscore l USING (sku_root_id, discount_depth)""",
+}
+add("d91_regression_priced_results", on(_regression_prices), "sku_root_id promo_mechanic discount_depth " + _d(_REGRESSED),
+    """SELECT sku_root_id, promo_mechanic, discount_depth, round(q, 2) + 0.0 AS p_cal_inc_sale_qty, round(p_sale_bl, 2) + 0.0 AS p_sale_bl,
+    round(a, 2) + 0.0 AS p_cal_inc_sale_amt, round(a - q * cost_price, 2) + 0.0 AS p_cal_inc_margin_amt FROM c_olspriced""", extra=_OLX)
 _AV = ["p_cal_inc_sale_qty", "p_cal_inc_sale_amt", "p_cal_inc_margin_amt", "perc_uplift_qty", "perc_uplift_amt", "perc_uplift_margin"]
 add("d92_category_brand_rollup", on(lambda m: training.rollup(_mean_scores(m))),
     f"area section category subcategory brand_name promo_mechanic Promo_mechanic_en discount_depth {_d('avg_' + c for c in _AV)} avg_prediction_interval:r avg_prediction_error_perc:r "
