@@ -840,8 +840,13 @@ def _published_scores(m: Mart) -> DataFrame:
 add("d91_tree_priced_results", on(_published_scores),
     f"sku_root_id promo_mechanic discount_depth {_TARGET}:d prediction_interval:r p_cal_inc_sale_qty:d p_sale_bl:d p_cal_inc_sale_amt:d p_cal_inc_margin_amt:d perc_uplift_amt:d perc_uplift_margin:d")
 # What holds for any fit: the scored rows, their prices, and amounts that follow from the predicted quantity.
-_PAID = F.col("p_cal_inc_sale_qty") * F.col("effective_discount_price_per_unit")
-add("d91_tree_priced_rows", on(lambda m: _published_scores(m).withColumn("priced", F.coalesce(F.abs(F.col("p_cal_inc_sale_amt") - _PAID) < 1e-6, F.col("std_price_per_unit").isNull() | F.col("p_qty_bl").isNull()))),
+def _amounts_checked(m: Mart) -> DataFrame:
+    paid = F.col("p_cal_inc_sale_qty") * F.col("effective_discount_price_per_unit")
+    unknown = F.col("std_price_per_unit").isNull() | F.col("p_qty_bl").isNull()
+    return _published_scores(m).withColumn("priced", F.coalesce(F.abs(F.col("p_cal_inc_sale_amt") - paid) < 1e-6, unknown))
+
+
+add("d91_tree_priced_rows", on(_amounts_checked),
     "sku_root_id promo_mechanic discount_depth p_sale_bl:d p_margin_bl:d equivalent_discount:d effective_discount_price_per_unit:d priced",
     "SELECT *, TRUE AS priced FROM c_priced", extra=_RX)
 
