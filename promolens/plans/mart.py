@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (
-    counterfactual, cannibal, dashboards, dims, elasticity, facts, forecast, offers, promo_facts, sales, training, uplift,
+    counterfactual, cannibal, dashboards, dims, elasticity, facts, forecast, offers, promo_facts, sales, sparse, training, uplift,
 )
 from ..session import Workspace
 from ..sources import retail_adapter
@@ -22,7 +22,7 @@ from ..sources import retail_adapter
 WRITTEN = {
     "calendar", "campaign", "campaign_days", "periods", "per_day", "per_weekday", "sku", "root_sku", "promo_to_sku", "trans", "daily_root_promo", "daily_promo", "daily", "weekly_promo", "weekly", "std_price_margin",
     "offer_rows", "offer_days", "final_offers", "promo_daily_total", "promo_weekly_total", "promo_summary", "counterfactual", "counterfactual_promo", "sku_counterfactual",
-    "daily_lined", "promo_lined", "post_lined", "cume", "price_points", "store_lines", "forecast", "train",
+    "carrying", "zero_runs", "daily_lined", "promo_lined", "post_lined", "cume", "price_points", "store_lines", "forecast", "train",
 }
 MECHANICS = ["10", "20"]
 
@@ -81,6 +81,9 @@ class Mart:
             "daily": lambda: facts.daily(m["daily_promo"]),
             "weekly_promo": lambda: facts.weekly_promo(m["daily_promo"]),
             "weekly": lambda: facts.weekly(m["weekly_promo"]),
+            "carrying": lambda: sparse.carrying_rows(m["daily_root_promo"], m["promo_root_days"], m["calendar"]),
+            "zero_runs": lambda: sparse.zero_runs(m["carrying"], m["calendar"]),
+            "sparse_weekly_promo": lambda: sparse.weekly_promo(m["carrying"], m["zero_runs"]),
             "std_price_margin": lambda: facts.std_price_margin(m["trans"], m["daily"], m["root_sku"]),
             "offer_rows": lambda: promo_facts.offer_rows(m["promo_to_sku"], m["store"], m["root_sku"]),
             "offer_days": lambda: promo_facts.offer_days(m["offer_rows"], m["campaign_days"], m["daily"], m["daily_promo"]),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,18 +30,30 @@ def write_table(
     writer.parquet(path)
 
 
-def by_month(df: DataFrame, day: str = "date") -> DataFrame:
-    """Month column to partition daily facts by; single days would make tiny files."""
-    return df.withColumn("month_key", F.date_format(day, "yyyy-MM"))
+MONTH = "month_key"
+
+
+def _month_of(day: Column | str) -> Column:
+    return F.date_format(day, "yyyy-MM")
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, keys: list[str]) -> None:
-    """Bucketed and sorted managed table: later joins on the keys need no exchange."""
-    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+def write_clustered(df: DataFrame, table: str, path: str, buckets: int, keys: list[str], day: str = "date") -> DataFrame:
+    """A daily fact as a table partitioned by month and bucketed by ``keys``; returns the table.
+
+    Joins and groups on the keys, or on more columns than the keys, then need no exchange. Rows meet their bucket
+    before they are written, so a bucket has one file a month and not one for every task. ``buckets`` should give
+    files of some hundred megabytes; the keys must be fine enough that no single one of them outgrows a task.
+    """
+    rows = df.withColumn(MONTH, _month_of(day)).repartition(buckets, *keys)
+    writer = rows.write.mode("overwrite").option("path", path).partitionBy(MONTH)
+    writer.bucketBy(buckets, *keys).sortBy(*keys, day).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def between_days(table: DataFrame, first: dt.date, last: dt.date, day: str = "date") -> DataFrame:
+    """Rows of a clustered table between two days; only the months between them are listed and read."""
+    months = F.col(MONTH).between(f"{first:%Y-%m}", f"{last:%Y-%m}")
+    return table.where(months & F.col(day).between(F.lit(first), F.lit(last))).drop(MONTH)
 
 
 def republish(spark: SparkSession, source: str, target: str, casts: dict[str, str]) -> None:
