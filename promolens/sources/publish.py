@@ -60,18 +60,20 @@ def write_rows(df: DataFrame, root: str, slice_by: str | None = None) -> str:
     return folder
 
 
-def publish(df: DataFrame, root: str, slice_by: str | None = None, keep_others: bool = False) -> int:
+def publish(df: DataFrame, root: str, slice_by: str | None = None, keep_others: bool = False, base: int | None = None) -> int:
     """Make ``df`` the next version and return its number.
 
     With ``slice_by`` and ``keep_others`` only the slices that ``df`` holds are replaced; the others stay as files of
-    earlier versions and are not written again. The columns must then be the ones published before.
+    earlier versions and are not written again. The columns must then be the ones published before. The others are
+    those of the newest version, or of version ``base``.
     """
     if {"_slice", "_folder"} & set(df.columns):
         raise ValueError("_slice and _folder are names of the published table")
     spark = df.sparkSession
     last = _resolve(spark, root)
+    kept = last if base is None else _resolve(spark, root, base)
     columns = df.schema.json()
-    if keep_others and last is not None and [(f.name, f.dataType) for f in StructType.fromJson(json.loads(last.columns))] != [
+    if keep_others and kept is not None and [(f.name, f.dataType) for f in StructType.fromJson(json.loads(kept.columns))] != [
         (f.name, f.dataType) for f in df.schema
     ]:
         raise ValueError("slices of one version need the same columns")
@@ -79,8 +81,8 @@ def publish(df: DataFrame, root: str, slice_by: str | None = None, keep_others:
     number, token = (0 if last is None else last.version) + 1, uuid.uuid4().hex
     written = _written(spark, root, folder, df.schema).select("_slice").distinct()
     mine = written.select(F.col("_slice").alias("slice"), F.lit(folder).alias("folder"))
-    if keep_others and last is not None:
-        others = _named(spark, root, last).join(mine.select("slice"), "slice", "left_anti")
+    if keep_others and kept is not None:
+        others = _named(spark, root, kept).join(mine.select("slice"), "slice", "left_anti")
         mine = mine.unionByName(others)
     head = spark.range(1).select(F.lit(None).cast("string").alias("slice"), F.lit(None).cast("string").alias("folder"))
     entries = head.unionByName(mine).select(
@@ -103,18 +105,22 @@ def _named(spark: SparkSession, root: str, entry) -> DataFrame:
     return _manifest(spark, root).where(mine).select("slice", "folder")
 
 
-def read_published(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The newest complete version, or an earlier one. Only folders that it names are scanned."""
+def read_published(spark: SparkSession, root: str, version: int | None = None, slices: list[str] | None = None) -> DataFrame:
+    """The newest complete version, or an earlier one. Only folders that it names are scanned, and of these only the given slices."""
     entry = _resolve(spark, root, version)
     if entry is None:
         raise ValueError(f"no complete version under {root}")
     schema = StructType.fromJson(json.loads(entry.columns))
     named = _named(spark, root, entry)
+    if slices is not None:
+        named = named.where(F.col("slice").isin([f"v{s}" for s in slices]))
     # The folders of a version are as many as its publications still in use: a short list for partition pruning.
     folders = [r.folder for r in named.select("folder").distinct().collect()]
     whole = StructType(list(schema.fields)).add("_slice", "string").add("_folder", "string")
     if not folders:
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(whole).parquet(f"{root}/data").where(F.col("_folder").isin(folders))
+    if slices is not None:
+        rows = rows.where(F.col("_slice").isin([f"v{s}" for s in slices]))
     kept = rows.join(named.select(F.col("slice").alias("_slice"), F.col("folder").alias("_folder")), ["_folder", "_slice"], "left_semi")
     return kept.select(*schema.fieldNames())
