@@ -1,7 +1,7 @@
 """Upkeep of the daily and weekly facts: a batch of tickets recomputes the slices that it touches.
 
-A slice holds one month of one bucket of roots. A batch touches the slices of its own days, those of the days that
-the calendar gains, all months of roots and stores that sell for the first time, and the days of offers that were
+A slice holds one month (or quarter, or year) of one bucket of roots. A batch touches the slices of its own days, those of the days that
+the calendar gains, all periods of roots and stores that sell for the first time, and the days of offers that were
 changed. The facts of these slices are computed by the functions that build the whole tables, and published by slice,
 so the others stay as they are on storage. One row of state names the version of every table; it is published last.
 Readers see a batch in all tables or in none, and a batch that was cut short is done again.
@@ -26,10 +26,12 @@ _PLACES = ("_slice_key", "_batch")
 
 
 class FactStore:
-    """Facts under ``root``. ``buckets`` is fixed for the life of the store: months x buckets is the number of slices."""
+    """Facts under ``root``. ``buckets`` and ``grain`` (month, quarter or year) are fixed for the life of the store: periods x buckets
+    is the number of slices."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, grain: str = "month"):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.grain, self.months = grain, {"month": 1, "quarter": 3, "year": 12}[grain]
 
     # --- slices -------------------------------------------------------------
 
@@ -38,10 +40,10 @@ class FactStore:
 
     def _slice(self, day: Column | str = "date", bucket: Column | None = None) -> Column:
         number = self._bucket() if bucket is None else bucket
-        return F.concat_ws("-", F.date_format(day, "yyyyMM"), F.lpad(number.cast("string"), 5, "0"))
+        return F.concat_ws("-", F.date_format(F.trunc(day, self.grain), "yyyyMM"), F.lpad(number.cast("string"), 5, "0"))
 
     def _names(self, slices: DataFrame) -> list[str]:
-        """Slice names for partition pruning: at most months x buckets of them."""
+        """Slice names for partition pruning: at most periods x buckets of them."""
         return sorted(r[0] for r in slices.distinct().collect())
 
     # --- state --------------------------------------------------------------
@@ -143,21 +145,22 @@ class FactStore:
         return [f.select("date", self._bucket().alias("_bucket")) for f in found]
 
     def _with_rows(self, marks: list[DataFrame], pairs_version: int, cal: DataFrame) -> DataFrame:
-        """Slices of the marked days and buckets that have rows: a month of the calendar, a bucket with a root."""
-        month = F.trunc("date", "month").alias("_month")
-        marked = reduce(DataFrame.unionByName, [m.select(month, "_bucket") for m in marks]).distinct()
+        """Slices of the marked days and buckets that have rows: a period of the calendar, a bucket with a root."""
+        period = F.trunc("date", self.grain).alias("_period")
+        marked = reduce(DataFrame.unionByName, [m.select(period, "_bucket") for m in marks]).distinct()
         held = read_published(self.spark, f"{self.root}/pairs", pairs_version).select("_bucket").distinct()
-        months = cal.select(month).distinct()
-        return marked.join(months, "_month", "left_semi").join(held, "_bucket", "left_semi").select(self._slice("_month", F.col("_bucket")))
+        periods = cal.select(period).distinct()
+        return marked.join(periods, "_period", "left_semi").join(held, "_bucket", "left_semi").select(self._slice("_period", F.col("_bucket")))
 
     def _daily(self, touched, tickets, roots, campaigns, campaign_days, promo_to_sku, cal, state, pairs_version) -> dict[str, int]:
         rows = tickets.where(F.col("_slice_key").isin(touched)).drop(*_PLACES)
         actuals = facts.daily_root_promo(rows, roots, facts.promo_windows(promo_to_sku, campaigns))
-        slots = self.spark.createDataFrame([(s[:6], int(s[7:])) for s in touched], "_month string, _bucket int")
+        slots = self.spark.createDataFrame([(s[:6], int(s[7:])) for s in touched], "_period string, _bucket int")
         ends = cal.agg(F.min("date").alias("a"), F.max("date").alias("b"))
-        month = F.to_date(F.concat("_month", F.lit("01")), "yyyyMMdd")
+        begin = F.to_date(F.concat("_period", F.lit("01")), "yyyyMMdd")
         days = slots.select(
-            "_bucket", F.greatest(month, ends.select("a").scalar()).alias("_first"), F.least(F.last_day(month), ends.select("b").scalar()).alias("_last"))
+            "_bucket", F.greatest(begin, ends.select("a").scalar()).alias("_first"),
+            F.least(F.date_sub(F.add_months(begin, self.months), 1), ends.select("b").scalar()).alias("_last"))
         pairs = read_published(self.spark, f"{self.root}/pairs", pairs_version)
         grid = pairs.join(days, "_bucket").where("_first <= _last").select(*PAIR, each_day("_first", "_last").alias("date"))
         offered = facts.promo_root_days(promo_to_sku, campaign_days).where(self._slice().isin(touched))
@@ -168,9 +171,9 @@ class FactStore:
         return out
 
     def _weekly(self, touched, state, daily_version) -> dict[str, int]:
-        """Weeks lie in the month of their Monday, so a daily slice reaches back into the month before."""
-        wanted = sorted({w for s in touched for w in (s, _months_later(s, -1))})
-        sources = sorted({d for w in wanted for d in (w, _months_later(w, 1))})
+        """Weeks lie in the period of their Monday, so a daily slice reaches back into the period before."""
+        wanted = sorted({w for s in touched for w in (s, _later(s, -self.months))})
+        sources = sorted({d for w in wanted for d in (w, _later(w, self.months))})
         days = self._read("daily_promo", {"daily_promo": daily_version}, sources)
         mine = days.where(self._slice(week_start("date")).isin(wanted))
         out = {"weekly_promo": self._put("weekly_promo", facts.weekly_promo(mine), state)}
@@ -179,7 +182,7 @@ class FactStore:
         return out
 
 
-def _months_later(name: str, by: int) -> str:
+def _later(name: str, by: int) -> str:
     """The slice of the same bucket some months later."""
     n = int(name[:4]) * 12 + int(name[4:6]) - 1 + by
     return f"{n // 12:04d}{n % 12 + 1:02d}{name[6:]}"

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from ..functions import target_codes
 from ..functions.trees import Settings
 from ..operators import (
-    absorbed, boosting, counterfactual, cannibal, dashboards, elasticity, facts, forecast, models, modes, ols, promo_facts, training, uplift,
+    absorbed, boosting, counterfactual, cannibal, dashboards, elasticity, facts, forecast, models, modes, ols, promo_facts, sparse, training, uplift,
 )
 from ..operators.sales import MEASURES, OFFER_MEASURES
+from ..operators.upkeep import FactStore
 from ..sources.publish import read_published
+from ..sources.tables import between_days, write_clustered
 from . import oracle_mart as o
 from .mart import Mart, open_mart
 from .registry import add
@@ -142,6 +144,65 @@ for _name, _src in (("daily", "c_daily"), ("weekly", "c_weekly")):
         {o.fixed(o.mean('std_price_per_unit'))} AS std_price_per_unit FROM {_src} GROUP BY ALL) s JOIN c_root r USING (sku_root_id)""")
 add("d23_std_price_margin", mart("std_price_margin"), "sku_root_id margin_per_unit:d std_price_per_unit:d cost_per_unit:d", "c_price")
 
+# --- facts without zero days, clustered and kept up by batch -----------------
+
+_WEEKLY = ("date sku_root_id store_id promo_id_list:l total_sale_amt:d total_sale_qty:d total_margin_amt:d std_price_per_unit:d "
+           "oferta_promo_total_sale_qty:d n_promo:i promo_flag:i no_days_with_promo:i")
+_DAY_SUMMARY = f"date sku_root_id promo_flag:i {_d(facts.SUMMARY_MEASURES)} std_price_per_unit:d"
+_DAY_SUMMARY_SQL = f"""SELECT date, sku_root_id, max(promo_flag) AS promo_flag, {o.csum(facts.SUMMARY_MEASURES)},
+{o.fixed(o.mean('std_price_per_unit'))} AS std_price_per_unit FROM c_daily GROUP BY ALL"""
+add("d15_zero_runs", mart("zero_runs"), "sku_root_id store_id first_day last_day",
+    """SELECT sku_root_id, store_id, min(date) AS first_day, max(date) AS last_day FROM (
+    SELECT *, date - row_number() OVER (PARTITION BY sku_root_id, store_id ORDER BY date)::INTEGER AS run FROM (
+      SELECT date::DATE AS date, sku_root_id, store_id FROM c_grid EXCEPT SELECT date::DATE, sku_root_id, store_id FROM c_actual
+      EXCEPT SELECT date::DATE, sku_root_id, store_id FROM c_rootdays)) GROUP BY sku_root_id, store_id, run""")
+add("d18_sparse_daily_promo", on(lambda m: totals(sparse.dense(m["carrying"], m["zero_runs"]), [_month(), "sku_root_id", "store_id", "promo_id"], _MIX)),
+    f"month sku_root_id store_id promo_id n_rows:i {_d(_MIX)}",
+    totals_sql("c_dailypromo", f"{_MONTH}, sku_root_id, store_id, promo_id", _MIX))
+add("d20_sparse_weekly_promo", mart("sparse_weekly_promo"),
+    f"date sku_root_id store_id promo_id promo_year:i {_d(_MIX)} no_days_with_promo:i", "c_weeklypromo")
+add("d21_sparse_weekly", on(lambda m: facts.weekly(m["sparse_weekly_promo"])), _WEEKLY, "c_weekly")
+add("d22_sparse_daily_summary", on(lambda m: sparse.daily_summary(sparse.daily(m["carrying"]), m["calendar"])), _DAY_SUMMARY, _DAY_SUMMARY_SQL)
+
+
+def _sparse_weekdays(m: Mart) -> DataFrame:
+    days = sparse.daily(m["carrying"])
+    return sparse.avg_per_weekday(days, uplift.active_period(days))
+
+
+add("d64_sparse_weekday_average", on(_sparse_weekdays), "sku_root_id store_id dayweek total_sale_qty:d period:i", "c_perweekday")
+
+
+def _clustered(m: Mart, name: str) -> DataFrame:
+    """A daily fact by month, bucketed by root and store; written once."""
+    key = f"clustered_{name}"
+    if key not in m._made:
+        buckets = int(m.spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"{key}_{m.space.folder[-12:]}"
+        m._made[key] = write_clustered(m[name], table, f"{m.space.folder}/{key}", buckets, facts.PAIR)
+    return m._made[key]
+
+
+add("s09_clustered_weekly", on(lambda m: facts.weekly(facts.weekly_promo(_clustered(m, "daily_promo")))), _WEEKLY, "c_weekly")
+add("s09_clustered_days", on(lambda m: between_days(_clustered(m, "daily_promo"), D(1996, 2, 10), D(1996, 4, 3))),
+    f"date sku_root_id store_id promo_id promo_year:i {_d(_MIX)}", "SELECT * FROM c_dailypromo WHERE date BETWEEN DATE '1996-02-10' AND DATE '1996-04-03'")
+
+
+def _upkept(m: Mart) -> FactStore:
+    """All tickets in two batches: those up to the middle of 1996 but for late ones, then the late ones and the rest."""
+    if "upkept" not in m._made:
+        store, cut = FactStore(m.spark, f"{m.space.folder}/upkept", 2, "year"), F.lit(D(1996, 6, 12))
+        early = (F.col("date") <= cut) & (F.pmod(F.xxhash64("transaction_id"), F.lit(40)) != 0)
+        fixed = (m["root_sku"], m["campaign"], m["campaign_days"], m["promo_to_sku"])
+        store.apply(1, m["trans"].where(early), *fixed, m["calendar"].where(F.col("date") <= cut))
+        store.apply(2, m["trans"].where(~early), *fixed, m["calendar"])
+        m._made["upkept"] = store
+    return m._made["upkept"]
+
+
+add("s14_upkept_weekly", on(lambda m: _upkept(m)["weekly"]), _WEEKLY, "c_weekly")
+add("s14_upkept_daily_summary", on(lambda m: _upkept(m)["daily_summary"]), _DAY_SUMMARY, _DAY_SUMMARY_SQL)
+
 # --- promo facts ------------------------------------------------------------
 
 _PK = ["promo_id", "promo_year", "sku_root_id", "promo_mechanic", "discount_depth"]
