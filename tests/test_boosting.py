@@ -133,3 +133,11 @@ def test_codes_see_only_rows_before(spark):
     coded = target_codes.codes_of(spark.createDataFrame([("hot", None), ("new", "1")], "a string, b string"), sums, ["a", "b"], prior, 2.0).collect()
     hot, none = rows[rows["a"] == "hot"]["y"], rows[rows["b"].isna()]["y"]
     assert [coded[0].a, coded[0].b, coded[1].a] == pytest.approx([(hot.sum() + 2 * prior) / (len(hot) + 2), (none.sum() + 2 * prior) / (len(none) + 2), prior])
+
+
+def test_preparing_leaves_tables_of_the_same_folder_alone(spark):
+    work = Workspace(spark)
+    kept = work.keep(spark.range(3).withColumnRenamed("id", "other"), "train")
+    df = spark.createDataFrame(sample(60))
+    made = boosting.prepare(df, df.limit(0), ["x0", "x1"], [], "y", ["id"], SMALL, work)
+    assert made.rows == 60 and [r.other for r in kept.orderBy("other").collect()] == [0, 1, 2]
