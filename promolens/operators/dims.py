@@ -188,7 +188,7 @@ def vendor_funding(trans: DataFrame, redemptions: DataFrame, promo_to_sku: DataF
 
     A day under two campaigns counts twice.
     """
-    key = ["sku_id", "store_id", "date"]
+    key, campaign_key = ["sku_id", "store_id", "date"], ["promo_id", "promo_year"]
     sold = trans.groupBy("sku_root_id", *key).agg(money_sum("total_sale_qty").alias("total_sale_qty"))
     paid = F.col("IMP_REDENCION_PS") + F.col("IMP_REDENCION_OSS") + F.col("IMP_REDENCION")
     funded = redemptions.groupBy(
@@ -196,11 +196,13 @@ def vendor_funding(trans: DataFrame, redemptions: DataFrame, promo_to_sku: DataF
         F.col("COD_LOC").cast("string").alias("store_id"),
         F.to_date(F.col("DIA").cast("string"), "yyyyMMdd").alias("date"),
     ).agg(money_sum(paid).alias("funding"))
-    on_offer = promo_days(promo_to_sku, days).select("promo_id", *key)
+    # The days sold meet the campaigns of the day first, so offers never fan out to all days of their campaigns.
+    offered = promo_to_sku.select("sku_id", F.col("sku_root_id").alias("_root"), "store_id", *campaign_key).distinct()
     unit = F.coalesce(fixed(ratio("funding", "total_sale_qty")), F.lit(0).cast(RATE))
     return (
-        sold.join(on_offer, key)
-        .join(funded, key, "left")
+        sold.join(funded, key, "left")
+        .join(days.select(*campaign_key, "date"), "date")
+        .join(offered, [*campaign_key, "sku_id", "store_id"])
         .withColumn("unit", unit)
         .groupBy("sku_id", "sku_root_id")
         .agg(mean_of("unit").alias("expected_vendor_funding_per_unit"))

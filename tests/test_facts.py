@@ -105,3 +105,18 @@ def test_customer_age_and_status(spark):
     a, b = sorted(dims.customer(df, D(2019, 12, 1)).collect(), key=lambda r: r.customer_id)
     assert (a.club_loyalty_member, a.gold_member, a.travel_card_member, a.age) == ("1", None, dims.PENDING, 28)
     assert (b.club_loyalty_member, b.gold_member, b.age) == (None, "1", 29)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_vendor_funding_does_not_fan_offers_out_to_days(spark):
+    trans = spark.createDataFrame([("a", "r", "s", D(2018, 3, 5), Decimal(2)), ("a", "r", "s", D(2018, 3, 9), Decimal(4)), ("b", "r", "s", D(2018, 3, 5), Decimal(1))], f"sku_id string, sku_root_id string, store_id string, date date, total_sale_qty {MONEY}")
+    paid = spark.createDataFrame([("a", "s", 20180305, Decimal(6)), ("a", "s", 20180309, Decimal(40))], f"COD_ART string, COD_LOC string, DIA int, IMP_REDENCION {MONEY}").withColumns({c: F.lit(0).cast(MONEY) for c in ("IMP_REDENCION_PS", "IMP_REDENCION_OSS")})
+    offers = spark.createDataFrame([("a", "r", "s", "P", 2018), ("a", "r", "s", "Q", 2018), ("a", "r", "s", "P", 2018), ("b", "r", "t", "P", 2018)], "sku_id string, sku_root_id string, store_id string, promo_id string, promo_year long")
+    days = spark.createDataFrame([("P", 2018, D(2018, 3, 5)), ("Q", 2018, D(2018, 3, 5)), ("Q", 2018, D(2018, 3, 9))], "promo_id string, promo_year long, date date")
+    found = dims.vendor_funding(trans, paid, offers, days)
+    assert [(r.sku_id, round(float(r.expected_vendor_funding_per_unit), 6)) for r in found.collect()] == [("a", round((3 + 3 + 10) / 3, 6))]
+    joins = [line for line in plan_of(found).splitlines() if "Join" in line and "promo_year" in line]
+    assert joins and all("sku_id" in line for line in joins)
