@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from promolens.operators import dims, facts, promo_facts, sales
 from promolens.operators.sales import MEASURES
+from promolens.plans.mart import open_mart
 
 D = dt.date
 MONEY = "decimal(18,4)"
@@ -111,6 +112,18 @@ def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_daily_sums_meet_the_campaigns_as_days(spark):
+    trans = actual(spark, [
+        (D(2018, 3, 5), "r", "s", "P", 2018, Decimal(2), Decimal(4)), (D(2018, 3, 5), "r", "s", "P", 2018, Decimal(3), None), (D(2018, 3, 5), "r", "s", None, None, Decimal(1), Decimal(6)),
+        (D(2018, 3, 9), "r", "s", "P", 2018, Decimal(5), Decimal(2)), (D(2018, 3, 9), "r", "s", None, None, Decimal(7), Decimal(5)), (D(2018, 3, 5), "other", "s", None, None, Decimal(9), None),
+    ]).withColumn("oferta_promo_total_sale_qty", F.col("total_sale_qty"))
+    windows = spark.createDataFrame([("r", "s", "P", 2018, D(2018, 3, 1), D(2018, 3, 7))], "sku_root_id string, store_id string, promo_id string, promo_year long, start_date date, end_date date")
+    found = facts.daily_root_promo(trans, spark.createDataFrame([("r",)], "sku_root_id string"), windows)
+    got = {(r.date.day, r.promo_id): (int(r.total_sale_qty), int(r.oferta_promo_total_sale_qty), float(r.std_price_per_unit)) for r in found.collect()}
+    assert got == {(5, "P"): (5, 5, 4.0), (5, None): (1, 0, 6.0), (9, None): (12, 0, 3.5)}
+    assert plan_of(found).count("Aggregate [date") == 2
+
+
 def test_vendor_funding_does_not_fan_offers_out_to_days(spark):
     trans = spark.createDataFrame([("a", "r", "s", D(2018, 3, 5), Decimal(2)), ("a", "r", "s", D(2018, 3, 9), Decimal(4)), ("b", "r", "s", D(2018, 3, 5), Decimal(1))], f"sku_id string, sku_root_id string, store_id string, date date, total_sale_qty {MONEY}")
     paid = spark.createDataFrame([("a", "s", 20180305, Decimal(6)), ("a", "s", 20180309, Decimal(40))], f"COD_ART string, COD_LOC string, DIA int, IMP_REDENCION {MONEY}").withColumns({c: F.lit(0).cast(MONEY) for c in ("IMP_REDENCION_PS", "IMP_REDENCION_OSS")})
@@ -120,3 +133,9 @@ def test_vendor_funding_does_not_fan_offers_out_to_days(spark):
     assert [(r.sku_id, round(float(r.expected_vendor_funding_per_unit), 6)) for r in found.collect()] == [("a", round((3 + 3 + 10) / 3, 6))]
     joins = [line for line in plan_of(found).splitlines() if "Join" in line and "promo_year" in line]
     assert joins and all("sku_id" in line for line in joins)
+
+
+def test_ticket_products_are_summed_after_one_shuffle_by_day(spark):
+    lin = open_mart(spark, "/root/testdata/sf0.001")["lin"]
+    plan = sales.transaction_to_sku(lin)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(sku_root_id" in plan and "hashpartitioning(transaction_id" not in plan
