@@ -64,7 +64,8 @@ def depth_step(percent: Column) -> Column:
 def plain(c: Column | str) -> Column:
     """Number as text without trailing zeros: 15.0 -> 15, 2.50 -> 2.5."""
     text = col(c).cast("string")
-    return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    fraction = F.contains(text, F.lit(".")) & ~F.contains(text, F.lit("E"))  # an exponent keeps its zeros
+    return F.when(fraction, F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
 
 
 def percent_off(step: Column) -> Column:

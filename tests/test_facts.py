@@ -5,6 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from promolens.functions.numeric import plain
 from promolens.operators import dims, facts, promo_facts, sales
 from promolens.operators.sales import MEASURES
 from promolens.plans.mart import open_mart
@@ -139,3 +140,11 @@ def test_ticket_products_are_summed_after_one_shuffle_by_day(spark):
     lin = open_mart(spark, "/root/testdata/sf0.001")["lin"]
     plan = sales.transaction_to_sku(lin)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(sku_root_id" in plan and "hashpartitioning(transaction_id" not in plan
+
+
+def test_plain_numbers(spark):
+    texts = ["15.0", "2.50", "0.00", "100", "-7.10", "1.0E10", "1.50E-7", "3.", "NaN", None, "10.05"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    before = F.regexp_replace(F.regexp_replace("t", r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    assert all(r.a == r.b for r in df.select(plain("t").alias("a"), before.alias("b")).collect())
+    assert "RegExp" not in plan_of(df.select(plain("t"))) and "regexp" not in plan_of(df.select(plain("t")))
