@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from promolens.functions import target_codes
 from promolens.functions.trees import Settings, drawn
-from promolens.operators import boosting
+from promolens.operators import boosting, models
 from promolens.session import Workspace
 
 SMALL = Settings(rounds=4, leaves=9, depth=6, bins=20, min_rows=15, row_share=0.8, feature_share=0.7, patience=9, refresh=2, seed=7)
@@ -141,3 +141,42 @@ def test_preparing_leaves_tables_of_the_same_folder_alone(spark):
     df = spark.createDataFrame(sample(60))
     made = boosting.prepare(df, df.limit(0), ["x0", "x1"], [], "y", ["id"], SMALL, work)
     assert made.rows == 60 and [r.other for r in kept.orderBy("other").collect()] == [0, 1, 2]
+
+
+def test_no_training_rows(spark, tmp_path):
+    """Cleaning may leave nothing to learn from: both learners then predict 0 for every row, and a saved model does too."""
+    columns = "k string, c string, x double, y double"
+    none, held = spark.createDataFrame([], columns), spark.createDataFrame([("a", "p", 1.0, 0.5), ("b", None, None, 2.0)], columns)
+    made = boosting.prepare(none, held, ["c", "x"], ["c"], "y", ["k"], SMALL, Workspace(spark))
+    assert boosting.root_histogram(made, ["c", "x"]).count() == 0 and boosting.first_split(made, ["c", "x"], SMALL).count() == 0
+    booster = boosting.fit(none, held, ["c", "x"], ["c"], "y", ["k"], SMALL)
+    boosting.save(booster, f"{tmp_path}/booster")
+    trees = models.fit_trees(none, ["c", "x"], ["c"], "y", validation=held)
+    models.save_model(trees, f"{tmp_path}/trees")
+    for scored in (boosting.predict(booster, held), boosting.predict(boosting.load(spark, f"{tmp_path}/booster"), held),
+                   models.predict(trees, held, ["c", "x"], ["c"]), models.predict(models.load_model(f"{tmp_path}/trees"), held, ["c", "x"], ["c"])):
+        assert [r.prediction for r in scored.collect()] == [0.0, 0.0]
+        assert scored.columns == [*held.columns, "prediction"] and models.evaluate(scored, "y").first().n == 2
+    assert boosting.fit(none, none, ["c", "x"], ["c"], "y", ["k"], SMALL).trees == []
+    assert models.predict(models.fit_trees(none, ["c", "x"], ["c"], "y", validation=none), none, ["c", "x"], ["c"]).count() == 0
+
+
+def test_fewer_rows_than_categories(spark):
+    train = spark.createDataFrame([("p", 1.0, 1.0), ("q", 2.0, 3.0)], "c string, x double, y double")
+    held = spark.createDataFrame([(f"v{i}", 1.0, 1.0) for i in range(9)], train.schema)
+    model = models.fit_trees(train, ["c", "x"], ["c"], "y", rounds=1, validation=held)
+    assert [r.prediction for r in models.predict(model, train, ["c", "x"], ["c"]).orderBy("x").collect()] == [1.0, 3.0]
+
+
+def test_held_rows_far_from_the_training_rows(spark):
+    train = spark.createDataFrame([(str(i), i % 7 / 7, i % 7 * 1e-3) for i in range(60)], "k string, x double, y double")
+    held = spark.createDataFrame([("h", 0.5, 1e9)], train.schema)
+    model = boosting.fit(train, held, ["x"], [], "y", ["k"], SMALL)
+    assert abs(model.held_errors[0] / 1e18 - 1) < 1e-6
+
+
+def test_importance_without_a_split(spark):
+    one = spark.createDataFrame([("p", 1.0, 0.5)], "c string, x double, y double")
+    for rows in (one, one.limit(0)):
+        shares = models.importance(spark, models.fit_trees(rows, ["c", "x"], ["c"], "y", rounds=2), ["c", "x"])
+        assert [tuple(r) for r in shares.collect()] == [("c", 0.5), ("x", 0.5)]
