@@ -26,6 +26,7 @@ from __future__ import annotations
 import io
 import json
 import posixpath
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -143,28 +144,45 @@ def _byte_letters() -> dict[int, str]:
     return letters
 
 
-class Pieces(dict):
+class Recent(dict):
+    """What ``made`` gives for a key, kept for at most ``limit`` keys; the full newer half replaces the older, and keys asked for again move back."""
+
+    def __init__(self, limit: int):
+        self.half, self.older = max(1, limit // 2), {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.made(key)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class Pieces(Recent):
     """Ids of the pieces that the pre-tokenizer makes, as bytes."""
 
     def __init__(self, model, kind: str, limit: int):
-        self.model, self.kind, self.limit, self.letters = model, kind, limit, _byte_letters()
+        super().__init__(limit)
+        self.model, self.code, self.letters = model, "H" if kind == "<u2" else "I", _byte_letters()
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > self.limit:
-            self.clear()
-        text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-        self[piece] = ids = np.array([t.id for t in self.model.tokenize(text)], self.kind).tobytes()
-        return ids
+    def made(self, piece: str) -> bytes:
+        text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(text)]
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
 
-class Words(dict):
+class Words(Recent):
     """Ids of words without ASCII white space, as bytes; a new word is encoded on first use."""
 
     def __init__(self, path: str, limit: int):
         import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        super().__init__(limit)
+        self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         settings = json.loads(self.tokenizer.to_str())
         steps = (settings.get("pre_tokenizer") or {}).get("pretokenizers") or []
@@ -175,22 +193,19 @@ class Words(dict):
         self.split = regex.compile(steps[0]["pattern"]["Regex"]) if self.simple else None
         self.pieces = Pieces(self.tokenizer.model, self.kind, limit)
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > self.limit:
-            self.clear()
+    def made(self, word: bytes) -> bytes:
+        if self.simple and word.isalpha():
+            return self.pieces[word.lower().decode()]
         text = word.decode()
         if not self.simple or "<|" in text or not text.isprintable():
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        else:
-            text = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
-            if text.isalpha():
-                ids = self.pieces[text]
-            elif text[:-1].isalpha():
-                ids = self.pieces[text[:-1]] + self.pieces[text[-1]]
-            else:
-                ids = b"".join([self.pieces[p] for p in self.split.findall(text)])
-        self[word] = ids
-        return ids
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        # Up to U+00FF, the bytes below C4, every character is composed and lower-cased by itself.
+        text = text.lower() if max(word) < 0xC4 else self.tokenizer.normalizer.normalize_str(text)
+        if text.isalpha():
+            return self.pieces[text]
+        if text[:-1].isalpha():
+            return self.pieces[text[:-1]] + self.pieces[text[-1]]
+        return b"".join([self.pieces[p] for p in self.split.findall(text)])
 
 
 _ENCODERS: dict[tuple[str, int], Words] = {}

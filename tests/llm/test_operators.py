@@ -425,3 +425,19 @@ def test_pipeline_stages(spark):
     assert ids(a) == Counter({int(i): int(n) for i, n in con.execute(f"SELECT doc_id, taken / size FROM ({mixing.SQL}) WHERE taken > 0").fetchall()})
     assert ids(kept[4][1]) == ids(a)
     assert corpus_pipeline.run(spark, SF).count() == a.count()
+
+
+def test_words_of_any_letters_and_hot_words_stay():
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer()
+    tokenizer, words = Tokenizer.from_file(path), token_index.Words(path, 20)
+    seen = [*(chr(c) for c in range(0x21, 0x250)), *(f"A{chr(c)}b{chr(c)}" for c in range(0x21, 0x250)), "İx", "ét", "ΟΔΟΣ", "<|endoftext|>", "<|", "it'S", "ÀÉ's,", "9½", "﻿a", "日本語。"]
+    for w in seen:
+        for part in w.encode().split():
+            assert np.frombuffer(words[part], words.kind).tolist() == tokenizer.encode(part.decode(), add_special_tokens=False).ids, repr(w)
+    made, whole = [], words.made
+    words.made = lambda w: made.append(w) or whole(w)
+    for i in range(200):
+        words[b"hot"], words[f"w{i}".encode()]
+    assert made.count(b"hot") == 1 and len(words) + len(words.older) <= 20
