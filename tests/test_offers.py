@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from promolens.functions.numeric import depth_step, plain
-from promolens.operators.offers import decode
+from promolens.operators.offers import decode, promo_to_sku
 
 NUM = "decimal(10,4)"
 FIELDS = ["PVP_TARIFA", "CANT_N", "CANT_M", "UMBRAL1", "PVPUMBRAL1", "DESCUMBRAL1", "UMBRAL2", "PVPUMBRAL2", "DESCUMBRAL2", "UMBRAL3", "PVPUMBRAL3"]
@@ -41,9 +41,13 @@ def offer(code, **values):
     return row
 
 
-def decoded(spark, rows):
+def raw(spark, rows):
     schema = ", ".join([f"{c} string" for c in TEXT] + [f"{c} {NUM}" for c in FIELDS])
-    return decode(spark.createDataFrame([[r[c] for c in TEXT + FIELDS] for r in rows], schema))
+    return spark.createDataFrame([[r[c] for c in TEXT + FIELDS] for r in rows], schema)
+
+
+def decoded(spark, rows):
+    return decode(raw(spark, rows))
 
 
 def test_depth_of_every_shape(spark):
@@ -70,3 +74,15 @@ def test_step_and_label(spark):
     assert all(r.got == r.want for r in df.collect())
     labels = spark.createDataFrame([("15.0", "15"), ("2.50", "2.5"), ("900.10", "900.1"), ("100", "100")], "x string, want string")
     assert all(r.got == r.want for r in labels.withColumn("got", plain("x")).collect())
+
+
+def test_raw_offers_are_shuffled_and_decoded_ones_are_not(spark):
+    deal = dict(COD_OFERTA="P", COD_ART="a", COD_LOC="s")
+    rows = [offer("20", **deal, CANT_N=3, CANT_M=2)] * 2 + [offer("20", **deal, CANT_N=4, CANT_M=3), offer("10", **{**deal, "COD_ART": "b"}, COD_PRECIO="5.40")]
+    rows += [offer("10", **{**deal, **other}) for other in ({"COD_OFERTA": "Q"}, {"COD_ART": "c"}, {"COD_LOC": "t"})]
+    known = [("P", 2018)], [("a", "r"), ("b", "q")], [("s",)]
+    named = "promo_id string, promo_year long", "sku_id string, sku_root_id string", "store_id string"
+    found = promo_to_sku(raw(spark, rows), *[F.broadcast(spark.createDataFrame(k, n)) for k, n in zip(known, named)])
+    placed = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert len(placed) == 1 and "hashpartitioning(COD_ART" in placed[0]
+    assert sorted((r.sku_id, r.sku_root_id, str(r.discount_depth)) for r in found.collect()) == [("a", "r", "buy 3 pay 2"), ("a", "r", "buy 4 pay 3"), ("b", "q", "None")]
