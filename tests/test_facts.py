@@ -9,6 +9,7 @@ from promolens.functions.numeric import plain
 from promolens.operators import dims, facts, promo_facts, sales
 from promolens.operators.sales import MEASURES
 from promolens.plans.mart import open_mart
+from promolens.session import hash_joins
 
 D = dt.date
 MONEY = "decimal(18,4)"
@@ -142,6 +143,53 @@ def test_ticket_products_are_summed_after_one_shuffle_by_day(spark):
     assert "hashpartitioning(sku_root_id" in plan and "hashpartitioning(transaction_id" not in plan
 
 
+def test_offer_parts_follow_from_the_sums_of_their_sale_type(spark):
+    rows = [("1", sales.OFFER, 8, 1), ("1", sales.OFFER, 4, None), ("1", sales.OFFER, 2, 0), ("1", sales.COMBO, 6, 1), ("2", sales.COMBO, 5, 2), ("2", sales.COMBO, 1, 1),
+            ("2", sales.NON_MATCHING, 3, 0), ("2", sales.NO_OFFER, 7, 0), ("3", sales.OFFER, 4, None)]
+    lin = spark.createDataFrame([(t, k, Decimal(o), None if s is None else Decimal(s)) for t, k, o, s in rows], f"transaction_id string, sale_type string, o {MONEY}, s {MONEY}")
+    zero, whole = F.lit(0).cast(MONEY), (F.col("o") + F.col("s")).cast(MONEY)
+    lin = lin.withColumns({
+        **{f"{m}_{c}": F.col("o") if c == "OFERTA" else F.col("s") if c == "TARIFA" else zero for m in ("IMP_VENTA", "UNID_VENTA", "MARGEN") for c in sales.COMPONENTS},
+        **{m: whole for m in ("total_sale_amt", "total_sale_qty", "total_margin_amt")},
+        **{m: zero for m in ("total_non_oferta_discount_amt", "total_non_oferta_discount_amt_ex_vale")},
+        **{c: F.lit(c) for c in ("sku_id", "sku_root_id", "store_id", "promo_id", "customer_id", "time")},
+        "IMP_PVP_TARIFA": F.lit(10).cast(MONEY), "promo_year": F.lit(2018).cast("long"), "date": F.lit(D(2018, 3, 5)),
+    })
+    found = sales.transaction_to_sku(lin)
+    got = {(r.transaction_id, r.sale_type): tuple(None if r[f"oferta_promo_total_{m}"] is None else int(r[f"oferta_promo_total_{m}"]) for m in ("sale_amt", "sale_qty", "margin_amt", "discount_amt"))
+           for r in found.collect()}
+    assert got == {
+        ("1", sales.OFFER): (11, 11, 11, -9), ("1", sales.COMBO): (6, 6, 6, -3), ("2", sales.COMBO): (6, 6, 6, -11), ("2", sales.NON_MATCHING): (3, 3, 3, -7),
+        ("2", sales.NO_OFFER): (0, 0, 0, 0), ("3", sales.OFFER): (None, None, None, None),
+    }
+    assert found.columns[10:] == [*MEASURES, "std_price_per_unit"]
+    assert "sum(oferta_promo_total_discount_amt" in plan_of(found) and "sum(oferta_promo_total_sale_amt" not in plan_of(found)
+
+
+def test_kept_tables_join_small_parts_without_sorting(spark):
+    limit, broadcast = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "spark.sql.autoBroadcastJoinThreshold"
+    before, usual = spark.conf.get(limit), spark.conf.get(broadcast)
+
+    def joined():
+        left, right = (spark.range(100).select(F.col("id").alias("k"), (F.col("id") * n).alias(f"v{n}")) for n in (2, 3))
+        df = left.join(right, "k", "left")
+        assert df.where("v2 = 10").select("v3").collect()[0].v3 == 15 and len(df.collect()) == 100
+        return "ShuffledHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set(broadcast, "-1")
+    try:
+        assert not joined()
+        with hash_joins(spark):
+            assert joined()
+        assert spark.conf.get(limit) == before
+        spark.conf.set(limit, "65m")
+        with hash_joins(spark):
+            assert spark.conf.get(limit) == "65m"
+    finally:
+        spark.conf.set(broadcast, usual)
+        spark.conf.set(limit, before)
+
+
 def test_plain_numbers(spark):
     texts = ["15.0", "2.50", "0.00", "100", "-7.10", "1.0E10", "1.50E-7", "3.", "NaN", None, "10.05"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
