@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from promolens.functions.numeric import depth_step, plain
 from promolens.operators.offers import decode, promo_to_sku
+from promolens.sources import retail_adapter
 
 NUM = "decimal(10,4)"
 FIELDS = ["PVP_TARIFA", "CANT_N", "CANT_M", "UMBRAL1", "PVPUMBRAL1", "DESCUMBRAL1", "UMBRAL2", "PVPUMBRAL2", "DESCUMBRAL2", "UMBRAL3", "PVPUMBRAL3"]
@@ -86,3 +87,19 @@ def test_raw_offers_are_shuffled_and_decoded_ones_are_not(spark):
     placed = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
     assert len(placed) == 1 and "hashpartitioning(COD_ART" in placed[0]
     assert sorted((r.sku_id, r.sku_root_id, str(r.discount_depth)) for r in found.collect()) == [("a", "r", "buy 3 pay 2"), ("a", "r", "buy 4 pay 3"), ("b", "q", "None")]
+
+
+def test_derived_offers_are_placed_once_while_narrow(spark):
+    tables = retail_adapter.read_tables(spark, "/root/testdata/sf0.001")
+    derived = retail_adapter.offers(tables)
+    known = [("P", 2018)], [("a", "r")], [("s",)]
+    named = "promo_id string, promo_year long", "sku_id string, sku_root_id string", "store_id string"
+    found = promo_to_sku(derived, *[F.broadcast(spark.createDataFrame(k, n)) for k, n in zip(known, named)])
+    placed = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert len(placed) == 1 and "hashpartitioning(COD_ART" in placed[0]
+    cells = retail_adapter._sold(tables).select("p_partkey", "s_nationkey", "y", "m", "phase").distinct()
+    want = cells.agg(F.sum(F.when(F.col("phase") == 0, 2).when(F.col("phase") == 2, 0).otherwise(1))).scalar()
+    assert derived.count() == derived.distinct().count() == spark.range(1).select(want).collect()[0][0]
+    assert derived.columns[:5] == ["year_sem", "COD_OFERTA", "ANO_OFERTA", "COD_ART", "COD_LOC"]
+    odd = derived.where((F.substring("COD_OFERTA", 2, 4) != F.col("ANO_OFERTA")) | (F.substring("COD_OFERTA", 6, 2) != F.substring("year_sem", 8, 2)))
+    assert odd.count() == 0
