@@ -1,6 +1,7 @@
 """Sale types, gap filling, overlapping campaigns and allocation on small frames."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -137,6 +138,29 @@ def test_vendor_funding_does_not_fan_offers_out_to_days(spark):
     assert joins and all("sku_id" in line for line in joins)
 
 
+def placements(spark, make):
+    """Keys of the hash exchanges of a frame where no side of a join is broadcast."""
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(broadcast)
+    spark.conf.set(broadcast, "-1")
+    try:
+        plan = make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(broadcast, before)
+    return [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)]
+
+
+def test_vendor_funding_places_days_and_offers_once(spark):
+    trans = spark.createDataFrame([], f"sku_id string, sku_root_id string, store_id string, date date, total_sale_qty {MONEY}")
+    paid = spark.createDataFrame([], f"COD_ART string, COD_LOC string, DIA int, IMP_REDENCION {MONEY}, IMP_REDENCION_PS {MONEY}, IMP_REDENCION_OSS {MONEY}")
+    offers = spark.createDataFrame([], "sku_id string, sku_root_id string, store_id string, promo_id string, promo_year long")
+    days = spark.createDataFrame([], "promo_id string, promo_year long, date date")
+    trans, paid, offers, days = (df.repartition(3) for df in (trans, paid, offers, days))
+    keys = placements(spark, lambda: dims.vendor_funding(trans, paid, offers, days))
+    assert keys.count("sku_id, store_id, date") == 1
+    assert not any(k.startswith("sku_root_id") or "_root" in k.split(", ") for k in keys)
+
+
 def test_ticket_products_are_summed_after_one_shuffle_by_day(spark):
     lin = open_mart(spark, "/root/testdata/sf0.001")["lin"]
     plan = sales.transaction_to_sku(lin)._jdf.queryExecution().executedPlan().toString()
