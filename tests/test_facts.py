@@ -161,6 +161,26 @@ def test_vendor_funding_places_days_and_offers_once(spark):
     assert not any(k.startswith("sku_root_id") or "_root" in k.split(", ") for k in keys)
 
 
+def test_only_lines_with_a_code_are_placed_for_their_offer(spark):
+    deals = [("P", "2018"), ("P", "2017"), ("Z", "2018"), ("P", None), ("0", "2018"), (None, "2018"), (None, None)]
+    rows = [("s", "20180305 10:00", "1", str(i), "20180305", "a", c, y, "9", "N") for i, (c, y) in enumerate(deals)]
+    rows += [("t", *rows[0][1:]), (*rows[0][:5], "b", *rows[0][6:]), ("s", "20190305 10:00", *rows[0][2:]), (*rows[0][:9], "X")]
+    lines = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ("COD_LOC", "HORA_EMISION", "COD_CAJA", "NUM_TICKET", "DIA", "COD_ART", "COD_OFERTA", "ANO_OFERTA", "ID_CLIENTE", "COD_TIPO_MOVIM")))
+    one, zero = F.lit(1).cast(MONEY), F.lit(0).cast(MONEY)
+    lines = lines.withColumns({f"{m}_{c}": one if c == "OFERTA" else zero for m in ("IMP_VENTA", "UNID_VENTA", "MARGEN") for c in sales.COMPONENTS})
+    lines = lines.withColumns({"IMP_PVP_TARIFA": F.lit(2).cast(MONEY), **{c: zero for c in sales.OTHER_DISCOUNTS}})
+    stores, skus = spark.createDataFrame([("s",)], "store_id string"), spark.createDataFrame([("a", "r")], "sku_id string, sku_root_id string")
+    offers = spark.createDataFrame([("P", 2018, "a", "r", "s"), ("P", 2018, "a", "r", "s"), ("0", 2018, "a", "r", "s")], "promo_id string, promo_year long, sku_id string, sku_root_id string, store_id string")
+
+    def found():
+        return sales.lin_transaction(lines, stores, dims.calendar_between(spark, D(2018, 3, 1), D(2018, 3, 9)), skus, offers)
+
+    got = sorted((r.transaction_id.split("_")[3], r.sku_root_id, r.promo_id, r.promo_year, r.sale_type, int(r.total_sale_qty)) for r in found().collect())
+    assert got == [("0", "r", "P", 2018, sales.OFFER, 1)] + [(str(i), "r", None, None, sales.NO_OFFER, 1) for i in range(1, 7)]
+    assert "Union" in plan_of(found()) and "none" not in plan_of(found())
+    assert sum(k.startswith("_code") for k in placements(spark, found)) == 1
+
+
 def test_ticket_products_are_summed_after_one_shuffle_by_day(spark):
     lin = open_mart(spark, "/root/testdata/sf0.001")["lin"]
     plan = sales.transaction_to_sku(lin)._jdf.queryExecution().executedPlan().toString()
